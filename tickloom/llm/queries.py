@@ -16,7 +16,22 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickloom.llm.packing import pack
+
+    out = pack(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickloom.llm.langid import language_id
+
+    return language_id(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op4_packing": op4_packing,
+    "op5_language_id": op5_language_id,
     "op9_quality_rules": op9_quality_rules,
 }
 
