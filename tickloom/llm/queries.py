@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tickloom.llm import chat, urlfilter
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -29,10 +31,27 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(_table(spark, sf_dir, "documents"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickloom.llm.urlfilter import url_filter
+
+    return url_filter(_table(spark, sf_dir, "pages"))
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickloom.llm.chat import chat_format
+
+    return chat_format(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
+    "op6_url_filter": op6_url_filter,
+    "op8_chat_format": op8_chat_format,
     "op4_packing": op4_packing,
     "op5_language_id": op5_language_id,
     "op9_quality_rules": op9_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_url_filter": urlfilter.oracle_sql(),
+    "op8_chat_format": chat.ORACLE,
+}
