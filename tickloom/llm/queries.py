@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat, urlfilter
+from tickloom.llm import chat, neardup, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -43,7 +43,14 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format(_table(spark, sf_dir, "conversations"))
 
 
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickloom.llm.neardup import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op10_near_duplicates": op10_near_duplicates,
     "op6_url_filter": op6_url_filter,
     "op8_chat_format": op8_chat_format,
     "op4_packing": op4_packing,
@@ -52,6 +59,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op10_near_duplicates": neardup.ORACLE,
     "op6_url_filter": urlfilter.oracle_sql(),
     "op8_chat_format": chat.ORACLE,
 }
