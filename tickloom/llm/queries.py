@@ -49,7 +49,14 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickloom.llm.repeats import repeat_digests
+
+    return repeat_digests(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op3_repeat_removal": op3_repeat_removal,
     "op10_near_duplicates": op10_near_duplicates,
     "op6_url_filter": op6_url_filter,
     "op8_chat_format": op8_chat_format,
