@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat, neardup, urlfilter
+from tickloom.llm import chat, linededup, neardup, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,7 +55,15 @@ def op3_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_digests(_table(spark, sf_dir, "documents"))
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickloom.llm.linededup import dedup_lines
+
+    out = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "_lines.n_lines", "_lines.n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
     "op3_repeat_removal": op3_repeat_removal,
     "op10_near_duplicates": op10_near_duplicates,
     "op6_url_filter": op6_url_filter,
@@ -66,6 +74,7 @@ QUERIES = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_line_dedup": linededup.ORACLE,
     "op10_near_duplicates": neardup.ORACLE,
     "op6_url_filter": urlfilter.oracle_sql(),
     "op8_chat_format": chat.ORACLE,
