@@ -62,7 +62,15 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "_lines.n_lines", "_lines.n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tickloom.llm.ann import nearest
+
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nearest(vectors, vectors.filter("vec_id % 20 = 0"))
+
+
 QUERIES = {
+    "op7_nearest_neighbours": op7_nearest_neighbours,
     "op1_line_dedup": op1_line_dedup,
     "op3_repeat_removal": op3_repeat_removal,
     "op10_near_duplicates": op10_near_duplicates,
