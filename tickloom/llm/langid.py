@@ -21,8 +21,10 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Labelled documents that teach a language, at most about so many of each.
 SAMPLE_PER_LANG = 1500
@@ -172,27 +174,25 @@ def _slices(word: str) -> list[bytes]:
     return [b" " + data[i : i + LONG] if i == 0 else data[i : i + LONG] for i in range(0, len(data), LONG)]
 
 
-def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], id_col: str = "doc_id", text_col: str = "text", vocab: str | None = None) -> DataFrame:
-    """doc_id, lang_pred and score (posterior of that language) of every row, in one pass without a shuffle."""
+def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], text_col: str = "text", vocab: str | None = None, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The ``carry`` columns with lang_pred and score (posterior of that language) of every row, in one pass without a shuffle."""
     path = vocab or vocabulary()
     langs, prior, probs = model
-    plain = docs.select(F.col(id_col).alias("doc_id"), F.when(has_letter(text_col), F.col(text_col)).alias("text"))
-    kind = plain.schema["doc_id"].dataType.simpleString()
     if not langs:
-        return plain.select("doc_id", F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+        return docs.select(*carry, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+    plain = docs.select(*carry, F.when(has_letter(text_col), F.col(text_col)).alias("_text"))
     shared = docs.sparkSession.sparkContext.broadcast(probs)
 
-    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row_of: dict[str, int] = {}
         known = np.zeros((CACHE, len(langs)))
-        for pdf in batches:
-            at = 0
-            while at < len(pdf):
+        for batch in batches:
+            column, at = batch.column(batch.num_columns - 1), 0
+            while at < len(column):
                 texts, chars = [], 0
-                while at + len(texts) < len(pdf) and chars < 4_000_000:
-                    t = pdf["text"].iat[at + len(texts)]
-                    texts.append(t)
-                    chars += len(t) if t is not None else 0
+                while at + len(texts) < len(column) and chars < 4_000_000:
+                    texts.append(column[at + len(texts)].as_py())
+                    chars += len(texts[-1] or "")
                 split = [t.split() if t is not None else [] for t in texts]
                 fresh = list({w for ws in split for w in ws} - row_of.keys())
                 if len(row_of) + len(fresh) > len(known):
@@ -215,15 +215,17 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], i
                     k = int(total.argmax())
                     best.append(langs[k])
                     score.append(float(1.0 / np.exp(total - total[k]).sum()))
-                yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[at : at + len(texts)].array, "lang_pred": best, "score": score})
+                part = batch.slice(at, len(texts))
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(best), pa.array(score)], [*part.schema.names[:-1], "lang_pred", "score"])
                 at += len(texts)
 
-    return plain.mapInPandas(predict, f"doc_id {kind}, lang_pred string, score double")
+    schema = T.StructType([*plain.schema.fields[:-1], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return plain.mapInArrow(predict, schema)
 
 
 def language_id(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", vocab: str | None = None, sample_per_lang: int = SAMPLE_PER_LANG) -> DataFrame:
     """Learn from the rows that are not held out, predict every row: doc_id, held_out, lang_pred, score."""
     rest = remainder(id_col)
     taught = docs.filter(rest != 2).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-    out = identify(docs, learn(taught, vocab, sample_per_lang), id_col, text_col, vocab)
+    out = identify(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), learn(taught, vocab, sample_per_lang), "text", vocab)
     return out.select("doc_id", F.coalesce(remainder("doc_id") == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")

@@ -17,7 +17,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,33 +72,32 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab:
         raise ValueError("max_len must be a power of two")
     path = vocab or vocabulary()
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path).encode_ordinary
-        for pdf in batches:
+        for batch in batches:
             rows, chars = [], 0
-            for doc, text in zip(pdf["doc_id"].array, pdf["text"].array, strict=True):
-                text = "" if text is None or text is pd.NA else text
-                ids = np.array([*encode(text), end_id], dtype="<u4")
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ids = np.array([*encode(text or ""), end_id], dtype="<u4")
                 at = 0
                 for n in piece_lengths(len(ids), max_len):
                     rows.append((doc, at, n, ids[at : at + n].tobytes(), len(ids)))
                     at += n
-                chars += len(text)
+                chars += len(text or "")
                 if chars >= BATCH_CHARS:
-                    yield _frame(rows)
+                    yield _batch(rows)
                     rows, chars = [], 0
             if rows:
-                yield _frame(rows)
+                yield _batch(rows)
 
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    out = plain.mapInPandas(pieces, SCHEMA)
+    out = plain.mapInArrow(pieces, SCHEMA)
     return out.withColumns({"bucket": F.log2("length").cast("int"), "sequence_id": F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")})
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    frame = pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids", "doc_tokens"])
-    frame["doc_id"] = frame["doc_id"].astype("Int64")
-    return frame
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64())
+    names = ["doc_id", "start", "length", "ids", "doc_tokens"]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
 
 
 def write_buckets(packed: DataFrame, path: str) -> None:

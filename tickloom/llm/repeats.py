@@ -41,16 +41,19 @@ WIDTH = 100
 GRAM = 32
 BLOCK_BYTES = 16_000_000
 SLICE = 1 << 19
-OUT = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary"
+COLUMNS = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "rest"]
+#: Ids travel as text, which pandas keeps exact beside nulls.
+OUT = "doc_id string, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary, rest string"
 
 
 class Block:
     """Documents of a block in order, as one buffer with a zero byte after each."""
 
     def __init__(self, pdf: pd.DataFrame):
-        order = pdf.assign(_null=pdf["doc_id"].notna(), _text=pdf["text"].fillna("")).sort_values(["_null", "doc_id", "_text"], kind="stable")
-        self.ids = [None if pd.isna(i) else int(i) for i in order["doc_id"]]
-        data = [t.encode("utf-8", "surrogatepass") for t in order["_text"]]
+        rows = sorted((-1 if i is None else 0, int(i or 0), t or "", r or "") for i, t, r in zip(pdf["doc_id"], pdf["text"], pdf["rest"], strict=True))
+        self.ids = [None if k else str(i) for k, i, _, _ in rows]
+        self.rest = [r for _, _, _, r in rows]
+        data = [t.encode("utf-8", "surrogatepass") for _, _, t, _ in rows]
         self.sizes = np.array([len(d) for d in data], dtype=np.int64)
         self.starts = np.concatenate(([0], np.cumsum(self.sizes + 1)))
         self.raw = b"\0".join(data) + b"\0"
@@ -231,7 +234,7 @@ def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
 
 def _remove(key: tuple, pdf: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
     if not len(pdf):
-        return pd.DataFrame(columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
+        return pd.DataFrame(columns=COLUMNS)
     block = Block(pdf)
     parts = [np.frombuffer(x, dtype=np.uint64).reshape(2, -1) for x in spans["blob"]] or [np.zeros((2, 0), np.uint64)]
     lo, hi = np.concatenate(parts, axis=1).astype(np.int64)
@@ -249,34 +252,36 @@ def _remove(key: tuple, pdf: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
             gone += e - s
             at = e
         out.append(block.raw[at:end])
-        rows.append((doc, int(block.sizes[k]), gone, int(upto[k] - first[k]), b"".join(out)))
-    frame = pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept"])
-    frame["doc_id"] = frame["doc_id"].astype("Int64")
-    return frame
+        rows.append((doc, int(block.sizes[k]), gone, int(upto[k] - first[k]), b"".join(out), block.rest[k]))
+    return pd.DataFrame(rows, columns=COLUMNS)
 
 
 def _hashed(key: tuple, pdf: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
     out = _remove(key, pdf, spans)
-    return out.drop(columns="kept").assign(kept_sha256=[hashlib.sha256(x).hexdigest() for x in out["kept"]])
+    return out.drop(columns=["kept", "rest"]).assign(kept_sha256=[hashlib.sha256(x).hexdigest() for x in out["kept"]])
+
+
+def _texted(key: tuple, pdf: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
+    out = _remove(key, pdf, spans)
+    return out.assign(kept=[x.decode("utf-8", "ignore") for x in out["kept"]]).rename(columns={"kept": "text"})
 
 
 def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
     """(block, doc_id, text) with blocks of consecutive doc_ids and about ``block_bytes`` bytes, and their number."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-size // block_bytes))
+    named = docs.withColumn("doc_id", F.col("doc_id").cast("string"))
     if n == 1:
-        return docs.withColumn("block", F.lit(0).cast("long")), 1
+        return named.withColumn("block", F.lit(0).cast("long")), 1
     bounds = docs.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], max(10_000, 20 * n))).first()[0] or []
     edges = np.unique(np.array(bounds, dtype=np.int64))
 
     @F.pandas_udf("bigint")
     def block(ids: pd.Series) -> pd.Series:
-        known = ids.notna().to_numpy()
-        out = np.zeros(len(ids), dtype=np.int64)
-        out[known] = np.searchsorted(edges, ids[known].to_numpy(dtype=np.int64), side="left")
-        return pd.Series(out)
+        return pd.Series(np.searchsorted(edges, ids.to_numpy(dtype=np.int64), side="left"))
 
-    return docs.withColumn("block", block("doc_id")), n
+    first = F.lit(-(2**63)).cast("long")
+    return named.withColumn("block", block(F.coalesce(F.col("doc_id").cast("long"), first))), n
 
 
 def _spans(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, DataFrame]:
@@ -291,15 +296,26 @@ def _spans(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, DataFrame]:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans (maximal removed runs) and kept, the remaining bytes."""
-    return _removed(docs, id_col, text_col, block_bytes, _remove, OUT)
+    return _removed(docs, id_col, text_col, block_bytes, _remove, OUT).drop("rest")
+
+
+def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text and the ``carry`` columns; the text is what remains, without characters that a removed run cuts."""
+    rest = F.to_json(F.struct(*carry)) if carry else None
+    out = _removed(docs, id_col, text_col, block_bytes, _texted, OUT.replace("kept binary", "text string"), rest)
+    if not carry:
+        return out.select("doc_id", "text")
+    return out.withColumn("rest", F.from_json("rest", docs.select(*carry).schema)).select("doc_id", "text", "rest.*")
 
 
 def repeat_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """As :func:`remove_repeats`, with the SHA-256 of the remaining bytes in their place."""
-    return _removed(docs, id_col, text_col, block_bytes, _hashed, OUT.replace("kept binary", "kept_sha256 string"))
+    return _removed(docs, id_col, text_col, block_bytes, _hashed, OUT.replace("kept binary, rest string", "kept_sha256 string"))
 
 
-def _removed(docs: DataFrame, id_col: str, text_col: str, block_bytes: int, last, schema: str) -> DataFrame:
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+def _removed(docs: DataFrame, id_col: str, text_col: str, block_bytes: int, last, schema: str, rest=None) -> DataFrame:
+    rest = F.lit(None).cast("string") if rest is None else rest
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), rest.alias("rest"))
     blocks, spans = _spans(plain, block_bytes)
-    return blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInPandas(last, schema)
+    out = blocks.groupBy("block").cogroup(spans.groupBy("block")).applyInPandas(last, schema)
+    return out.withColumn("doc_id", F.col("doc_id").cast("long"))
