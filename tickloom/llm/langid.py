@@ -51,22 +51,52 @@ def _processor(path: str):
     return sentencepiece.SentencePieceProcessor(model_file=path)
 
 
+class Pieces:
+    """The vocabulary's byte strings (word start as a blank) in a chained hash table over their 64-bit hashes."""
+
+    SLOTS = 20
+
+    def __init__(self, path: str):
+        sp = _processor(path)
+        size = sp.get_piece_size()
+        found: dict[bytes, int] = {}
+        for i in range(size):
+            if sp.is_byte(i):
+                found.setdefault(bytes([int(sp.id_to_piece(i)[3:-1], 16)]), i)
+        for i in range(size):
+            if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
+                found[sp.id_to_piece(i).replace("▁", " ").encode()] = i
+        self.lengths = sorted({len(k) for k in found if len(k) <= LONG + 1})
+        self.keys = np.zeros(len(found) + 1, dtype=np.uint64)
+        self.keys[1:] = [_hash(k) for k in found]
+        self.ids = np.array([0, *found.values()])
+        slot = self._slot(self.keys)
+        self.table = np.zeros(1 << self.SLOTS, dtype=np.int32)
+        self.chain = np.zeros(len(self.keys), dtype=np.int32)
+        for k in range(1, len(self.keys)):
+            self.chain[k], self.table[slot[k]] = self.table[slot[k]], k
+
+    def _slot(self, h: np.ndarray) -> np.ndarray:
+        return (h * np.uint64(0x94D049BB133111EB)) >> np.uint64(64 - self.SLOTS)
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``h`` that hold a piece's hash, and the pieces' ids."""
+        at = self.table[self._slot(h)]
+        todo = np.flatnonzero(at)
+        at, hits, got = at[todo], [], []
+        while len(todo):
+            same = self.keys[at] == h[todo]
+            hits.append(todo[same])
+            got.append(self.ids[at[same]])
+            at = self.chain[at]
+            more = ~same & (at > 0)
+            todo, at = todo[more], at[more]
+        return (np.concatenate(hits), np.concatenate(got)) if hits else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
 @lru_cache(maxsize=2)
-def _pieces(path: str) -> tuple[np.ndarray, np.ndarray, list[int]]:
-    """Sorted hashes of the pieces' bytes (word start as a blank), their ids, and the lengths that occur."""
-    sp = _processor(path)
-    size = sp.get_piece_size()
-    found: dict[bytes, int] = {}
-    for i in range(size):
-        if sp.is_byte(i):
-            found.setdefault(bytes([int(sp.id_to_piece(i)[3:-1], 16)]), i)
-    for i in range(size):
-        if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
-            found[sp.id_to_piece(i).replace("▁", " ").encode()] = i
-    keys = sorted(found, key=len)
-    hashes = np.array([_hash(k) for k in keys], dtype=np.uint64)
-    order = np.argsort(hashes)
-    return hashes[order], np.array([found[k] for k in keys])[order], sorted({len(k) for k in keys if len(k) <= LONG + 1})
+def _pieces(path: str) -> Pieces:
+    return Pieces(path)
 
 
 def _hash(data: bytes) -> int:
@@ -125,7 +155,8 @@ def learn(labelled: DataFrame, vocab: str | None = None, sample_per_lang: int =
 
 def word_scores(words: list[bytes], path: str, probs: np.ndarray) -> np.ndarray:
     """Log of the summed probability of all segmentations, words by languages. Words hold at most LONG bytes after their blank."""
-    table, ids, lengths = _pieces(path)
+    pieces = _pieces(path)
+    lengths = pieces.lengths
     out = np.empty((len(words), probs.shape[1]))
     order = np.argsort([len(w) for w in words], kind="stable")
     for at in range(0, len(order), 16384):
@@ -153,11 +184,9 @@ def word_scores(words: list[bytes], path: str, probs: np.ndarray) -> np.ndarray:
                     break
                 with np.errstate(over="ignore"):
                     h = prefix[end] - prefix[end - size] * powers[size]
-                spot = np.searchsorted(table, h)
-                spot[spot == len(table)] = 0
-                hit = np.nonzero(table[spot] == h)[0]
+                hit, piece = pieces.find(h)
                 if len(hit):
-                    here[hit] += alpha[end - size, hit] * probs[ids[spot[hit]]]
+                    here[hit] += alpha[end - size, hit] * probs[piece]
             done = n == end
             final[done] = np.log(np.maximum(here[done], 1e-300)) + shift[done]
             if end % 16 == 0:
