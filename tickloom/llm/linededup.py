@@ -18,7 +18,8 @@ deletion (at the same place for lines of one length), so they are grouped by the
 rest with each character left out, and only the first line of each group is
 needed: the work grows with the lines of the key, not with their pairs.
 
-All steps are DataFrame functions. Defined results: a null text keeps null and
+Texts meet line numbers in sort-merge joins at every size, so that no plan depends
+on a side that grows with the data being small. All steps are DataFrame functions. Defined results: a null text keeps null and
 has no lines; rows with a null doc_id pass unchanged; rows that repeat a doc_id
 count as one document, so a line stays in all of them or in none; a text may
 lose all of its lines and is then empty; an empty table gives an empty result.
@@ -102,7 +103,7 @@ def kept_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     lines = cut(distinct_lines(docs, min_chars), "lines")
     met = cut(_candidates(lines), "met")
     wanted = met.select("at").distinct().groupBy(F.col("at.doc_id").alias("doc_id")).agg(F.collect_set("at.line_no").alias("nos"))
-    texts = docs.join(wanted, "doc_id").select(F.expr("inline(transform(array_distinct(nos), n -> struct(struct(doc_id AS doc_id, n AS line_no) AS at, get(split(text, '\n'), n) AS line)))"))
+    texts = docs.join(wanted.hint("merge"), "doc_id").select(F.expr("inline(transform(array_distinct(nos), n -> struct(struct(doc_id AS doc_id, n AS line_no) AS at, get(split(text, '\n'), n) AS line)))"))
     texts = cut(texts.filter(F.length("line") >= min_chars).groupBy("at").agg(F.min("line").alias("line")), "texts")
     told = met.join(texts, "at")
     gone = _close_pairs(told.filter("NOT many")).unionByName(_close_in_crowds(told.filter("many"))).distinct()
@@ -116,7 +117,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     parts = F.split(F.col(text_col), "\n")
     short = f"filter(transform(_parts, (l, i) -> CASE WHEN length(l) < {min_chars} THEN i ELSE -1 END), i -> i >= 0)"
     stay = F.when(F.col(id_col).isNull(), F.expr("sequence(0, size(_parts) - 1)")).otherwise(F.expr(f"array_sort(array_union({short}, coalesce(_keep, array())))"))
-    joined = docs.join(keep, docs[id_col].cast("long") == F.col("_doc"), "left").withColumn("_parts", parts).withColumn("_stay", stay)
+    joined = docs.join(keep.hint("merge"), docs[id_col].cast("long") == F.col("_doc"), "left").withColumn("_parts", parts).withColumn("_stay", stay)
     out = joined.withColumn("_lines", F.struct(F.coalesce(F.size("_parts"), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("_parts") - F.size("_stay"), F.lit(0)).cast("long").alias("n_removed")))
     text = F.expr("array_join(transform(_stay, i -> _parts[i]), '\n')")
     return out.withColumn(text_col, F.when(F.col(text_col).isNotNull(), text)).select(*docs.columns, "_lines")
