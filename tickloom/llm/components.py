@@ -22,7 +22,8 @@ def _step(edges: DataFrame, large: bool) -> DataFrame:
         out = met.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         out = met.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-    return out.filter(F.col("a") != F.col("b")).distinct()
+    out = out.filter(F.col("a") != F.col("b"))
+    return out if large else out.distinct()
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

@@ -1,12 +1,12 @@
 """MinHash near-duplicates by a chosen-path similarity join.
 
 Documents with one shingle set are one class. Each class has ``TREES`` minwise
-tokens. In tree t a node holds the classes that share token t; a node above
-``NODE`` classes branches on the next two tokens, twice at most, so that classes
-which only share a common passage part. Nodes that are small are compared
-exhaustively on full shingle sets. A node that stays large after branching
-holds a crowd of similar classes: crowds are known by their most popular class
-(the one whose nodes are largest), met in any tree. A crowd is compared in
+tokens. In tree t a node holds the classes that share token t. A node of
+up to ``NODE`` classes is compared exhaustively on full shingle sets. In a larger
+one the most popular class (the one whose nodes are largest) leads. Where fewer
+than half of the classes are alike to the leader, the node branches on the next
+two tokens, so that classes which only share a common passage part. Otherwise,
+or after the last branching, it is a crowd, known by its leader in any tree. A crowd is compared in
 blocks, first every class with the leader and its block, then, once components
 are known, the classes outside the leader's component with all of the crowd.
 Links exist only where full sets satisfy 100 * intersection >= 75 * union.
@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,8 +36,10 @@ from tickloom.llm.shingles import fingerprint, minwise, shingle_sets
 
 TREES = 12
 NODE = 64
+#: Times a node of unlike classes may branch, and the equal tokens that make a class alike to its leader.
+DEPTH, ALIKE = 3, 7
 #: Classes of a crowd that are compared in one block.
-BLOCK = 128
+BLOCK = 256
 MIN_PERCENT = 75
 _CHARS = 2_000_000
 
@@ -51,22 +54,27 @@ def _in_slices(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
 def signatures(docs: DataFrame, trees: int = TREES) -> DataFrame:
     """From (doc_id, text): n_shingles, the set's fingerprint (set_a, set_b) and its minwise tokens (null for empty sets)."""
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for part in _in_slices(pdf):
-                hashes, offsets = shingle_sets(list(part["text"]))
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, at = batch.column(1), 0
+            while at < len(texts):
+                part, chars = [], 0
+                while at + len(part) < len(texts) and chars < _CHARS:
+                    part.append(texts[at + len(part)].as_py())
+                    chars += len(part[-1] or "")
+                hashes, offsets = shingle_sets(part)
                 n = np.diff(offsets)
-                out = pd.DataFrame({"doc_id": part["doc_id"].array, "n_shingles": n, "set_a": np.zeros(len(n), np.int64), "set_b": np.zeros(len(n), np.int64), "tokens": None})
+                marks, tokens = np.zeros((2, len(n)), np.int64), [None] * len(n)
                 full = np.flatnonzero(n)
                 if len(full):
-                    a, b = fingerprint(hashes, offsets)
-                    out.loc[full, "set_a"], out.loc[full, "set_b"] = a.view(np.int64), b.view(np.int64)
-                    tokens = np.empty(len(n), dtype=object)
-                    tokens[full] = list(minwise(hashes, offsets, trees).view(np.int64))
-                    out["tokens"] = tokens
-                yield out
+                    marks[:, full] = [x.view(np.int64) for x in fingerprint(hashes, offsets)]
+                    for i, row in zip(full, minwise(hashes, offsets, trees).view(np.int64).tolist(), strict=True):
+                        tokens[i] = row
+                columns = [batch.column(0).slice(at, len(part)), pa.array(n), *map(pa.array, marks), pa.array(tokens, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "set_a", "set_b", "tokens"])
+                at += len(part)
 
-    return docs.mapInPandas(sign, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, tokens array<bigint>")
+    return docs.mapInArrow(sign, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, tokens array<bigint>")
 
 
 def _sized(keys: DataFrame) -> DataFrame:
@@ -75,34 +83,60 @@ def _sized(keys: DataFrame) -> DataFrame:
     return keys.join(sizes, "node")
 
 
+def _split(big: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Large nodes by kind: rows (leader, fame, doc) of alike nodes, and the members of the others.
+
+    A node is alike when at least half of its classes share ALIKE tokens with its leader. It stays whole.
+    """
+    leaders = big.groupBy("node").agg(F.max(F.struct("popular", (-F.col("doc")).alias("least"), "tokens")).alias("l"))
+    led = big.join(leaders, "node")
+    agree = F.aggregate(F.zip_with("tokens", "l.tokens", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
+    led = led.select("node", "doc", "tokens", "last", "popular", (-F.col("l.least")).alias("leader"), F.col("l.popular").alias("fame"), (agree >= ALIKE).alias("near"))
+    alike = led.groupBy("node").agg((2 * F.count_if("near") >= F.count(F.lit(1))).alias("alike"))
+    told = cut(led.join(alike, "node"), "large")
+    return told.filter("alike").select("leader", "fame", "doc"), told.filter("NOT alike")
+
+
+def _merged(crowds: DataFrame) -> DataFrame:
+    """Rows (leader, doc) after each crowd has joined the most famous one that its leader is a member of, twice over.
+
+    The nodes of different trees hold much the same crowd under several leaders; merged, it is compared once.
+    """
+    for _ in range(2):
+        leaders = crowds.select(F.col("leader").alias("doc")).distinct()
+        best = crowds.join(leaders, "doc", "left_semi").groupBy(F.col("doc").alias("leader")).agg(F.max(F.struct("fame", (-F.col("leader")).alias("least"))).alias("b"))
+        crowds = crowds.drop("fame").join(best, "leader").select((-F.col("b.least")).alias("leader"), F.col("b.fame").alias("fame"), "doc").distinct()
+    return crowds.select("leader", "doc")
+
+
 def _branch(members: DataFrame) -> DataFrame:
     """Children of large nodes: the node's key with each of the next two tokens after the last one chosen."""
-    big = members.filter(F.col("size") > NODE)
     at = lambda s: F.pmod(F.col("last") + s, F.size("tokens")).cast("int")
     child = F.explode(F.array(*[F.struct(at(s).alias("last"), F.xxhash64("node", at(s), F.element_at("tokens", at(s) + 1)).alias("node")) for s in (1, 2)]))
-    return big.select("doc", "tokens", "popular", child.alias("c")).select("doc", "tokens", "popular", F.col("c.last").alias("last"), F.col("c.node").alias("node"))
+    return members.select("doc", "tokens", "popular", child.alias("c")).select("doc", "tokens", "popular", F.col("c.last").alias("last"), F.col("c.node").alias("node"))
 
 
 def cells_of(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(small, crowds): rows (cell, doc) of nodes to compare whole, once for equal memberships, and rows (leader, doc) of crowds."""
     first = classes.select("doc", "tokens", F.posexplode("tokens").alias("last", "token"))
-    keys = first.select("doc", "tokens", "last", F.xxhash64("last", "token").alias("node"))
-    one = cut(_sized(keys), "nodes")
-    popular = one.groupBy("doc").agg(F.sum("size").alias("popular"))
-    big = one.filter(F.col("size") > NODE).join(popular, "doc")
-    two = cut(_sized(_branch(big)), "nodes")
-    three = cut(_sized(_branch(two)), "nodes")
-    small = None
-    for level in (one, two, three):
-        part = level.filter(F.col("size") <= NODE).select("node", "doc")
-        small = part if small is None else small.unionByName(part)
-    mark = small.groupBy("node").agg(F.sum(F.pmod(F.xxhash64(F.lit(1), "doc"), F.lit(1 << 50))).alias("x"), F.sum(F.pmod(F.xxhash64(F.lit(2), "doc"), F.lit(1 << 50))).alias("y"), F.count(F.lit(1)).alias("k"))
-    once = mark.groupBy("x", "y", "k").agg(F.min("node").alias("node")).select("node")
-    small = small.join(once, "node").select(F.col("node").alias("cell"), "doc").distinct()
-    crowd = three.filter(F.col("size") > NODE).select("node", "doc", "popular")
-    leaders = crowd.groupBy("node").agg(F.max(F.struct("popular", (-F.col("doc")).alias("least"))).alias("l")).select("node", (-F.col("l.least")).alias("leader"))
-    crowds = crowd.join(leaders, "node").select("leader", "doc").distinct()
-    return small, crowds
+    one = cut(_sized(first.select("doc", "tokens", "last", F.xxhash64("last", "token").alias("node"))), "nodes")
+    small = one.filter(F.col("size") <= NODE).select("node", "doc")
+    big = one.filter(F.col("size") > NODE)
+    crowds = None
+    if not big.isEmpty():
+        popular = one.groupBy("doc").agg(F.sum("size").alias("popular"))
+        crowds, mixed = _split(big.join(popular, "doc"))
+        for depth in range(1, DEPTH):
+            level = cut(_sized(_branch(mixed)), "nodes")
+            small = small.unionByName(level.filter(F.col("size") <= NODE).select("node", "doc"))
+            alike, mixed = _split(level.filter(F.col("size") > NODE))
+            crowds = crowds.unionByName(alike)
+        crowds = _merged(cut(crowds.unionByName(mixed.select("leader", "fame", "doc")).distinct(), "crowds"))
+    else:
+        crowds = one.select(F.col("doc").alias("leader"), "doc").filter("false")
+    mark = small.groupBy("node").agg(*[F.sum(F.pmod(F.xxhash64(F.lit(i), "doc"), F.lit(1 << 50))).alias(f"m{i}") for i in (1, 2)], F.count(F.lit(1)).alias("k"))
+    once = mark.groupBy("m1", "m2", "k").agg(F.min("node").alias("node")).select("node")
+    return small.join(once, "node").select(F.col("node").alias("cell"), "doc"), crowds.distinct()
 
 
 def _links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
@@ -203,7 +237,7 @@ def compare(cells: DataFrame) -> DataFrame:
             yield pd.DataFrame(close(), columns=["a", "b"], dtype=np.int64)
 
     dealt = cells.repartition("cell").sortWithinPartitions("cell", "side", "doc")
-    return dealt.mapInPandas(run, "a bigint, b bigint").distinct()
+    return dealt.mapInPandas(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trees: int = TREES) -> DataFrame:
@@ -228,9 +262,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = cut(components(edges), "components")
     rest = _outsiders(crowds, found)
     if rest is not None:
-        more = cut(compare(rest.join(texts, "doc").select("cell", "doc", "side", "set_a", "set_b", "text")), "links")
-        if not more.isEmpty():
-            found = cut(components(edges.unionByName(more)), "components")
+        more = compare(rest.join(texts, "doc").select("cell", "doc", "side", "set_a", "set_b", "text"))
+        found = _joined(found, cut(more.distinct(), "links"))
     of_class = classes.select(*own, F.col("doc").alias("_rep")).join(found.withColumnRenamed("node", "_rep"), "_rep", "left").select(*own, F.coalesce("component", "_rep").alias("_component"))
     out = signed.select("doc_id", *own).join(of_class, own, "left")
     release(texts)
@@ -238,6 +271,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _joined(found: DataFrame, more: DataFrame) -> DataFrame:
+    """Components after further links: only the components that those links join are settled anew."""
+    if more.isEmpty():
+        return found
+    end = lambda c: found.select(F.col("node").alias(c), F.col("component").alias(f"_{c}"))
+    ends = more.join(end("a"), "a", "left").join(end("b"), "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+    merged = cut(components(ends), "components").select(F.col("node").alias("component"), F.col("component").alias("_to"))
+    fresh = more.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(found, "node", "left_anti").withColumn("component", F.col("node"))
+    return found.unionByName(fresh).join(merged, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+
+
 def _outsiders(crowds: DataFrame, found: DataFrame) -> DataFrame | None:
     """Rows (cell, doc, side) that pair blocks of the classes outside their leader's component with blocks of the whole crowd."""
     own = found.select(F.col("node").alias("doc"), F.col("component").alias("mine"))
