@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -63,10 +64,11 @@ def ema(df: DataFrame, value: str, out: str, key: str, rank: str, alpha: float =
 
     The recursion is linear, so it needs no fold: inside a block of ``block`` ranks it is one running sum of
     weighted values, and what earlier blocks add is the weighted total of the block before; older ones weigh
-    less than double precision shows. The frame partitions by (key, block), so one key spreads over tasks.
+    less than double precision shows, for blocks are at least that long. The frame partitions by (key, block), so one key spreads over tasks.
     A NaN stays in every later value.
     """
     keep = 1.0 - alpha
+    block = max(block, math.ceil(-40 / math.log(keep)))
     pos = F.pmod(F.col(rank) - 1, F.lit(block))
     weight = F.when(F.col(rank) == 1, F.lit(1.0)).otherwise(F.lit(alpha))
     d = df.withColumn("_b", F.floor((F.col(rank) - 1) / block)).withColumn("_p", pos).withColumn("_w", weight * F.nanvl(value, F.lit(0.0)) * F.pow(F.lit(keep), -F.col("_p")))
