@@ -31,15 +31,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.scratch import cut
 from tickloom.llm.shingles import _powers, mix
 
 WIDTH = 100
-GRAM = 32
-BLOCK_BYTES = 16_000_000
+GRAM = 48
+BLOCK_BYTES = 8_000_000
 SLICE = 1 << 19
 COLUMNS = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept", "rest"]
 #: Ids travel as text, which pandas keeps exact beside nulls.
@@ -47,10 +47,11 @@ OUT = "doc_id string, n_bytes bigint, n_removed bigint, n_spans bigint, kept bin
 
 
 class Block:
-    """Documents of a block in order, as one buffer with a zero byte after each."""
+    """Documents of a block in order, as one buffer with a zero byte after each. Places in it have 32 bits."""
 
     def __init__(self, pdf: pd.DataFrame):
-        rows = sorted((-1 if i is None else 0, int(i or 0), t or "", r or "") for i, t, r in zip(pdf["doc_id"], pdf["text"], pdf["rest"], strict=True))
+        tables = [pa.ipc.open_stream(x).read_all().to_pydict() for x in pdf["payload"]]
+        rows = sorted((-1 if i is None else 0, i or 0, t or "", r or "") for x in tables for i, t, r in zip(x["doc_id"], x["text"], x["rest"], strict=True))
         self.ids = [None if k else str(i) for k, i, _, _ in rows]
         self.rest = [r for _, _, _, r in rows]
         data = [t.encode("utf-8", "surrogatepass") for _, _, t, _ in rows]
@@ -58,6 +59,8 @@ class Block:
         self.starts = np.concatenate(([0], np.cumsum(self.sizes + 1)))
         self.raw = b"\0".join(data) + b"\0"
         self.buf = np.frombuffer(self.raw, dtype=np.uint8)
+        if len(self.buf) >= 2**32:
+            raise ValueError("a block holds 4 GB or more")
 
     def _hashed(self, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
         """Prefix sums for windows a..b-1 and the inverse powers they go with."""
@@ -119,7 +122,7 @@ class Block:
             place = np.repeat(start[lo:hi] - a - np.cumsum(n) + n, n) + np.arange(n.sum())
             gram = lambda i, s=sums, d=down: mix((s[i + GRAM] - s[i]) * d[i])
             second = np.zeros(len(place), dtype=np.uint64)
-            for shift in (0, GRAM, 2 * GRAM, WIDTH - GRAM):
+            for shift in (*range(0, WIDTH - GRAM, GRAM), WIDTH - GRAM):
                 second = second * np.uint64(0x9E3779B97F4A7C15) + gram(place + shift)
             out[0].append(place + a)
             out[1].append(mix((sums[place + WIDTH] - sums[place]) * down[place]))
@@ -157,18 +160,34 @@ def _cuts(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
             yield int(bucket[a]), int(a), int(b)
 
 
-def _blobs(pdf: pd.DataFrame, width: int) -> tuple[np.ndarray, np.ndarray, pd.DataFrame]:
-    """Rows in order of block, their uint64 columns stacked, and the row that each entry is from."""
+def _blobs(pdf: pd.DataFrame, kinds: tuple[str, ...]) -> tuple[list[np.ndarray], np.ndarray, pd.DataFrame]:
+    """Rows in order of block, the columns of their blobs joined, and the row that each entry is from."""
     pdf = pdf.sort_values("block", kind="stable").reset_index(drop=True)
-    parts = [np.frombuffer(x, dtype=np.uint64).reshape(width, -1) for x in pdf["blob"]]
-    return np.concatenate(parts, axis=1), np.repeat(np.arange(len(parts)), [p.shape[1] for p in parts]), pdf
+    parts = [_columns(x, kinds) for x in pdf["blob"]]
+    return [np.concatenate(c) for c in zip(*parts, strict=True)], np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts]), pdf
+
+
+def _columns(blob: bytes, kinds: tuple[str, ...]) -> list[np.ndarray]:
+    n, out, at = len(blob) // sum(int(k[1:]) for k in kinds), [], 0
+    for k in kinds:
+        out.append(np.frombuffer(blob, dtype=k, count=n, offset=at))
+        at += n * int(k[1:])
+    return out
+
+
+def _blob(kinds: tuple[str, ...], *columns: np.ndarray) -> bytes:
+    return b"".join(np.ascontiguousarray(c).astype(k).tobytes() for k, c in zip(kinds, columns, strict=True))
+
+
+#: k-gram (its bucket holds further bits) and content; window, second fingerprint and place; span.
+ENTRY, SUFFIX, SPAN = ("u4", "u8"), ("u8", "u4", "u4"), ("u4", "u4")
 
 
 def _send(buckets: int):
     def send(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         _, _, h, c = Block(pdf).segments()
         bucket, eh, ec, _, _ = _by_gram(h, c, buckets)
-        rows = [(p, key[0], np.stack((eh[a:b], ec[a:b])).tobytes()) for p, a, b in _cuts(bucket)]
+        rows = [(p, key[0], _blob(ENTRY, eh[a:b] >> np.uint64(32), ec[a:b])) for p, a, b in _cuts(bucket)]
         return pd.DataFrame(rows, columns=["bucket", "block", "blob"])
 
     return send
@@ -176,7 +195,7 @@ def _send(buckets: int):
 
 def _judge(pdf: pd.DataFrame) -> pd.DataFrame:
     """Per entry: 0 nothing repeats, 1 an equal segment stands in an earlier block, 3 segments of the k-gram differ."""
-    (h, c), row, pdf = _blobs(pdf, 2)
+    (h, c), row, pdf = _blobs(pdf, ENTRY)
     order = np.lexsort((np.arange(len(h)), h))
     hs, cs = h[order], c[order]
     heads = np.flatnonzero(np.concatenate(([True], hs[1:] != hs[:-1])))
@@ -189,10 +208,10 @@ def _judge(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _resolve(buckets: int):
-    """A block's covered spans (kind 0) and the windows that other blocks may hold too (kind 1, by bucket)."""
+    """A block's covered spans (kind 0, key is the block) and the windows that other blocks may hold too (kind 1, key is the bucket)."""
 
     def resolve(key: tuple, pdf: pd.DataFrame, codes: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"kind": [], "bucket": [], "block": [], "blob": []})
+        empty = pd.DataFrame({"kind": [], "key": [], "block": [], "blob": []})
         if not len(pdf) or not len(codes):
             return empty
         block = Block(pdf)
@@ -212,23 +231,25 @@ def _resolve(buckets: int):
         bucket = _bucket(one[keep], buckets)
         rank = np.argsort(bucket, kind="stable")
         keep, bucket = keep[rank], bucket[rank]
-        rows = [(0, 0, key[0], np.concatenate(spans, axis=1).astype(np.uint64).tobytes())]
-        rows += [(1, p, key[0], np.stack((one[keep[x:y]], two[keep[x:y]], place[keep[x:y]].astype(np.uint64))).tobytes()) for p, x, y in _cuts(bucket)]
-        return pd.DataFrame(rows, columns=["kind", "bucket", "block", "blob"])
+        rows = [(0, key[0], key[0], _blob(SPAN, *np.concatenate(spans, axis=1)))]
+        rows += [(1, p, key[0], _blob(SUFFIX, one[keep[x:y]], two[keep[x:y]] >> np.uint64(32), place[keep[x:y]])) for p, x, y in _cuts(bucket)]
+        return pd.DataFrame(rows, columns=["kind", "key", "block", "blob"])
 
     return resolve
 
 
-def _meet(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Spans of windows whose equal stands in an earlier block: the previous element in suffix order is equal."""
-    (one, two, place), row, pdf = _blobs(pdf, 3)
+def _meet(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+    """Spans of windows whose equal stands in an earlier block: the previous element in suffix order is equal. Spans pass."""
+    if key[0] == 0:
+        return pdf[["block", "blob"]]
+    (one, two, place), row, pdf = _blobs(pdf, SUFFIX)
     order = np.lexsort((row, two, one))
     a, b = one[order], two[order]
     later = order[np.concatenate(([False], (a[1:] == a[:-1]) & (b[1:] == b[:-1])))]
     rows = []
     for r in np.unique(row[later]):
         at = place[later[row[later] == r]]
-        rows.append((pdf["block"].iat[r], np.stack((at, at + np.uint64(WIDTH))).tobytes()))
+        rows.append((pdf["block"].iat[r], _blob(SPAN, at, at + np.uint32(WIDTH))))
     return pd.DataFrame(rows, columns=["block", "blob"])
 
 
@@ -236,8 +257,8 @@ def _remove(key: tuple, pdf: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
     if not len(pdf):
         return pd.DataFrame(columns=COLUMNS)
     block = Block(pdf)
-    parts = [np.frombuffer(x, dtype=np.uint64).reshape(2, -1) for x in spans["blob"]] or [np.zeros((2, 0), np.uint64)]
-    lo, hi = np.concatenate(parts, axis=1).astype(np.int64)
+    parts = [_columns(x, SPAN) for x in spans["blob"]] or [[np.zeros(0, np.uint32)] * 2]
+    lo, hi = (np.concatenate(c).astype(np.int64) for c in zip(*parts, strict=True))
     order = np.argsort(lo, kind="stable")
     lo, hi = lo[order], np.maximum.accumulate(hi[order]) if len(hi) else hi
     new = np.flatnonzero(np.concatenate(([True], lo[1:] > hi[:-1]))) if len(lo) else np.zeros(0, np.int64)
@@ -267,31 +288,41 @@ def _texted(key: tuple, pdf: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
 
 
 def in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
-    """(block, doc_id, text) with blocks of consecutive doc_ids and about ``block_bytes`` bytes, and their number."""
+    """Rows (block, payload) and the number of blocks, from (doc_id, text, rest).
+
+    Blocks hold consecutive doc_ids and about ``block_bytes`` bytes. A payload is an Arrow stream of some of a
+    block's documents, compressed, since texts cross the network once for each pass.
+    """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-size // block_bytes))
-    named = docs.withColumn("doc_id", F.col("doc_id").cast("string"))
-    if n == 1:
-        return named.withColumn("block", F.lit(0).cast("long")), 1
-    bounds = docs.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], max(10_000, 20 * n))).first()[0] or []
-    edges = np.unique(np.array(bounds, dtype=np.int64))
-
-    @F.pandas_udf("bigint")
-    def block(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(edges, ids.to_numpy(dtype=np.int64), side="left"))
-
-    first = F.lit(-(2**63)).cast("long")
-    return named.withColumn("block", block(F.coalesce(F.col("doc_id").cast("long"), first))), n
+    bounds = docs.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)], max(10_000, 20 * n))).first()[0] if n > 1 else []
+    edges = np.unique(np.array(bounds or [], dtype=np.int64))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for batch in batches:
+            ids = batch.column(0).fill_null(-(2**63)).to_numpy(zero_copy_only=False)
+            home = np.searchsorted(edges, ids, side="left")
+            order = np.argsort(home, kind="stable")
+            blocks, payloads = [], []
+            for block, a, b in _cuts(home[order]):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema, options=options) as out:
+                    out.write_batch(batch.take(pa.array(order[a:b])))
+                blocks.append(block)
+                payloads.append(sink.getvalue().to_pybytes())
+            yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array(payloads, pa.binary())], ["block", "payload"])
+
+    return docs.select("doc_id", "text", "rest").mapInArrow(deal, "block bigint, payload binary"), n
 
 
 def _spans(docs: DataFrame, block_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """Blocks and their covered spans. One plan uses the blocks three times, so that their exchange is written once."""
     blocks, n = in_blocks(docs, block_bytes)
     sent = blocks.groupBy("block").applyInPandas(_send(n), "bucket bigint, block bigint, blob binary")
     codes = sent.groupBy("bucket").applyInPandas(_judge, "block bigint, bucket bigint, codes binary")
-    found = blocks.groupBy("block").cogroup(codes.groupBy("block")).applyInPandas(_resolve(n), "kind int, bucket bigint, block bigint, blob binary")
-    found = cut(found, "repeats")
-    met = found.filter("kind = 1").groupBy("bucket").applyInPandas(_meet, "block bigint, blob binary")
-    return blocks, found.filter("kind = 0").select("block", "blob").unionByName(met)
+    found = blocks.groupBy("block").cogroup(codes.groupBy("block")).applyInPandas(_resolve(n), "kind int, key bigint, block bigint, blob binary")
+    return blocks, found.groupBy("kind", "key").applyInPandas(_meet, "block bigint, blob binary")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
