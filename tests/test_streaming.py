@@ -20,11 +20,11 @@ MESSAGES = "event_id bigint, seq bigint, now_ms bigint, value string"
 def messages(spark, tmp_path_factory):
     """The fixture's payloads as three files in arrival order."""
     path = tmp_path_factory.mktemp("messages")
-    raw = fx.raw_messages(spark, DATA).filter("event_id < 300").cache()
-    cuts = [0, 200, 400, 10_000]
+    raw = fx.raw_messages(spark, DATA).filter("event_id < 200").cache()
+    cuts = [0, 150, 10_000]
     for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
         raw.filter((F.col("seq") >= a) & (F.col("seq") < b)).coalesce(1).write.mode("append").parquet(f"{path}/part={i}")
-    scorer.configure(spark)
+    scorer.configure(spark, replay=True)
     return raw, str(path)
 
 
@@ -60,9 +60,9 @@ def test_sinks_repeat_safely(spark, messages, tmp_path):
     bad = spark.read.parquet(f"{tmp_path}/store/quarantine").count()
     assert ok + bad == batch.count() and ok == batch.filter(q.valid_row()).count()
     latest = scorer.latest_writer(str(tmp_path / "latest"))
-    latest(batch.filter("seq < 300"), 0)
-    latest(batch.filter("seq >= 300"), 1)
-    latest(batch.filter("seq >= 300"), 1)
+    latest(batch.filter("seq < 200"), 0)
+    latest(batch.filter("seq >= 200"), 1)
+    latest(batch.filter("seq >= 200"), 1)
     got = {r["symbol"]: r["seq"] for r in spark.read.parquet(f"{tmp_path}/latest/version=1").collect()}
     want = {r["symbol"]: r["m"] for r in batch.filter("symbol <> 'ERROR'").groupBy("symbol").agg(F.max("seq").alias("m")).collect()}
     assert got == want
@@ -70,7 +70,7 @@ def test_sinks_repeat_safely(spark, messages, tmp_path):
 
 def test_bars_stream_plan(spark, messages, tmp_path):
     _, path = messages
-    stream = streams.read_files(spark, f"{path}/part=*", MESSAGES, per_trigger=10)
+    stream = streams.read_files(spark, f"{path}/part=*", MESSAGES, per_trigger=1)
     scored = parse_ticks(stream).filter("NOT parse_error").withColumn("quality_score", F.lit(1.0))
     run(scorer.bars_stream(scored), tmp_path, name="bars_stream")
     assert spark.table("bars_stream").count() > 0

@@ -20,8 +20,13 @@ CARRIED = "symbol string, seq bigint, ts_ms bigint, now_ms bigint, price double,
 SCORED = CARRIED + ", last_ts bigint, last_price double, price_ema double, volume_ema double, volume_ref double"
 
 
-def configure(spark: SparkSession) -> None:
-    """Session settings that the stateful operators need: RocksDB state with changelog checkpoints."""
+def configure(spark: SparkSession, replay: bool = False) -> None:
+    """Session settings that the stateful operators need: RocksDB state with changelog checkpoints.
+
+    ``replay``: the stream ends with its input (availableNow). Expiry by processing time would otherwise ask for
+    another batch forever; without batches that bring no data, the query stops after the last one that does.
+    """
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(not replay).lower())
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
