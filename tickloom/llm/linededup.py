@@ -113,14 +113,15 @@ def kept_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` with later copies of lines taken out of the text, and the counts n_lines and n_removed in ``_lines``."""
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    keep = kept_lines(plain, min_chars).withColumnsRenamed({"doc_id": "_doc", "keep": "_keep"})
-    parts = F.split(F.col(text_col), "\n")
-    short = f"filter(transform(_parts, (l, i) -> CASE WHEN length(l) < {min_chars} THEN i ELSE -1 END), i -> i >= 0)"
-    stay = F.when(F.col(id_col).isNull(), F.expr("sequence(0, size(_parts) - 1)")).otherwise(F.expr(f"array_sort(array_union({short}, coalesce(_keep, array())))"))
-    joined = docs.join(keep.hint("merge"), docs[id_col].cast("long") == F.col("_doc"), "left").withColumn("_parts", parts).withColumn("_stay", stay)
-    out = joined.withColumn("_lines", F.struct(F.coalesce(F.size("_parts"), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("_parts") - F.size("_stay"), F.lit(0)).cast("long").alias("n_removed")))
-    text = F.expr("array_join(transform(_stay, i -> _parts[i]), '\n')")
-    return out.withColumn(text_col, F.when(F.col(text_col).isNotNull(), text)).select(*docs.columns, "_lines")
+    keep = kept_lines(plain, min_chars).select(F.col("doc_id").alias("_k"), "keep")
+    held = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
+    joined = held.join(keep.hint("merge"), F.col("_id") == F.col("_k"), "left").withColumn("parts", F.split("_text", "\n"))
+    short = f"filter(transform(parts, (l, i) -> CASE WHEN length(l) < {min_chars} THEN i ELSE -1 END), i -> i >= 0)"
+    stay = F.when(F.col("_id").isNull(), F.expr("sequence(0, size(parts) - 1)")).otherwise(F.expr(f"array_sort(array_union({short}, coalesce(keep, array())))"))
+    out = joined.withColumn("stay", stay)
+    counts = F.struct(F.coalesce(F.size("parts"), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("parts") - F.size("stay"), F.lit(0)).cast("long").alias("n_removed"))
+    text = F.when(F.col("_text").isNotNull(), F.expr("array_join(transform(stay, i -> parts[i]), '\n')"))
+    return out.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns], counts.alias("_lines"))
 
 
 ORACLE = r"""
