@@ -31,7 +31,7 @@ FENCE = 3
 #: Groups of fewer base-passing documents use a merged sketch.
 MIN_GROUP = 100
 
-_WORDS = r"filter(split(translate(t, '\t\n\u000b\f\r', '     '), ' '), w -> w <> '')"
+_WORDS = r"filter(split(translate(t, '\t\n\u000b\u000c\r', '     '), ' '), w -> w <> '')"
 _HASHES = f"transform(sequence(1, size(ws) - {WINDOW - 1}), i -> xxhash64(slice(ws, i, {WINDOW})))"
 #: Positions of windows that another window of the text equals, in text order; then the words they cover.
 _COVERED = f"""
@@ -53,9 +53,9 @@ def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ke
         "doc_id",
         *keys,
         F.expr(_WORDS).alias("ws"),
-        F.expr(r"length(translate(t, ' \t\n\u000b\f\r', ''))").cast("long").alias("word_chars"),
+        F.expr(r"length(translate(t, ' \t\n\u000b\u000c\r', ''))").cast("long").alias("word_chars"),
         (F.length("t") - F.length(F.translate("t", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
-        F.expr(r"transform(array(filter(split(t, '\n'), l -> length(translate(l, ' \t\u000b\f\r', '')) > 0)), l -> struct(size(l) AS n, size(array_distinct(l)) AS d))[0]").alias("ls"),
+        F.expr(r"transform(array(filter(split(t, '\n'), l -> length(translate(l, ' \t\u000b\u000c\r', '')) > 0)), l -> struct(size(l) AS n, size(array_distinct(l)) AS d))[0]").alias("ls"),
     )
     repeats = F.expr(f"CASE WHEN size(ws) < {WINDOW} THEN 0L ELSE transform(array({_HASHES}), hs -> CASE WHEN size(array_distinct(hs)) = size(hs) THEN 0L ELSE {_COVERED} END)[0] END")
     return words.select(
