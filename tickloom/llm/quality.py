@@ -146,3 +146,41 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     for m in MEASURES:
         inside = inside & F.col(m).between(F.col(f"lo_{m}"), F.col(f"hi_{m}"))
     return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.when(F.col("base_failed"), F.lit(False)).otherwise(F.coalesce(inside, F.lit(True))).alias("kept"))
+
+
+def oracle_sql() -> str:
+    """The same counts, sketches and verdicts in DuckDB SQL."""
+    blank = r"[\x20\x09-\x0D]"
+    shift = "greatest(length(bin(v)) - 5, 0)"
+    top = "greatest(bucket // 16 - 1, 0)"
+
+    def quartile(name: str, keys: str) -> str:
+        by = f"{keys}, " if keys else ""
+        return f"""{name} AS (SELECT {by}measure, max(total) AS n, min(CASE WHEN 4 * upto >= total THEN hi END) AS q1, min(CASE WHEN 4 * upto >= 3 * total THEN hi END) AS q3
+  FROM (SELECT {by}measure, ((bucket - 16 * {top} + 1) << {top}::INT) - 1 AS hi, sum(n) OVER (PARTITION BY {by}measure ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {by}measure) AS total
+    FROM (SELECT {by}measure, bucket, sum(n) AS n FROM s GROUP BY ALL)) GROUP BY ALL)"""
+
+    names = ", ".join(f"'{m}'" for m in MEASURES)
+    limits = ", ".join(f"({slack}, '{m}', {str(low).lower()})" for m, (slack, low) in MEASURES.items())
+    inside = " AND ".join(f"{m} BETWEEN lo['{m}'] AND hi['{m}']" for m in MEASURES)
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, list_filter(string_split_regex(t, '{blank}+'), lambda x: x <> '') AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+win AS (SELECT rid, i, array_to_string(ws[i:i + 7], ' ') AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) >= 8)),
+rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM win) WHERE c > 1),
+cov AS (SELECT rid, count(DISTINCT j) AS n FROM (SELECT rid, unnest(range(i, i + 8)) AS j FROM rep) GROUP BY 1),
+m AS (SELECT w.rid, doc_id, lang, source, len(ws)::BIGINT AS n_words, length(regexp_replace(t, '{blank}', '', 'g'))::BIGINT AS word_chars, (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+  (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words, len(ls)::BIGINT AS n_lines FROM w LEFT JOIN cov USING (rid)),
+r AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, 10000 * n_symbols // greatest(word_chars, 1) AS symbol_rate, 100 * word_chars // greatest(n_words, 1) AS word_length,
+  1000 * n_dup_lines // greatest(n_lines, 1) AS dup_line_rate, 1000 * n_repeat_words // greatest(n_words, 1) AS repeat_rate FROM m),
+s AS (SELECT lang, source, measure, 16 * {shift} + (v >> {shift}::INT) AS bucket, count(*) AS n FROM (SELECT lang, source, unnest([{names}]) AS measure, unnest([{", ".join(MEASURES)}]) AS v FROM r WHERE NOT base_failed) GROUP BY ALL),
+{quartile("own", "lang, source")},
+{quartile("wide", "lang")},
+{quartile("whole", "")},
+p AS (SELECT own.lang, own.source, measure, CASE WHEN own.n >= {MIN_GROUP} THEN own.q1 WHEN wide.n >= {MIN_GROUP} THEN wide.q1 ELSE whole.q1 END AS q1, CASE WHEN own.n >= {MIN_GROUP} THEN own.q3 WHEN wide.n >= {MIN_GROUP} THEN wide.q3 ELSE whole.q3 END AS q3
+  FROM own JOIN wide USING (measure) JOIN whole USING (measure) WHERE own.lang IS NOT DISTINCT FROM wide.lang),
+f AS (SELECT lang, source, map_from_entries(list((measure, CASE WHEN low THEN q1 - {FENCE} * (q3 - q1) - slack ELSE -1 END))) AS lo, map_from_entries(list((measure, q3 + {FENCE} * (q3 - q1) + slack))) AS hi
+  FROM p JOIN (VALUES {limits}) l(slack, measure, low) USING (measure) GROUP BY ALL)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce({inside}, true) AS kept
+FROM r LEFT JOIN f ON r.lang IS NOT DISTINCT FROM f.lang AND r.source IS NOT DISTINCT FROM f.source
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat, linededup, neardup, urlfilter
+from tickloom.llm import chat, linededup, neardup, quality, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,7 +69,19 @@ def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(vectors, vectors.filter("vec_id % 20 = 0"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: pieces, and a sum of hashes of (place, ids) over its units."""
+    from tickloom.llm.pieces import encode_rows
+
+    docs = _table(spark, sf_dir, "documents")
+    mark = F.pmod(F.xxhash64("pos", "ids"), F.lit(1 << 31))
+    found = encode_rows(docs).groupBy("doc_id").agg(F.sum(F.size("ids")).alias("n_pieces"), F.sum(mark).alias("ids_mark"))
+    out = docs.select("doc_id").join(found, "doc_id", "left")
+    return out.select("doc_id", F.coalesce("n_pieces", F.lit(0)).alias("n_pieces"), F.coalesce("ids_mark", F.lit(0)).alias("ids_mark"))
+
+
 QUERIES = {
+    "op2_sentencepiece": op2_sentencepiece,
     "op7_nearest_neighbours": op7_nearest_neighbours,
     "op1_line_dedup": op1_line_dedup,
     "op3_repeat_removal": op3_repeat_removal,
@@ -83,6 +95,7 @@ QUERIES = {
 
 ORACLES: dict[str, str] = {
     "op1_line_dedup": linededup.ORACLE,
+    "op9_quality_rules": quality.oracle_sql(),
     "op10_near_duplicates": neardup.ORACLE,
     "op6_url_filter": urlfilter.oracle_sql(),
     "op8_chat_format": chat.ORACLE,

@@ -179,6 +179,16 @@ def _blob(kinds: tuple[str, ...], *columns: np.ndarray) -> bytes:
     return b"".join(np.ascontiguousarray(c).astype(k).tobytes() for k, c in zip(kinds, columns, strict=True))
 
 
+def _union(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Maximal runs of spans that overlap or touch."""
+    if not len(lo):
+        return lo, hi
+    order = np.argsort(lo, kind="stable")
+    lo, hi = lo[order], np.maximum.accumulate(hi[order])
+    new = np.flatnonzero(np.concatenate(([True], lo[1:] > hi[:-1])))
+    return lo[new], hi[np.append(new[1:], len(hi)) - 1]
+
+
 #: k-gram (its bucket holds further bits) and content; window, second fingerprint and place; span.
 ENTRY, SUFFIX, SPAN = ("u4", "u8"), ("u8", "u4", "u4"), ("u4", "u4")
 
@@ -231,7 +241,7 @@ def _resolve(buckets: int):
         bucket = _bucket(one[keep], buckets)
         rank = np.argsort(bucket, kind="stable")
         keep, bucket = keep[rank], bucket[rank]
-        rows = [(0, key[0], key[0], _blob(SPAN, *np.concatenate(spans, axis=1)))]
+        rows = [(0, key[0], key[0], _blob(SPAN, *_union(*np.concatenate(spans, axis=1))))]
         rows += [(1, p, key[0], _blob(SUFFIX, one[keep[x:y]], two[keep[x:y]] >> np.uint64(32), place[keep[x:y]])) for p, x, y in _cuts(bucket)]
         return pd.DataFrame(rows, columns=["kind", "key", "block", "blob"])
 
@@ -249,7 +259,7 @@ def _meet(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
     rows = []
     for r in np.unique(row[later]):
         at = place[later[row[later] == r]]
-        rows.append((pdf["block"].iat[r], _blob(SPAN, at, at + np.uint32(WIDTH))))
+        rows.append((pdf["block"].iat[r], _blob(SPAN, *_union(at, at + np.uint32(WIDTH)))))
     return pd.DataFrame(rows, columns=["block", "blob"])
 
 
@@ -258,11 +268,7 @@ def _remove(key: tuple, pdf: pd.DataFrame, spans: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(columns=COLUMNS)
     block = Block(pdf)
     parts = [_columns(x, SPAN) for x in spans["blob"]] or [[np.zeros(0, np.uint32)] * 2]
-    lo, hi = (np.concatenate(c).astype(np.int64) for c in zip(*parts, strict=True))
-    order = np.argsort(lo, kind="stable")
-    lo, hi = lo[order], np.maximum.accumulate(hi[order]) if len(hi) else hi
-    new = np.flatnonzero(np.concatenate(([True], lo[1:] > hi[:-1]))) if len(lo) else np.zeros(0, np.int64)
-    lo, hi = lo[new], hi[np.append(new[1:], len(hi)) - 1] if len(hi) else hi
+    lo, hi = _union(*(np.concatenate(c).astype(np.int64) for c in zip(*parts, strict=True)))
     first = np.searchsorted(lo, block.starts[:-1])
     upto = np.searchsorted(lo, block.starts[1:])
     rows = []
