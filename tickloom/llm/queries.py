@@ -1,102 +1,75 @@
-"""The registered queries of this subpackage and their SQL."""
+"""The registered queries of this subpackage and their SQL.
+
+Each applies its operator, with production parameters, to the whole table and returns the whole result.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import chat, linededup, neardup, quality, urlfilter
+from tickloom.llm import ann, chat, langid, linededup, neardup, packing, pieces, quality, repeats, urlfilter
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tickloom.llm.quality import quality_rules
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: lines, removed lines, and the SHA-256 of the remaining text."""
+    out = linededup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "_lines.n_lines", "_lines.n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
-    return quality_rules(_table(spark, sf_dir, "documents"))
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document: pieces, and a sum of hashes of (place, ids) over its units."""
+    docs = _table(spark, sf_dir, "documents")
+    mark = F.pmod(F.xxhash64("pos", "ids"), F.lit(1 << 31))
+    found = pieces.encode_rows(docs).groupBy("doc_id").agg(F.sum(F.size("ids")).alias("n_pieces"), F.sum(mark).alias("ids_mark"))
+    out = docs.select("doc_id").join(found, "doc_id", "left")
+    return out.select("doc_id", F.coalesce("n_pieces", F.lit(0)).alias("n_pieces"), F.coalesce("ids_mark", F.lit(0)).alias("ids_mark"))
 
-def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tickloom.llm.packing import pack
 
-    out = pack(_table(spark, sf_dir, "documents"))
+def op3_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.repeat_digests(_table(spark, sf_dir, "documents"))
+
+
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = packing.pack(_table(spark, sf_dir, "documents"))
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket")
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tickloom.llm.langid import language_id
-
-    return language_id(_table(spark, sf_dir, "documents"))
+    return langid.language_id(_table(spark, sf_dir, "documents"))
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tickloom.llm.urlfilter import url_filter
-
-    return url_filter(_table(spark, sf_dir, "pages"))
-
-
-def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tickloom.llm.chat import chat_format
-
-    return chat_format(_table(spark, sf_dir, "conversations"))
-
-
-def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tickloom.llm.neardup import near_duplicates
-
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    return urlfilter.url_filter(_table(spark, sf_dir, "pages"))
 
 
-def op3_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tickloom.llm.repeats import repeat_digests
-
-    return repeat_digests(_table(spark, sf_dir, "documents"))
-
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.filter("vec_id % 20 = 0"))
 
-def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tickloom.llm.linededup import dedup_lines
-
-    out = dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "_lines.n_lines", "_lines.n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.chat_format(_table(spark, sf_dir, "conversations"))
 
-def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tickloom.llm.ann import nearest
 
-    vectors = _table(spark, sf_dir, "embeddings")
-    return nearest(vectors, vectors.filter("vec_id % 20 = 0"))
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_rules(_table(spark, sf_dir, "documents"))
 
 
-def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document: pieces, and a sum of hashes of (place, ids) over its units."""
-    from tickloom.llm.pieces import encode_rows
-
-    docs = _table(spark, sf_dir, "documents")
-    mark = F.pmod(F.xxhash64("pos", "ids"), F.lit(1 << 31))
-    found = encode_rows(docs).groupBy("doc_id").agg(F.sum(F.size("ids")).alias("n_pieces"), F.sum(mark).alias("ids_mark"))
-    out = docs.select("doc_id").join(found, "doc_id", "left")
-    return out.select("doc_id", F.coalesce("n_pieces", F.lit(0)).alias("n_pieces"), F.coalesce("ids_mark", F.lit(0)).alias("ids_mark"))
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {
-    "op2_sentencepiece": op2_sentencepiece,
-    "op7_nearest_neighbours": op7_nearest_neighbours,
-    "op1_line_dedup": op1_line_dedup,
-    "op3_repeat_removal": op3_repeat_removal,
-    "op10_near_duplicates": op10_near_duplicates,
-    "op6_url_filter": op6_url_filter,
-    "op8_chat_format": op8_chat_format,
-    "op4_packing": op4_packing,
-    "op5_language_id": op5_language_id,
-    "op9_quality_rules": op9_quality_rules,
-}
+QUERIES = {f.__name__: f for f in (op1_line_dedup, op2_sentencepiece, op3_repeat_removal, op4_packing, op5_language_id, op6_url_filter, op7_nearest_neighbours, op8_chat_format, op9_quality_rules, op10_near_duplicates)}
 
 ORACLES: dict[str, str] = {
     "op1_line_dedup": linededup.ORACLE,
-    "op9_quality_rules": quality.oracle_sql(),
-    "op10_near_duplicates": neardup.ORACLE,
     "op6_url_filter": urlfilter.oracle_sql(),
     "op8_chat_format": chat.ORACLE,
+    "op9_quality_rules": quality.oracle_sql(),
+    "op10_near_duplicates": neardup.ORACLE,
 }
