@@ -35,6 +35,8 @@ SMOOTH = 0.02
 LONG = 64
 #: Distinct words kept with their scores before the cache starts anew.
 CACHE = 250_000
+#: Characters of text whose words are scored together, and words in one forward pass.
+BATCH_CHARS, PASS = 1_000_000, 8192
 _B = 0x9E3779B97F4A7C15
 
 
@@ -159,8 +161,8 @@ def word_scores(words: list[bytes], path: str, probs: np.ndarray) -> np.ndarray:
     lengths = pieces.lengths
     out = np.empty((len(words), probs.shape[1]))
     order = np.argsort([len(w) for w in words], kind="stable")
-    for at in range(0, len(order), 16384):
-        rows = order[at : at + 16384]
+    for at in range(0, len(order), PASS):
+        rows = order[at : at + PASS]
         width = len(words[rows[-1]])
         text = np.zeros((width, len(rows)), dtype=np.uint64)
         n = np.array([len(words[r]) for r in rows])
@@ -219,7 +221,7 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], t
             column, at = batch.column(batch.num_columns - 1), 0
             while at < len(column):
                 texts, chars = [], 0
-                while at + len(texts) < len(column) and chars < 4_000_000:
+                while at + len(texts) < len(column) and chars < BATCH_CHARS:
                     texts.append(column[at + len(texts)].as_py())
                     chars += len(texts[-1] or "")
                 split = [t.split() if t is not None else [] for t in texts]

@@ -41,7 +41,8 @@ DEPTH, ALIKE = 3, 7
 #: Classes of a crowd that are compared in one block.
 BLOCK = 256
 MIN_PERCENT = 75
-_CHARS = 2_000_000
+#: Characters of text hashed at once, which bounds a worker's arrays.
+_CHARS = 400_000
 
 
 def _in_slices(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:

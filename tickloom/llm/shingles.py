@@ -47,7 +47,7 @@ def shingle_sets(texts: list[str | None], width: int = SHINGLE) -> tuple[np.ndar
     n = len(data)
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(n + 1, np.int64)
-    up, down = _powers(1 << max(20, int(len(buf)).bit_length()))
+    up, down = _powers(1 << max(19, int(len(buf)).bit_length()))
     lower = buf + ((buf >= 65) & (buf <= 90)) * np.uint8(32)
     total = np.zeros(len(buf) + 1, dtype=np.uint64)
     np.cumsum((lower.astype(np.uint64) + np.uint64(1)) * up[: len(buf)], out=total[1:])
