@@ -80,3 +80,40 @@ def test_kafka_options():
     o = streams.kafka_options("h:9092", "u", "p")
     assert o["kafka.sasl.mechanism"] == "SCRAM-SHA-256" and "u" in o["kafka.sasl.jaas.config"]
     assert "kafka.sasl.mechanism" not in streams.kafka_options("h:9092")
+
+
+def test_switch_escalates_and_halts(spark, tmp_path):
+    """One beat, then silence: timers count misses until the halt; a later beat is ignored until acknowledged."""
+    import time
+
+    from tickloom.streaming import heartbeats
+
+    scorer.configure(spark)
+    schema = "strategy_id string, ts_ms bigint, kind string, positions_hash string"
+    feed = tmp_path / "beats"
+
+    def send(i, *rows):
+        spark.createDataFrame(list(rows), schema).coalesce(1).write.parquet(str(feed / f"n={i}"))
+
+    send(0, ("s", 1, "beat", "h"))
+    stream = streams.read_files(spark, str(feed / "n=*"), schema, per_trigger=1)
+    query = heartbeats.watch(stream, 200).writeStream.option("checkpointLocation", str(tmp_path / "cp")).format("memory").queryName("switch").outputMode("append").start()
+
+    def wait(kind, level):
+        end = time.time() + 120
+        while time.time() < end:
+            if spark.table("switch").filter(f"kind = '{kind}' AND level = '{level}'").count():
+                return True
+            time.sleep(0.5)
+        return False
+
+    try:
+        assert wait("escalated", "HALTED")
+        levels = [r["level"] for r in spark.table("switch").filter("kind = 'escalated'").orderBy("missed").collect()]
+        assert levels == ["WARNING", "ALERT", "CANCEL_ALL", "CANCEL_ALL", "HALTED"]
+        send(1, ("s", 2, "beat", "h"))
+        assert wait("ignored", "HALTED")
+        send(2, ("s", 3, "ack", None))
+        assert wait("acknowledged", "NORMAL")
+    finally:
+        query.stop()
