@@ -33,6 +33,8 @@ from tickloom.llm.scratch import cut
 
 HOT_UNITS = 200_000
 WIDE = 60
+#: Distinct units whose lattices one task builds, so that sorting their edges stays in memory.
+TASK_UNITS = 10_000
 #: Largest vocabulary that is broadcast.
 MAX_PIECES = 500_000
 _UNITS = r" *[\p{L}\p{M}]+| *[^\p{L}\p{M} ]+| +"
@@ -82,35 +84,60 @@ def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def lattice(vocab: DataFrame, path: str) -> DataFrame:
-    """(unit, n, edges) from distinct units of up to WIDE characters, dealt by unit so that grouping needs no shuffle."""
+    """(unit, n, edges) from distinct units of up to WIDE characters, dealt by unit so that grouping needs no shuffle.
+
+    Substrings are some fifty times the units, so the number of tasks follows a count of the units.
+    """
     _, _, longest = load(path)
+    tasks = vocab.count() // TASK_UNITS + 1
     spans = f"transform(sequence(0, n - 1), s -> transform(sequence(s + 1, least(n, s + {longest})), e -> struct(s AS s, e AS e, substring(unit, s + 1, e - s) AS piece)))"
-    sub = vocab.select("unit", F.length("unit").alias("n")).repartition("unit").select("unit", "n", F.explode(F.flatten(F.expr(spans))).alias("x")).select("unit", "n", "x.s", "x.e", "x.piece")
+    sub = vocab.select("unit", F.length("unit").alias("n")).repartition(tasks, "unit").select("unit", "n", F.explode(F.flatten(F.expr(spans))).alias("x")).select("unit", "n", "x.s", "x.e", "x.piece")
     single = F.col("e") - F.col("s") == 1
     edges = sub.join(F.broadcast(piece_table(vocab.sparkSession, path)), "piece", "left").filter(F.col("id").isNotNull() | single)
     edge = F.when(F.col("id").isNotNull(), F.struct("score", (-F.col("s")).alias("left"), "s", "e", "id"))
     return edges.groupBy("unit").agg(F.collect_list(edge).alias("edges")).withColumn("n", F.length("unit"))
 
 
-_INNER = "(shiftleft(1L, x.e) - shiftleft(1L, x.s + 1))"
-_BEST = f"array_max(filter(edges, x -> (shiftright(m, x.s) & 1L) = 1L AND (shiftright(m, x.e) & 1L) = 1L AND bit_count(m & {_INNER}) = 1))"
-_FOLD = f"""CASE WHEN n = 1 THEN 3L ELSE aggregate(sequence(2, n), shiftleft(1L, n + 1) - 1L,
-  (m, k) -> transform(array({_BEST}), x -> CASE WHEN x IS NULL THEN m ELSE m & ~{_INNER} END)[0]) END"""
-_BOUNDS = "filter(sequence(0, n), i -> (shiftright(mask, i) & 1L) = 1L)"
+_INNER = "(shiftleft(1L, {x}.e) - shiftleft(1L, {x}.s + 1))"
+_ENDS = "(shiftright({m}, {x}.s) & 1L) = 1L AND (shiftright({m}, {x}.e) & 1L) = 1L"
+
+
+def _spans(x: str, m: str, symbols: int) -> str:
+    """SQL: edge ``x`` spans so many current symbols of mask ``m``."""
+    return f"{_ENDS.format(x=x, m=m)} AND bit_count({m} & {_INNER.format(x=x)}) = {symbols - 1}"
+
+
+def _drop(x: str, m: str) -> str:
+    return f"{m} & ~{_INNER.format(x=x)}"
+
+
+_FULL = "(shiftleft(1L, n + 1) - 1L)"
+#: The best mergeable edge again and again; as many steps as there can be merges.
+_STEPS = f"""aggregate(sequence(2, n), {_FULL},
+  (m, k) -> transform(array(array_max(filter(edges, x -> {_spans("x", "m", 2)}))), x -> CASE WHEN x IS NULL THEN m ELSE {_drop("x", "m")} END)[0])"""
+#: One pass over the edges from the best down. It is the same unless a merge makes a better edge mergeable, which sets ``odd``.
+_PASS = f"""transform(array(sort_array(filter(edges, x -> x.e - x.s > 1), false)), q -> CASE WHEN size(q) = 0 THEN named_struct('m', {_FULL}, 'odd', false) ELSE
+  aggregate(sequence(0, size(q) - 1), named_struct('m', {_FULL}, 'odd', false), (a, j) -> transform(array(q[j]), x -> CASE WHEN {_spans("x", "a.m", 2)}
+    THEN transform(array({_drop("x", "a.m")}), w -> named_struct('m', w, 'odd', a.odd OR exists(slice(q, 1, j), y -> {_spans("y", "w", 2)})))[0] ELSE a END)[0]) END)[0]"""
+_FOLD = f"transform(array({_PASS}), r -> CASE WHEN r.odd THEN {_STEPS} ELSE r.m END)[0]"
 
 
 def _ids(zero: int) -> str:
-    """SQL from boundaries ``b`` to ids: an edge's id, or the bytes of a character without one."""
+    """SQL from the final mask to ids in order: edges that span one symbol, and the bytes of characters without an edge."""
     bytes_ = f"transform(sequence(1, length(h) div 2), j -> int(conv(substring(h, 2 * j - 1, 2), 16, 10)) + {zero})"
     spelled = f"transform(array(hex(encode(substring(unit, b[k] + 1, b[k + 1] - b[k]), 'UTF-8'))), h -> {bytes_})[0]"
-    return f"flatten(transform(sequence(0, size(b) - 2), k -> transform(array(filter(edges, x -> x.s = b[k] AND x.e = b[k + 1])), f -> CASE WHEN size(f) > 0 THEN array(f[0].id) ELSE {spelled} END)[0]))"
+    each = f"flatten(transform(sequence(0, size(b) - 2), k -> transform(array(filter(f, x -> x.s = b[k])), g -> CASE WHEN size(g) > 0 THEN array(g[0].id) ELSE {spelled} END)[0]))"
+    bounds = "filter(sequence(0, n), i -> (shiftright(mask, i) & 1L) = 1L)"
+    plain = "transform(array_sort(transform(f, x -> struct(x.s AS s, x.id AS id))), x -> x.id)"
+    covered = "aggregate(f, 0, (c, x) -> c + x.e - x.s) = n"
+    final = f"filter(edges, x -> {_spans('x', 'mask', 1)})"
+    return f"transform(array({final}), f -> CASE WHEN {covered} THEN {plain} ELSE transform(array({bounds}), b -> {each})[0] END)[0]"
 
 
 def fold(edges: DataFrame, path: str) -> DataFrame:
-    """(unit, ids) from lattices. Mask and boundaries are bound by lambdas, so that each is worked out once."""
+    """(unit, ids) from lattices. Masks and lists are bound by lambdas, so that each is worked out once."""
     _, zero, _ = load(path)
-    ids = f"transform(array({_FOLD}), mask -> transform(array({_BOUNDS}), b -> {_ids(zero)})[0])[0]"
-    return edges.select("unit", F.expr(ids).alias("ids"))
+    return edges.select("unit", F.expr(f"transform(array({_FOLD}), mask -> {_ids(zero)})[0]").alias("ids"))
 
 
 def merge(unit: str, pieces: dict[str, tuple[int, float]], zero: int) -> list[int]:
