@@ -44,7 +44,7 @@ def _nodes(s, d) -> DataFrame:
 
 
 def _chain_edges(s, d) -> DataFrame:
-    e = fx.table(s, d, "orders").filter("o_orderkey < 400").select(F.concat(F.lit("N"), (F.col("o_custkey") % 40).cast("string")).alias("src"), F.concat(F.lit("N"), (F.col("o_orderkey") % 40).cast("string")).alias("dst"))
+    e = fx.table(s, d, "orders").select(F.concat(F.lit("N"), (F.col("o_custkey") % 40).cast("string")).alias("src"), F.concat(F.lit("N"), (F.col("o_orderkey") % 40).cast("string")).alias("dst"))
     return e.filter("src <> dst").distinct()
 
 
