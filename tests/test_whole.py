@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import json
+from datetime import UTC, datetime, timedelta
+
 from tickloom.plans.registry import QUERIES
+from tickloom.sources.fixtures import AS_OF_EVENTS_MS
 
 
 def test_chain_reads_late_orders(spark, tmp_path):
@@ -15,3 +19,13 @@ def test_chain_reads_late_orders(spark, tmp_path):
         paths = paths + front
     got = QUERIES["causal_chain"](spark, str(tmp_path)).collect()
     assert sorted(tuple(r["path"].split(">")) for r in got) == sorted(paths) and len(paths) > 2
+
+
+def test_no_data_reads_the_whole_span(spark, tmp_path):
+    """A gap of an hour on the last day is reported, at the place it has."""
+    first, step, n = AS_OF_EVENTS_MS - 30 * 86_400_000, 600_000, 30 * 144
+    gap = set(range(n - 10, n - 4))
+    rows = [(k, "view", k, datetime.fromtimestamp((first + k * step) / 1000, UTC).replace(tzinfo=None) + timedelta(seconds=5), 1.0, json.dumps({"k": 1})) for k in range(n) if k not in gap]
+    spark.createDataFrame(rows, "event_id long, event_type string, user_id long, ts timestamp_ntz, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
+    got = [tuple(r) for r in QUERIES["no_data_flow_alert"](spark, str(tmp_path)).select("symbol", "started", "ended", "samples").collect()]
+    assert got == [("SYM_VIEW", first + min(gap) * step, first + max(gap) * step, len(gap))]

@@ -41,7 +41,7 @@ def _alert_runs(s, d) -> DataFrame:
 
 def _no_data(s, d) -> DataFrame:
     t = fx.ticks(s, d)
-    series = alerts.no_data(t, AS_OF - 30 * D, AS_OF - 28 * D, 10 * M)
+    series = alerts.no_data(t, AS_OF - 30 * D, AS_OF, 10 * M)
     return alerts.sustained(series, ["symbol"], "ts_ms", "firing", 1800)
 
 
