@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.langid import identify, learn, remainder
-from tickloom.llm.linededup import dedup_lines
+from tickloom.llm.linededup import CORPUS_EDITS, dedup_lines
 from tickloom.llm.neardup import near_duplicates
 from tickloom.llm.packing import pack
 from tickloom.llm.repeats import strip_repeats
@@ -37,7 +37,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take out later copies of lines; documents that lose every word go."""
-    return _changed(dedup_lines(docs))
+    return _changed(dedup_lines(docs, edits=CORPUS_EDITS))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,22 +1,21 @@
 """Line deduplication by a segment-partition edit join.
 
-A line is removed when an equal line, or one within one edit, stands earlier in
+A line is removed when an equal line, or one within ``edits`` edits, stands earlier in
 the corpus (smaller doc_id, or earlier in the same document). Each is judged
 on the input, not on what is left. Lines with fewer than ``MIN_CHARS``
 characters stay as they are.
 
-Equal lines meet by fingerprint and only their first occurrence goes on. With an
-edit threshold of one, a line splits into two segments. The substring index
-holds, for each length, the first and the second half of the lines of that
-length; a line probes the index of its own length and of the next shorter one,
-with the only two substrings that can match there. Lines that share a key are
-verified on their texts with the banded edit distance of the engine.
+Equal lines meet by fingerprint and only their first occurrence goes on. With a
+threshold of k edits a line splits into k + 1 segments, and a line within k edits
+holds one of them unchanged. The substring index has the segments of every line;
+a line probes the index of its own length and of the next k shorter ones, with the
+substrings whose place leaves enough edits on either side (26 for k = 3). Lines
+that share a key are verified on their texts with the engine's banded edit distance.
 
-A key that more than ``HOT`` lines share is not joined with itself. Its lines
-are one edit apart exactly when the unmatched rest of both is equal after one
-deletion (at the same place for lines of one length), so they are grouped by the
-rest with each character left out, and only the first line of each group is
-needed: the work grows with the lines of the key, not with their pairs.
+In a key that more than ``HOT`` lines share, all lines first meet the ``HOT``
+earliest, which settles crowds of near copies. Only lines that no one has removed
+by then meet the whole key. That is exact; its time is the product of those lines
+and the lines of the key.
 
 Texts meet line numbers in sort-merge joins at every size, so that no plan depends
 on a side that grows with the data being small. All steps are DataFrame functions. Defined results: a null text keeps null and
@@ -28,92 +27,91 @@ Columns other than the id and the text are carried along unread.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tickloom.llm.scratch import cut
 
 MIN_CHARS = 20
+#: Edits that the operator allows by default, and those that the registered query and the pipeline ask for.
+EDITS = 1
+CORPUS_EDITS = 3
 HOT = 64
+#: Keys are dealt out in so many passes, by indexed length, so that few of them are on disk at once.
+PASSES = 3
 
 
-def _half(size: Column) -> Column:
-    return F.floor(size / 2).cast("int")
-
+def _places(edits: int) -> list[tuple[int, int, int]]:
+    """(segment, excess, shift): where a line looks for a segment of a line ``excess`` characters shorter.
 
-def _key(kind: int, size: Column, part: Column) -> Column:
-    return F.xxhash64(F.lit(kind), size, part)
+    A shift is kept when the edits left of the segment and those right of it can both be afforded.
+    """
+    out = []
+    for d in range(edits + 1):
+        for i in range(edits + 1):
+            left, right = i, edits - i
+            out += [(i, d, s) for s in range(max(-left, d - right), min(left, d + right) + 1)]
+    return out
 
 
 def distinct_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """From (doc_id, text): one row per distinct line, with the first place (doc_id, line_no) it has and its four keys.
+    """From (doc_id, text): one row per distinct line, with the first place (doc_id, line_no) it has."""
+    lines = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    lines = lines.filter(F.length("line") >= min_chars)
+    marked = lines.select(F.struct("doc_id", "line_no").alias("at"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("again"), "line").alias("h2"), "line")
+    return marked.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.first("line").alias("line")).select("at", "line")
 
-    ``keys`` are index entries of the line's own length (first half, second half)
-    and probes of the next shorter length (prefix, suffix).
+
+def _keys(lines: DataFrame, edits: int, part: int = 0, parts: int = 1) -> DataFrame:
+    """(key, indexed, doc_id, line_no): the segments of each line, and the substrings that may equal a segment of a line up to ``edits`` characters shorter.
+
+    Keys hold the indexed length, so the lengths of one residue class meet among themselves.
     """
-    lines = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    size = F.length("line")
-    lines = lines.filter(size >= min_chars).withColumn("size", F.length("line"))
-    size = F.col("size")
-    pre = lambda n: F.substring("line", F.lit(1), _half(n))
-    suf = lambda n: F.substring("line", size - (n - _half(n)) + 1, n - _half(n))
-    keys = F.array(*[_key(k, size + d, f(size + d)) for d in (0, -1) for k, f in ((0, pre), (1, suf))])
-    marked = lines.select(F.struct("doc_id", "line_no").alias("at"), "size", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("again"), "line").alias("h2"), keys.alias("keys"))
-    return marked.groupBy("h1", "h2", "size").agg(F.min("at").alias("at"), F.first("keys").alias("keys"))
-
-
-def _candidates(lines: DataFrame) -> DataFrame:
-    """(key, kind, longer, at, many): lines that share a key with an indexed line. ``longer``: the line probes the next shorter length."""
-    rows = lines.select("at", F.posexplode("keys").alias("slot", "key")).select("key", F.col("slot") % 2, F.col("slot") >= 2, "at").toDF("key", "kind", "longer", "at")
-    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("longer")).alias("indexed")).filter("n > 1 AND indexed > 0")
-    return rows.join(counts.select("key", (F.col("n") > HOT).alias("many")), "key")
-
-
-def _close_pairs(cold: DataFrame) -> DataFrame:
-    """Later places of verified pairs."""
-    a = cold.filter(~F.col("longer")).select("key", F.col("at").alias("a"), F.col("line").alias("la"))
-    b = cold.select("key", F.col("at").alias("b"), F.col("line").alias("lb"), "longer")
-    pair = a.join(b, "key").filter((F.col("longer") & (F.col("a") != F.col("b"))) | (F.col("a") < F.col("b")))
-    near = pair.filter(F.levenshtein("la", "lb", 1).between(0, 1))
-    return near.select(F.greatest("a", "b").alias("at"))
-
-
-def _close_in_crowds(hot: DataFrame) -> DataFrame:
-    """Later places among the lines of hot keys, from the unmatched rest of each line with a character left out."""
-    size = F.length("line")
-    short = size - F.col("longer").cast("int")
-    matched = F.when(F.col("kind") == 0, _half(short)).otherwise(short - _half(short))
-    rest = F.when(F.col("kind") == 0, F.substring("line", matched + 1, size)).otherwise(F.substring("line", F.lit(1), size - matched))
-    rows = hot.select("key", "longer", "at", rest.alias("rest"))
-    less = "transform(sequence(1, length(rest)), i -> xxhash64(i, concat(substring(rest, 1, i - 1), substring(rest, i + 1))))"
-    same = rows.filter("NOT longer AND length(rest) > 0").select("key", "at", F.explode(F.expr(less)).alias("v"))
-    whole = rows.filter("NOT longer").select("key", F.lit(False).alias("longer"), "at", F.xxhash64("rest").alias("v"))
-    cut_ = "transform(sequence(1, length(rest)), i -> xxhash64(concat(substring(rest, 1, i - 1), substring(rest, i + 1))))"
-    left = rows.filter("longer AND length(rest) > 0").select("key", F.lit(True).alias("longer"), "at", F.explode(F.array_distinct(F.expr(cut_))).alias("v"))
-    first = same.groupBy("key", "v").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    replaced = same.join(first, ["key", "v"]).filter("at > first").select("at")
-    both = whole.unionByName(left)
-    firsts = both.groupBy("key", "v").agg(F.min(F.when(~F.col("longer"), F.col("at"))).alias("s"), F.min(F.when(F.col("longer"), F.col("at"))).alias("l")).filter("s IS NOT NULL AND l IS NOT NULL")
-    shifted = both.join(firsts, ["key", "v"]).filter((F.col("longer") & (F.col("at") > F.col("s"))) | (~F.col("longer") & (F.col("at") > F.col("l")))).select("at")
-    return replaced.unionByName(shifted)
-
-
-def kept_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    places = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(d).alias("d"), F.lit(s).alias("s")) for i, d, s in _places(edits)])
+    rows = lines.select("at.doc_id", "at.line_no", "line", F.length("line").alias("size"), F.explode(places).alias("p"))
+    n, i, short = edits + 1, F.col("p.i"), F.col("size") - F.col("p.d")
+    base, more = F.floor(short / n).cast("int"), short % n
+    width = base + (i >= n - more).cast("int")
+    start = i * base + F.greatest(i - (n - more), F.lit(0)) + F.col("p.s")
+    held = rows.filter((short >= 0) & (short % parts == part)).filter((start >= 0) & (start + width <= F.col("size")))
+    return held.select(F.xxhash64(i, short, F.substring("line", start + 1, width)).alias("key"), ((F.col("p.d") == 0) & (F.col("p.s") == 0)).alias("indexed"), "doc_id", "line_no")
+
+
+def _candidates(rows: DataFrame) -> DataFrame:
+    """(key, indexed, at, many): lines that share a key with an indexed line. Rows are dealt out by key once."""
+    same = Window.partitionBy("key")
+    met = rows.withColumns({"n": F.count(F.lit(1)).over(same), "any": F.max("indexed").over(same)}).filter("n > 1 AND any")
+    return met.select("key", "indexed", F.struct("doc_id", "line_no").alias("at"), (F.col("n") > HOT).alias("many"))
+
+
+def _close_pairs(earlier: DataFrame, later: DataFrame, edits: int) -> DataFrame:
+    """Places of ``later`` that a line of ``earlier`` with a key in common precedes within the threshold."""
+    a = earlier.select("key", F.col("at").alias("a"), F.col("line").alias("la"), F.col("indexed").alias("ia"))
+    pair = a.join(later.select("key", "at", "line", "indexed"), "key").filter((F.col("a") < F.col("at")) & (F.col("ia") | F.col("indexed")))
+    return pair.filter(F.levenshtein("la", "line", edits).between(0, edits)).select("at")
+
+
+def kept_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS) -> DataFrame:
     """(doc_id, keep): the numbers of the long lines that stay, from (doc_id, text)."""
     lines = cut(distinct_lines(docs, min_chars), "lines")
-    met = cut(_candidates(lines), "met")
-    wanted = met.select("at").distinct().groupBy(F.col("at.doc_id").alias("doc_id")).agg(F.collect_set("at.line_no").alias("nos"))
-    texts = docs.join(wanted.hint("merge"), "doc_id").select(F.expr("inline(transform(array_distinct(nos), n -> struct(struct(doc_id AS doc_id, n AS line_no) AS at, get(split(text, '\n'), n) AS line)))"))
-    texts = cut(texts.filter(F.length("line") >= min_chars).groupBy("at").agg(F.min("line").alias("line")), "texts")
-    told = met.join(texts, "at")
-    gone = _close_pairs(told.filter("NOT many")).unionByName(_close_in_crowds(told.filter("many"))).distinct()
+    met = reduce(DataFrame.unionByName, [cut(_candidates(_keys(lines, edits, k, PASSES)), "met") for k in range(PASSES)])
+    told = met.join(lines.hint("merge"), "at")
+    cold, hot = told.filter("NOT many"), told.filter("many")
+    first = Window.partitionBy("key").orderBy("at")
+    leaders = hot.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= HOT)
+    early = cut(_close_pairs(cold, cold, edits).unionByName(_close_pairs(leaders, hot, edits)).distinct(), "early")
+    rest = _close_pairs(hot, hot.join(early.hint("merge"), "at", "left_anti"), edits)
+    gone = early.unionByName(rest).distinct()
     return lines.join(gone, "at", "left_anti").groupBy(F.col("at.doc_id").alias("doc_id")).agg(F.collect_list("at.line_no").alias("keep"))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, edits: int = EDITS) -> DataFrame:
     """``docs`` with later copies of lines taken out of the text, and the counts n_lines and n_removed in ``_lines``."""
     plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    keep = kept_lines(plain, min_chars).select(F.col("doc_id").alias("_k"), "keep")
+    keep = kept_lines(plain, min_chars, edits).select(F.col("doc_id").alias("_k"), "keep")
     held = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
     joined = held.join(keep.hint("merge"), F.col("_id") == F.col("_k"), "left").withColumn("parts", F.split("_text", "\n"))
     short = f"filter(transform(parts, (l, i) -> CASE WHEN length(l) < {min_chars} THEN i ELSE -1 END), i -> i >= 0)"

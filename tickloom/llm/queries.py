@@ -17,7 +17,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: lines, removed lines, and the SHA-256 of the remaining text."""
-    out = linededup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = linededup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"), edits=linededup.CORPUS_EDITS)
     return out.select("doc_id", "_lines.n_lines", "_lines.n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
