@@ -7,7 +7,8 @@ five leading bits, so a bucket is at most 1/16 of its value wide, buckets of two
 sketches add up, and the outcome does not depend on partitioning. Groups too
 small for stable quartiles use the merged sketch of their language, or of the
 corpus. A document is kept when each measure lies inside its group's outer
-quartile fences.
+quartile fences. Rates of duplicate lines and of repeats are zero in most texts;
+their fence stands on the quartiles of the values above zero.
 
 Defined results: a null or empty text has no words and fails the base test; null
 language or source is a group of its own; rows that repeat a doc_id are judged
@@ -30,6 +31,9 @@ MEASURES = {"symbol_rate": (200, False), "word_length": (150, True), "dup_line_r
 FENCE = 3
 #: Groups of fewer base-passing documents use a merged sketch.
 MIN_GROUP = 100
+#: Rates that are zero in most texts: their fence stands on the values above zero, where ``MIN_NONZERO`` of them are known.
+SPARSE = ("dup_line_rate", "repeat_rate")
+MIN_NONZERO, SPARSE_SLACK = 30, 20
 
 _WORDS = r"filter(split(translate(t, '\t\n\u000b\u000c\r', '     '), ' '), w -> w <> '')"
 _HASHES = f"transform(sequence(1, size(ws) - {WINDOW - 1}), i -> xxhash64(slice(ws, i, {WINDOW})))"
@@ -112,6 +116,21 @@ def quartiles(sketch: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return ranked.groupBy(*keys, "measure").agg(F.max("total").alias("n"), at(1).alias("q1"), at(3).alias("q3"))
 
 
+def sparse_tops(sketch: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """(keys, measure, top): q3 + 1.5 (q3 - q1) and a slack over the values above zero, from the finest sketch with enough of them."""
+    sparse = sketch.filter(F.col("measure").isin(*SPARSE))
+    joined = sparse.select(*keys, "measure").distinct()
+    above = sparse.filter("bucket > 0").withColumn("_all", F.lit(0))
+    for k, by in enumerate((keys, keys[:1], ())):
+        top = F.when(F.col("n") >= MIN_NONZERO, F.col("q3") + F.floor(1.5 * (F.col("q3") - F.col("q1"))) + SPARSE_SLACK)
+        one = quartiles(above, by or ("_all",)).select(*[F.col(c).alias(f"_{k}{c}") for c in by], F.col("measure").alias(f"_m{k}"), top.alias(f"_t{k}"))
+        same = F.col("measure") == F.col(f"_m{k}")
+        for c in by:
+            same = same & F.col(c).eqNullSafe(F.col(f"_{k}{c}"))
+        joined = joined.join(one, same, "left")
+    return joined.select(*keys, "measure", F.coalesce("_t0", "_t1", "_t2").alias("top"))
+
+
 def fences(sketch: DataFrame, keys: tuple[str, ...], min_group: int = MIN_GROUP) -> DataFrame:
     """One row per group with a struct (lo, hi) for each measure, from the finest sketch that is large enough."""
     first = keys[0]
@@ -121,10 +140,15 @@ def fences(sketch: DataFrame, keys: tuple[str, ...], min_group: int = MIN_GROUP)
     joined = own.join(wide, F.col(first).eqNullSafe(F.col("_k")) & (F.col("measure") == F.col("_m")), "left").join(all_, F.col("measure") == F.col("_am"), "left")
     pick = lambda q: F.when(F.col("n") >= min_group, F.col(f"q{q}")).when(F.col("_n") >= min_group, F.col(f"_q{q}")).otherwise(F.col(f"_a{q}"))
     joined = joined.select(*keys, "measure", pick(1).alias("q1"), pick(3).alias("q3"))
+    tops = sparse_tops(sketch, keys).select(*[F.col(c).alias(f"_t{c}") for c in keys], F.col("measure").alias("_tm"), "top")
+    same = F.col("measure") == F.col("_tm")
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_t{c}"))
+    joined = joined.join(tops, same, "left")
     out = []
     for m, (slack, low) in MEASURES.items():
         mine = F.col("measure") == m
-        out.append(F.max(F.when(mine, F.col("q3") + FENCE * (F.col("q3") - F.col("q1")) + slack)).alias(f"hi_{m}"))
+        out.append(F.max(F.when(mine, F.coalesce("top", F.col("q3") + FENCE * (F.col("q3") - F.col("q1")) + slack))).alias(f"hi_{m}"))
         out.append((F.max(F.when(mine, F.col("q1") - FENCE * (F.col("q3") - F.col("q1")) - slack)) if low else F.lit(-1).cast("long")).alias(f"lo_{m}"))
     return joined.groupBy(*keys).agg(*out)
 
@@ -138,7 +162,7 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     own = tuple(f"_g{i}" for i in range(len(keys)))
     counted = measures(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), *[F.col(k).alias(o) for k, o in zip(keys, own, strict=True)]), "_id", "_text", own)
     rated = cut(counted.select("*", base_failed().alias("base_failed"), *_rates()), "quality")
-    limits = fences(sketches(rated.filter(~F.col("base_failed")), own), own, min_group)
+    limits = fences(cut(sketches(rated.filter(~F.col("base_failed")), own), "sketch"), own, min_group)
     limits = limits.select(*[F.col(o).alias(f"l{o}") for o in own], *[c for c in limits.columns if c not in own])
     same = [F.col(o).eqNullSafe(F.col(f"l{o}")) for o in own]
     joined = rated.join(limits, same, "left")
