@@ -44,6 +44,36 @@ def test_against_brute_force(spark, monkeypatch, edits, hot):
     assert got == {i: "\n".join(v) for i, v in want.items()} and 0 < sum(map(len, want.values())) < len(places)
 
 
+def test_rows_that_repeat_an_id_are_documents_of_their_own(spark):
+    """A line goes from the row that holds a later copy of it and from no other row of that id."""
+    line, other = "the harbour wall was built from grey stone in spring", "nothing here resembles any line that stands elsewhere"
+    rows = [(1, line), (2, line.replace("grey", "gray")), (2, other), (2, other)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["text"], r["_lines"]["n_removed"]) for r in linededup.dedup_lines(df, edits=3).collect())
+    assert got == sorted([(1, line, 0), (2, "", 1), (2, other, 0), (2, other, 0)])
+
+
+@pytest.mark.parametrize("edits", [0, 1, 2, 3])
+def test_verifier_against_the_full_table(spark, edits):
+    rng = random.Random(edits)
+    pairs = []
+    for _ in range(400):
+        a = b = "".join(rng.choice("abé") for _ in range(rng.randint(1, 30)))
+        for _ in range(rng.randint(0, 5)):
+            k = rng.randrange(len(b) + 1)
+            b = rng.choice([b[:k] + b[k + 1 :], b[:k] + "c" + b[k:], b[:k] + "a" + b[k + 1 :]])
+        pairs.append((a, b or "x"))
+    df = spark.createDataFrame(pairs, "a string, b string")
+    told = df.selectExpr("a", "b", f"{linededup.within('a', 'b', edits)} AS ok").collect()
+    assert all(r["ok"] == (distance(r["a"], r["b"]) <= edits) for r in told) and any(r["ok"] for r in told)
+
+
+def test_a_document_of_very_many_lines(spark):
+    rows = [(1, "\n".join(f"line number {i} of a very long document" for i in range(30_000)))]
+    got = linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), edits=0).first()
+    assert got["text"] == rows[0][1] and got["_lines"]["n_lines"] == 30_000
+
+
 def test_the_pipeline_takes_out_a_line_three_edits_away(spark):
     import corpus_pipeline
 

@@ -2,27 +2,31 @@
 
 A line is removed when an equal line, or one within ``edits`` edits, stands earlier in
 the corpus (smaller doc_id, or earlier in the same document). Each is judged
-on the input, not on what is left. Lines with fewer than ``MIN_CHARS``
+on the input, not on what is left. Lines with fewer than ``min_chars``
 characters stay as they are.
 
 Equal lines meet by fingerprint and only their first occurrence goes on. With a
 threshold of k edits a line splits into k + 1 segments, and a line within k edits
 holds one of them unchanged. The substring index has the segments of every line;
 a line probes the index of its own length and of the next k shorter ones, with the
-substrings whose place leaves enough edits on either side (26 for k = 3). Lines
-that share a key are verified on their texts with the engine's banded edit distance.
-
-In a key that more than ``HOT`` lines share, all lines first meet the ``HOT``
-earliest, which settles crowds of near copies. Only lines that no one has removed
-by then meet the whole key. That is exact; its time is the product of those lines
-and the lines of the key.
-
-Texts meet line numbers in sort-merge joins at every size, so that no plan depends
-on a side that grows with the data being small. All steps are DataFrame functions. Defined results: a null text keeps null and
-has no lines; rows with a null doc_id pass unchanged; rows that repeat a doc_id
-count as one document, so a line stays in all of them or in none; a text may
-lose all of its lines and is then empty; an empty table gives an empty result.
-Columns other than the id and the text are carried along unread.
+substrings whose place leaves enough edits on either side (26 for k = 3). A pair that
+shares a key is verified with a banded bit-parallel automaton: one word holds, for
+0 to k edits, which of the 2k + 1 diagonals a prefix can reach, and every character
+moves all of them at once.
+
+The index keeps the ``HOT`` earliest lines of a key, which settles crowds of near
+copies and bounds the hash table that probes stream past. Only lines that no
+one has removed by then meet the whole of a key with more lines. That is exact; its
+time is the product of those lines and the lines of the key.
+
+Keys travel as two numbers, texts only for lines that share one, and texts meet
+line numbers in sort-merge joins, so that no plan depends on a side that grows with
+the data being small. All steps are DataFrame functions. Defined results: a null
+text keeps null and has no lines; rows with a null doc_id pass unchanged; rows that
+repeat a doc_id are documents of their own, in an order that their texts' hashes
+set, and rows that repeat the text as well lose the same lines; a text may lose all
+of its lines and is then empty; an empty table gives an empty result. Other columns
+are carried along unread, whatever their names.
 """
 
 from __future__ import annotations
@@ -33,13 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickloom.llm.scratch import cut
+from tickloom.llm.scratch import cut, release, sweep
 
 MIN_CHARS = 20
-#: Edits that the operator allows by default, and those that the registered query and the pipeline ask for.
+#: Edits that the operator allows by default, those that the registered query and the pipeline ask for, and the most that the verifier's word holds.
 EDITS = 1
 CORPUS_EDITS = 3
-HOT = 64
+MAX_EDITS = 3
+HOT = 32
 #: Keys are dealt out in so many passes, by indexed length, so that few of them are on disk at once.
 PASSES = 3
 
@@ -57,81 +62,132 @@ def _places(edits: int) -> list[tuple[int, int, int]]:
     return out
 
 
+def within(a: str, b: str, edits: int) -> str:
+    """SQL: the strings ``a`` and ``b`` are at most ``edits`` edits apart, by a banded automaton in one 64-bit word.
+
+    Lane e of the word holds diagonals -k to k: bit i of it says that the prefix of ``b`` that is i - k characters longer
+    than what is read of ``a`` is within e edits of that. A character keeps the diagonals where it matches, and moves lane e
+    to lane e + 1 for a substitution, an insertion (a diagonal down) or a deletion (a diagonal up, at once for several).
+    """
+    if not 0 <= edits <= MAX_EDITS:
+        raise ValueError(f"edits must lie between 0 and {MAX_EDITS}")
+    k = edits
+    lane, width = 3 * k + 1, 2 * k + 1
+    all_ = sum(((1 << width) - 1) << (e * lane) for e in range(k + 1))
+    start = sum(1 << (e * lane + k + d) for e in range(k + 1) for d in range(e + 1))
+    every = sum(1 << (e * lane) for e in range(k + 1))
+    same = " + ".join(f"if(get(z.b, j + {i - k}) = z.a[j], {1 << i}L, 0L)" for i in range(width))
+    moved = f"(s & (({same}) * {every}L)) | (shiftleft(s, {lane}) & {all_}L) | (shiftleft(shiftright(s, 1), {lane}) & {all_}L)"
+    step = lambda x, n: f"(shiftleft({x}, {n * (lane + 1)}) & {all_}L)"
+    one = f"(x | {step('x', 1)})"
+    closed = f"transform(array({moved}), x -> {one} | {step(one, 2)})[0]"
+    last = f"aggregate(sequence(0, size(z.a) - 1), {start}L, (s, j) -> CASE WHEN s = 0L THEN s ELSE {closed} END)"
+    end = f"shiftright({last}, {k * lane + k} + size(z.b) - size(z.a)) & 1L"
+    return f"(abs(length({a}) - length({b})) <= {k} AND transform(array(struct(split({a}, '') AS a, split({b}, '') AS b)), z -> {end})[0] = 1L)"
+
+
 def distinct_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """From (doc_id, text): one row per distinct line, with the first place (doc_id, line_no) it has."""
-    lines = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    lines = lines.filter(F.length("line") >= min_chars)
-    marked = lines.select(F.struct("doc_id", "line_no").alias("at"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("again"), "line").alias("h2"), "line")
+    """From (doc_id, mark, text): one row per distinct line, with the first place ``at`` (doc_id, mark, line_no) it has."""
+    lines = docs.filter(F.col("doc_id").isNotNull()).select("doc_id", "mark", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    lines = lines.filter(F.length("line") >= max(1, min_chars))
+    marked = lines.select(F.struct("doc_id", "mark", "line_no").alias("at"), F.xxhash64("line").alias("h1"), F.xxhash64(F.lit("again"), "line").alias("h2"), "line")
     return marked.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.first("line").alias("line")).select("at", "line")
 
 
-def _keys(lines: DataFrame, edits: int, part: int = 0, parts: int = 1) -> DataFrame:
-    """(key, indexed, doc_id, line_no): the segments of each line, and the substrings that may equal a segment of a line up to ``edits`` characters shorter.
+def _keys(lines: DataFrame, places: list[tuple[int, int, int]], edits: int, part: int, parts: int) -> DataFrame:
+    """(key, id, own, doc_id): the substrings at ``places`` of each line; ``own`` marks its segments.
 
     Keys hold the indexed length, so the lengths of one residue class meet among themselves.
     """
-    places = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(d).alias("d"), F.lit(s).alias("s")) for i, d, s in _places(edits)])
-    rows = lines.select("at.doc_id", "at.line_no", "line", F.length("line").alias("size"), F.explode(places).alias("p"))
+    at = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(d).alias("d"), F.lit(s).alias("s")) for i, d, s in places])
+    rows = lines.select("id", "at.doc_id", "line", F.length("line").alias("size"), F.explode(at).alias("p"))
     n, i, short = edits + 1, F.col("p.i"), F.col("size") - F.col("p.d")
     base, more = F.floor(short / n).cast("int"), short % n
     width = base + (i >= n - more).cast("int")
     start = i * base + F.greatest(i - (n - more), F.lit(0)) + F.col("p.s")
     held = rows.filter((short >= 0) & (short % parts == part)).filter((start >= 0) & (start + width <= F.col("size")))
-    return held.select(F.xxhash64(i, short, F.substring("line", start + 1, width)).alias("key"), ((F.col("p.d") == 0) & (F.col("p.s") == 0)).alias("indexed"), "doc_id", "line_no")
+    own = ((F.col("p.d") == 0) & (F.col("p.s") == 0)).cast("long")
+    return held.select(F.xxhash64(i, short, F.substring("line", start + 1, width)).alias("key"), (2 * F.col("id") + own).alias("id"), "doc_id")
+
 
+def _met(lines: DataFrame, edits: int, part: int, parts: int) -> DataFrame:
+    """(key, a, b, rank): lines ``a`` (twice the id, 1 more on a segment of their own) that find line ``b`` under a key.
 
-def _candidates(rows: DataFrame) -> DataFrame:
-    """(key, indexed, at, many): lines that share a key with an indexed line. Rows are dealt out by key once."""
-    same = Window.partitionBy("key")
-    met = rows.withColumns({"n": F.count(F.lit(1)).over(same), "any": F.max("indexed").over(same)}).filter("n > 1 AND any")
-    return met.select("key", "indexed", F.struct("doc_id", "line_no").alias("at"), (F.col("n") > HOT).alias("many"))
+    ``rank`` numbers the lines of a key by age; HOT + 1 only says that the key has more of them.
+    """
+    places = _places(edits)
+    index = _keys(lines, [p for p in places if p[1:] == (0, 0)], edits, part, parts)
+    eldest = Window.partitionBy("key").orderBy("doc_id", "id")
+    index = index.withColumn("rank", F.row_number().over(eldest)).filter(F.col("rank") <= HOT + 1)
+    index = index.select("key", F.shiftright("id", 1).alias("b"), "rank")
+    probes = _keys(lines, places, edits, part, parts).select("key", F.col("id").alias("a"))
+    return probes.join(index.hint("shuffle_hash"), "key").filter((F.shiftright("a", 1) != F.col("b")) | (F.col("rank") > HOT))
 
 
-def _close_pairs(earlier: DataFrame, later: DataFrame, edits: int) -> DataFrame:
-    """Places of ``later`` that a line of ``earlier`` with a key in common precedes within the threshold."""
-    a = earlier.select("key", F.col("at").alias("a"), F.col("line").alias("la"), F.col("indexed").alias("ia"))
-    pair = a.join(later.select("key", "at", "line", "indexed"), "key").filter((F.col("a") < F.col("at")) & (F.col("ia") | F.col("indexed")))
-    return pair.filter(F.levenshtein("la", "line", edits).between(0, edits)).select("at")
+def _rest(met: DataFrame, texts: DataFrame, early: DataFrame, edits: int) -> DataFrame:
+    """Ids of lines of crowded keys that are not in ``early`` and that an earlier line of the key is close to."""
+    crowd = met.filter(F.col("rank") > HOT).select("key", F.shiftright("a", 1).alias("id"), (F.col("a") % 2 == 1).alias("own"))
+    told = crowd.groupBy("key", "id").agg(F.max("own").alias("own")).join(texts.hint("merge"), "id")
+    a = told.select("key", F.col("at").alias("a"), F.col("line").alias("la"), F.col("own").alias("oa"))
+    left = told.join(early.hint("merge"), "id", "left_anti")
+    pair = a.join(left, "key").filter((F.col("a") < F.col("at")) & (F.col("oa") | F.col("own")))
+    return pair.filter(F.expr(within("la", "line", edits))).select("id")
 
 
 def kept_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS) -> DataFrame:
-    """(doc_id, keep): the numbers of the long lines that stay, from (doc_id, text)."""
-    lines = cut(distinct_lines(docs, min_chars), "lines")
-    met = reduce(DataFrame.unionByName, [cut(_candidates(_keys(lines, edits, k, PASSES)), "met") for k in range(PASSES)])
-    told = met.join(lines.hint("merge"), "at")
-    cold, hot = told.filter("NOT many"), told.filter("many")
-    first = Window.partitionBy("key").orderBy("at")
-    leaders = hot.withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= HOT)
-    early = cut(_close_pairs(cold, cold, edits).unionByName(_close_pairs(leaders, hot, edits)).distinct(), "early")
-    rest = _close_pairs(hot, hot.join(early.hint("merge"), "at", "left_anti"), edits)
-    gone = early.unionByName(rest).distinct()
-    return lines.join(gone, "at", "left_anti").groupBy(F.col("at.doc_id").alias("doc_id")).agg(F.collect_list("at.line_no").alias("keep"))
+    """(doc_id, mark, keep): the numbers of the long lines that stay, from (doc_id, mark, text)."""
+    lines = cut(distinct_lines(docs, min_chars).withColumn("id", F.monotonically_increasing_id()), "lines")
+    sweep(docs.sparkSession)
+    parts = []
+    for k in range(PASSES):
+        parts.append(cut(_met(lines, edits, k, PASSES), "met"))
+        sweep(docs.sparkSession)
+    met = reduce(DataFrame.unionByName, parts)
+    a = F.shiftright("a", 1)
+    needed = met.select(F.explode(F.array(a, "b")).alias("id")).distinct()
+    texts = cut(lines.join(needed.hint("merge"), "id", "left_semi"), "texts")
+    pairs = met.filter(F.col("rank") <= HOT).select(F.least(a, "b").alias("x"), F.greatest(a, "b").alias("y")).distinct()
+    side = lambda c: texts.select(F.col("id").alias(c), F.col("at").alias(f"at_{c}"), F.col("line").alias(f"line_{c}")).hint("merge")
+    close = pairs.join(side("x"), "x").join(side("y"), "y").filter(F.expr(within("line_x", "line_y", edits)))
+    early = cut(close.select(F.when(F.col("at_x") < F.col("at_y"), F.col("y")).otherwise(F.col("x")).alias("id")).distinct(), "early")
+    gone = early.unionByName(_rest(met, texts, early, edits)).distinct()
+    stay = lines.select("id", "at").join(gone.hint("merge"), "id", "left_anti")
+    keep = cut(stay.groupBy("at.doc_id", "at.mark").agg(F.collect_list("at.line_no").alias("keep")), "keep")
+    release(lines, texts, early, *parts)
+    sweep(docs.sparkSession)
+    return keep
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = MIN_CHARS, edits: int = EDITS) -> DataFrame:
     """``docs`` with later copies of lines taken out of the text, and the counts n_lines and n_removed in ``_lines``."""
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    keep = kept_lines(plain, min_chars, edits).select(F.col("doc_id").alias("_k"), "keep")
-    held = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"))
-    joined = held.join(keep.hint("merge"), F.col("_id") == F.col("_k"), "left").withColumn("parts", F.split("_text", "\n"))
-    short = f"filter(transform(parts, (l, i) -> CASE WHEN length(l) < {min_chars} THEN i ELSE -1 END), i -> i >= 0)"
-    stay = F.when(F.col("_id").isNull(), F.expr("sequence(0, size(parts) - 1)")).otherwise(F.expr(f"array_sort(array_union({short}, coalesce(keep, array())))"))
-    out = joined.withColumn("stay", stay)
-    counts = F.struct(F.coalesce(F.size("parts"), F.lit(0)).cast("long").alias("n_lines"), F.coalesce(F.size("parts") - F.size("stay"), F.lit(0)).cast("long").alias("n_removed"))
-    text = F.when(F.col("_text").isNotNull(), F.expr("array_join(transform(stay, i -> parts[i]), '\n')"))
-    return out.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns], counts.alias("_lines"))
-
-
-ORACLE = r"""
+    mark = F.xxhash64(F.col(text_col))
+    keep = kept_lines(docs.select(F.col(id_col).cast("long").alias("doc_id"), mark.alias("mark"), F.col(text_col).alias("text")), min_chars, edits)
+    names = {c: f"_c{k}" for k, c in enumerate(docs.columns)}
+    held = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    key, text = names[id_col], names[text_col]
+    same = (F.col(key).cast("long") == F.col("doc_id")) & (F.xxhash64(text) == F.col("mark"))
+    joined = held.join(keep.hint("merge"), same, "left")
+    short = f"filter(transform(p, (l, i) -> CASE WHEN length(l) < {max(1, min_chars)} THEN i ELSE -1 END), i -> i >= 0)"
+    stay = f"CASE WHEN {key} IS NULL THEN sequence(0, size(p) - 1) ELSE sort_array(array_union({short}, coalesce(keep, array()))) END"
+    told = f"transform(array({stay}), s -> struct(size(p) AS n, size(s) AS k, array_join(transform(s, i -> p[i]), '\\n') AS text))[0]"
+    out = joined.withColumn("_told", F.expr(f"transform(array(split({text}, '\\n')), p -> CASE WHEN p IS NOT NULL THEN {told} END)[0]"))
+    n, k = F.coalesce(F.col("_told.n"), F.lit(0)), F.coalesce(F.col("_told.k"), F.lit(0))
+    counts = F.struct(n.cast("long").alias("n_lines"), (n - k).cast("long").alias("n_removed"))
+    return out.select(*[F.col("_told.text" if c == text_col else n_).alias(c) for c, n_ in names.items()], counts.alias("_lines"))
+
+
+#: DuckDB counts edits in bytes, so letters with marks become one byte each there.
+_ONE_BYTE = " || ".join(f"chr({i})" for i in (*range(1, 9), *range(11, 32)))
+
+ORACLE = rf"""
 WITH o AS (SELECT doc_id, i - 1 AS line_no, string_split(text, chr(10))[i] AS line FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents)),
-l AS (SELECT line, length(line) AS size, min((doc_id, line_no)) AS pl FROM o WHERE length(line) >= 20 GROUP BY line),
-k AS (SELECT pl, size, line, size AS s, left(line, size // 2) AS p, right(line, size - size // 2) AS q, false AS longer FROM l
-  UNION ALL SELECT pl, size, line, size - 1, left(line, (size - 1) // 2), right(line, size - 1 - (size - 1) // 2), true FROM l),
-m AS (SELECT a.pl AS x, b.pl AS y FROM k a JOIN k b ON a.s = b.s AND a.p = b.p AND NOT a.longer AND a.pl <> b.pl AND levenshtein(a.line, b.line) <= 1
-  UNION SELECT a.pl, b.pl FROM k a JOIN k b ON a.s = b.s AND a.q = b.q AND NOT a.longer AND a.pl <> b.pl AND levenshtein(a.line, b.line) <= 1),
-gone AS (SELECT DISTINCT greatest(x, y) AS pl FROM m),
+l AS (SELECT translate(line, 'àáâãäåæçèéêëìíîïñòóôõöøùúûüýß', {_ONE_BYTE}) AS line, length(line) AS size, min((doc_id, line_no)) AS pl FROM o WHERE length(line) >= {MIN_CHARS} GROUP BY ALL),
+s AS (SELECT *, size // {CORPUS_EDITS + 1} AS w FROM l),
+m AS (SELECT a.pl AS x, b.pl AS y, a.line AS la, b.line AS lb FROM s a JOIN (SELECT *, unnest(range(size - {CORPUS_EDITS}, size + 1)) AS fit FROM l) b ON a.size = b.fit
+  WHERE a.pl <> b.pl AND ({" OR ".join(f"contains(b.line, substr(a.line, w * {i} + 1, w))" for i in range(CORPUS_EDITS + 1))})),
+gone AS (SELECT DISTINCT greatest(x, y) AS pl FROM m WHERE levenshtein(la, lb) <= {CORPUS_EDITS}),
 stay AS (SELECT pl FROM l WHERE pl NOT IN (SELECT pl FROM gone)),
-r AS (SELECT doc_id, line_no, line, length(line) < 20 OR (doc_id, line_no) IN (SELECT pl FROM stay) AS kept FROM o)
+r AS (SELECT doc_id, line_no, line, length(line) < {MIN_CHARS} OR (doc_id, line_no) IN (SELECT pl FROM stay) AS kept FROM o)
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT kept) AS n_removed, sha256(coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (kept), '')) AS kept_sha256
 FROM r GROUP BY doc_id
 """

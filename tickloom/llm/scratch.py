@@ -8,6 +8,7 @@ recomputation of what stands before the cut.
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -49,3 +50,9 @@ def release(*tables: DataFrame) -> None:
             jvm = df.sparkSession._jvm
             hadoop = jvm.org.apache.hadoop.fs.Path(path)
             hadoop.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def sweep(spark: SparkSession) -> None:
+    """Let the driver forget the plans of finished steps; Spark deletes shuffle files once no plan refers to them."""
+    gc.collect()
+    spark._jvm.System.gc()
