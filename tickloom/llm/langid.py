@@ -10,8 +10,9 @@ once, and each distinct word of a batch is scored once.
 Defined results: a null text, or one without a letter, is ``und`` with score 0;
 an empty table, or one without labels, gives ``und`` for every row; rows that
 repeat a doc_id are judged one by one; a null doc_id is not held out and teaches
-nothing; words above ``LONG`` bytes are scored in slices of that many bytes.
-Only the named columns are read.
+nothing; a word of any length, as all of a text without blanks, is summed over all its
+segmentations; every label that a taught row has is learned. A worker holds one number
+for each piece and language, and otherwise arrays of bounded size. Only the named columns are read.
 """
 
 from __future__ import annotations
@@ -28,15 +29,14 @@ from pyspark.sql import types as T
 
 #: Labelled documents that teach a language, at most about so many of each.
 SAMPLE_PER_LANG = 1500
-#: Languages with the most labelled documents that are learned at most.
-MAX_LANGS = 256
 #: Share of the all-language distribution mixed into each language's.
 SMOOTH = 0.02
-LONG = 64
-#: Distinct words kept with their scores before the cache starts anew.
-CACHE = 250_000
-#: Characters of text whose words are scored together, and words in one forward pass.
-BATCH_CHARS, PASS = 1_000_000, 8192
+#: Numbers in each array of a forward pass, words in one pass, and languages scored at once; together they bound a worker's memory.
+CELLS, PASS, LANGS = 4_000_000, 8192, 64
+#: Words above LONG bytes are scored one by one where fewer than ALONE of them would share a pass, SLICE bytes at a time.
+LONG, ALONE, SLICE = 64, 128, 1 << 16
+#: Scores kept for words met again, and characters of text whose words are scored together at most (for up to 16 languages).
+CACHE, BATCH_CHARS = 1_000_000, 1_000_000
 _B = 0x9E3779B97F4A7C15
 
 
@@ -68,7 +68,7 @@ class Pieces:
         for i in range(size):
             if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i)):
                 found[sp.id_to_piece(i).replace("▁", " ").encode()] = i
-        self.lengths = sorted({len(k) for k in found if len(k) <= LONG + 1})
+        self.lengths = sorted({len(k) for k in found})
         self.keys = np.zeros(len(found) + 1, dtype=np.uint64)
         self.keys[1:] = [_hash(k) for k in found]
         self.ids = np.array([0, *found.values()])
@@ -96,6 +96,14 @@ class Pieces:
         return (np.concatenate(hits), np.concatenate(got)) if hits else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash's base and of its inverse."""
+    up, down = np.full(n, _B, dtype=np.uint64), np.full(n, pow(_B, -1, 2**64), dtype=np.uint64)
+    up[0] = down[0] = 1
+    return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+
+
 @lru_cache(maxsize=2)
 def _pieces(path: str) -> Pieces:
     return Pieces(path)
@@ -125,15 +133,16 @@ def learn(labelled: DataFrame, vocab: str | None = None, sample_per_lang: int =
     reaches the driver is one count per language and piece.
     """
     path = vocab or vocabulary()
-    counts = labelled.filter(F.col("lang").isNotNull() & has_letter("text")).groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
-    langs = sorted(r["lang"] for r in counts)
+    usable = labelled.filter(F.col("lang").isNotNull() & has_letter("text"))
+    counts = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    total = {r["lang"]: r["n"] for r in counts.collect()}
+    langs = sorted(total)
     size = _processor(path).get_piece_size()
     if not langs:
         return [], np.zeros(0), np.zeros((size, 0))
-    total = {r["lang"]: r["count"] for r in counts}
-    rate = F.create_map(*[F.lit(x) for k in langs for x in (k, min(1.0, sample_per_lang / total[k]))])
     spot = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    sample = labelled.filter(F.col("lang").isin(langs) & has_letter("text") & (spot < rate[F.col("lang")])).select("text", "lang")
+    rates = labelled.sparkSession.createDataFrame([(k, min(1.0, sample_per_lang / total[k])) for k in langs], "_lang string, rate double")
+    sample = usable.select("text", "lang", spot.alias("spot")).join(F.broadcast(rates), F.col("lang") == F.col("_lang")).filter("spot < rate").select("text", "lang")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sp = _processor(path)
@@ -156,53 +165,106 @@ def learn(labelled: DataFrame, vocab: str | None = None, sample_per_lang: int =
 
 
 def word_scores(words: list[bytes], path: str, probs: np.ndarray) -> np.ndarray:
-    """Log of the summed probability of all segmentations, words by languages. Words hold at most LONG bytes after their blank."""
-    pieces = _pieces(path)
-    lengths = pieces.lengths
+    """Log of the summed probability of all segmentations, words by languages. A word starts with its blank and has any length."""
     out = np.empty((len(words), probs.shape[1]))
-    order = np.argsort([len(w) for w in words], kind="stable")
-    for at in range(0, len(order), PASS):
-        rows = order[at : at + PASS]
-        width = len(words[rows[-1]])
-        text = np.zeros((width, len(rows)), dtype=np.uint64)
-        n = np.array([len(words[r]) for r in rows])
-        flat = np.frombuffer(b"".join(words[r].ljust(width, b"\0") for r in rows), dtype=np.uint8)
-        text[:] = flat.reshape(len(rows), width).T
-        prefix = np.zeros((width + 1, len(rows)), dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            for i in range(width):
-                prefix[i + 1] = prefix[i] * np.uint64(_B) + text[i] + np.uint64(1)
-            powers = np.ones(width + 1, dtype=np.uint64)
-            for i in range(width):
-                powers[i + 1] = powers[i] * np.uint64(_B)
-        alpha = np.zeros((width + 1, len(rows), probs.shape[1]))
-        alpha[0] = 1.0
-        shift = np.zeros((len(rows), probs.shape[1]))
-        final = np.zeros((len(rows), probs.shape[1]))
-        for end in range(1, width + 1):
-            here = alpha[end]
-            for size in lengths:
-                if size > end:
-                    break
-                with np.errstate(over="ignore"):
-                    h = prefix[end] - prefix[end - size] * powers[size]
-                hit, piece = pieces.find(h)
-                if len(hit):
-                    here[hit] += alpha[end - size, hit] * probs[piece]
-            done = n == end
-            final[done] = np.log(np.maximum(here[done], 1e-300)) + shift[done]
-            if end % 16 == 0:
-                scale = np.maximum(here, 1e-300)
-                lo = max(0, end - lengths[-1])
-                alpha[lo : end + 1] /= scale
-                shift += np.log(scale)
-        out[rows] = final
+    sizes = np.array([len(w) for w in words], dtype=np.int64)
+    order = np.argsort(sizes, kind="stable")
+    keep = _pieces(path).lengths[-1] + 1
+    for lo in range(0, probs.shape[1], LANGS):
+        part = np.ascontiguousarray(probs[:, lo : lo + LANGS])
+        at = 0
+        while at < len(order):
+            most = max(1, min(PASS, CELLS // (keep * part.shape[1])))
+            rows = order[at : at + most]
+            rows = rows[: max(1, np.searchsorted(np.arange(1, len(rows) + 1) * sizes[rows], CELLS))]
+            if sizes[rows[-1]] > LONG and len(rows) < ALONE:
+                for r in rows:
+                    out[r, lo : lo + LANGS] = _one_score(words[r], path, part)
+            else:
+                out[rows, lo : lo + LANGS] = _pass_scores([words[r] for r in rows], path, part)
+            at += len(rows)
     return out
 
 
-def _slices(word: str) -> list[bytes]:
-    data = word.encode("utf-8", "surrogatepass")
-    return [b" " + data[i : i + LONG] if i == 0 else data[i : i + LONG] for i in range(0, len(data), LONG)]
+def _pass_scores(words: list[bytes], path: str, probs: np.ndarray) -> np.ndarray:
+    """Scores of words in order of length, all of them one byte further at a time.
+
+    ``alpha`` holds the prefixes that a piece can still start from, as many as the longest piece has bytes.
+    """
+    pieces = _pieces(path)
+    lengths = pieces.lengths
+    width, ring = len(words[-1]), lengths[-1] + 1
+    n = np.array([len(w) for w in words])
+    flat = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), dtype=np.uint8)
+    text = flat.reshape(len(words), width).T
+    prefix = np.zeros((width + 1, len(words)), dtype=np.uint64)
+    powers = np.ones(ring + 1, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        for i in range(width):
+            prefix[i + 1] = prefix[i] * np.uint64(_B) + text[i] + np.uint64(1)
+        for i in range(ring):
+            powers[i + 1] = powers[i] * np.uint64(_B)
+    alpha = np.zeros((ring, len(words), probs.shape[1]))
+    alpha[0] = 1.0
+    shift = np.zeros((len(words), probs.shape[1]))
+    final = np.zeros((len(words), probs.shape[1]))
+    for end in range(1, width + 1):
+        here = alpha[end % ring]
+        here[:] = 0.0
+        for size in lengths:
+            if size > end:
+                break
+            with np.errstate(over="ignore"):
+                h = prefix[end] - prefix[end - size] * powers[size]
+            hit, piece = pieces.find(h)
+            if len(hit):
+                here[hit] += alpha[(end - size) % ring, hit] * probs[piece]
+        done = n == end
+        final[done] = np.log(np.maximum(here[done], 1e-300)) + shift[done]
+        if end % 16 == 0:
+            scale = np.maximum(here, 1e-300)
+            alpha /= scale
+            shift += np.log(scale)
+    return final
+
+
+def _one_score(word: bytes, path: str, probs: np.ndarray) -> np.ndarray:
+    """The same for one long word: its pieces are found at all places at once, then summed byte by byte."""
+    pieces = _pieces(path)
+    ring = pieces.lengths[-1] + 1
+    data = np.frombuffer(word, dtype=np.uint8).astype(np.uint64) + np.uint64(1)
+    alpha = np.zeros((ring, probs.shape[1]))
+    alpha[0], shift = 1.0, np.zeros(probs.shape[1])
+    for a in range(0, len(data), SLICE):
+        # places a + 1 .. b end in this slice; pieces may start before it
+        b, back = min(a + SLICE, len(data)), min(a, ring - 1)
+        part = data[a - back : b]
+        up, down = _powers(SLICE + ring)
+        sums = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum(part * down[: len(part)], out=sums[1:])
+        ends, sizes, found = [], [], []
+        for size in pieces.lengths:
+            if size > len(part):
+                break
+            first = max(0, back + 1 - size)
+            h = (sums[first + size :] - sums[first : len(sums) - size]) * up[first + size - 1 : len(part)]
+            hit, piece = pieces.find(h)
+            ends.append(hit + first + size)
+            sizes.append(np.full(len(hit), size))
+            found.append(piece)
+        end, size, piece = (np.concatenate(x) for x in (ends, sizes, found))
+        order = np.argsort(end, kind="stable")
+        end, size, piece = end[order], size[order], piece[order]
+        lo = np.searchsorted(end, np.arange(back + 1, len(part) + 2))
+        for k in range(len(part) - back):
+            at, x = a + k + 1, slice(lo[k], lo[k + 1])
+            here = (alpha[(at - size[x]) % ring] * probs[piece[x]]).sum(0)
+            alpha[at % ring] = here
+            if at % 16 == 0:
+                scale = np.maximum(here, 1e-300)
+                alpha /= scale
+                shift += np.log(scale)
+    return np.log(np.maximum(alpha[len(data) % ring], 1e-300)) + shift
 
 
 def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], text_col: str = "text", vocab: str | None = None, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -216,12 +278,13 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], t
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row_of: dict[str, int] = {}
-        known = np.zeros((CACHE, len(langs)))
+        cache, most = max(1, CACHE // len(langs)), max(1, min(BATCH_CHARS, 16 * BATCH_CHARS // len(langs)))
+        known = np.zeros((cache, len(langs)))
         for batch in batches:
             column, at = batch.column(batch.num_columns - 1), 0
             while at < len(column):
                 texts, chars = [], 0
-                while at + len(texts) < len(column) and chars < BATCH_CHARS:
+                while at + len(texts) < len(column) and chars < most:
                     texts.append(column[at + len(texts)].as_py())
                     chars += len(texts[-1] or "")
                 split = [t.split() if t is not None else [] for t in texts]
@@ -229,12 +292,9 @@ def identify(docs: DataFrame, model: tuple[list[str], np.ndarray, np.ndarray], t
                 if len(row_of) + len(fresh) > len(known):
                     row_of = {}
                     fresh = list({w for ws in split for w in ws})
-                    known = np.zeros((max(CACHE, len(fresh)), len(langs)))
+                    known = np.zeros((max(cache, len(fresh)), len(langs)))
                 if fresh:
-                    parts = [_slices(w) for w in fresh]
-                    scores = word_scores([p for ps in parts for p in ps], path, shared.value)
-                    starts = np.cumsum([0] + [len(ps) for ps in parts[:-1]])
-                    known[len(row_of) : len(row_of) + len(fresh)] = np.add.reduceat(scores, starts, axis=0)
+                    known[len(row_of) : len(row_of) + len(fresh)] = word_scores([b" " + w.encode("utf-8", "surrogatepass") for w in fresh], path, shared.value)
                     row_of.update(zip(fresh, range(len(row_of), len(row_of) + len(fresh)), strict=True))
                 best, score = [], []
                 for ws in split:
