@@ -62,6 +62,27 @@ def test_against_brute_force(spark, monkeypatch, node):
     assert sorted(tuple(r) for r in neardup.near_duplicates(df).collect()) == brute(rows)
 
 
+def test_rows_that_repeat_an_id_are_linked_by_their_own_texts(spark):
+    text = lambda p: " ".join(f"{p}{i}" for i in range(40))
+    near = lambda p: text(p) + f" {p}more"
+    df = spark.createDataFrame([(1, text("a")), (2, text("q")), (2, near("a")), (3, near("q")), (2, near("a"))], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in neardup.near_duplicates(df).collect())
+    assert got == sorted([(1, 36, 1, True), (2, 36, 2, True), (2, 37, 1, False), (3, 37, 2, False), (2, 37, 1, False)])
+
+
+def test_misses_of_branched_trees():
+    """Draws which tokens of a pair at similarity 0.75 agree, and in how many draws no tree keeps it together in small nodes after 0, 1 and 2 branchings."""
+    import numpy as np
+
+    rng, n, t = np.random.default_rng(1), 400_000, neardup.TREES
+    found, branch = rng.random((n, t)) < 0.75, rng.random((n, t)) < 0.75
+    missed = [(~found.any(1)).mean()]
+    for pair in neardup.BRANCHES:
+        found = found & (branch[:, (np.arange(t) + pair[0]) % t] | branch[:, (np.arange(t) + pair[1]) % t])
+        missed.append((~found.any(1)).mean())
+    assert missed[0] < 1e-5 and missed[1] < 1e-5 and missed[2] < 2.5e-4
+
+
 def test_odd_rows(odd, none):
     out = neardup.near_duplicates(odd).collect()
     assert len(out) == odd.count()

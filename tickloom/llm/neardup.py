@@ -1,23 +1,25 @@
 """MinHash near-duplicates by a chosen-path similarity join.
 
-Documents with one shingle set are one class. Each class has ``TREES`` minwise
-tokens. In tree t a node holds the classes that share token t. A node of
+Documents with one shingle set are one class, with a number of its own. Each class has
+``TREES`` minwise tokens for the roots and as many for branching, from other functions. In
+tree t a node holds the classes that share root token t. A node of
 up to ``NODE`` classes is compared exhaustively on full shingle sets. In a larger
 one the most popular class (the one whose nodes are largest) leads. Where fewer
-than half of the classes are alike to the leader, the node branches on the next
-two tokens, so that classes which only share a common passage part. Otherwise,
+than half of the classes are alike to the leader, the node branches on the tree's next
+two branching tokens, so that classes which only share a common passage part. Otherwise,
 or after the last branching, it is a crowd, known by its leader in any tree. A crowd is compared in
 blocks, first every class with the leader and its block, then, once components
 are known, the classes outside the leader's component with all of the crowd.
 Links exist only where full sets satisfy 100 * intersection >= 75 * union.
 
-A pair of similarity 0.75 misses one tree with probability 1/4 and all of them
-with 0.25 ** TREES; branching adds about a tenth to a miss.
+A pair of similarity 0.75 is missed by all trees with probability 0.25 ** 12, 6e-8, where its nodes are small. Where all
+of its nodes branch once, the miss is 2e-6, and 1.5e-4 where all branch twice, since trees share branching tokens
+(``tests/llm/test_neardup.py`` draws these figures).
 
 Defined results: a null or empty text has no shingles and no link; fewer than
 five words are one shingle; rows without doc_id are kept with no component; rows
-that repeat a doc_id share its class ids, each by its own text; an empty table
-gives an empty result; only the named columns are read.
+that repeat a doc_id are judged each by its own text, and are linked with each other by
+their texts only; an empty table gives an empty result; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -36,8 +38,10 @@ from tickloom.llm.shingles import fingerprint, minwise, shingle_sets
 
 TREES = 12
 NODE = 64
-#: Times a node of unlike classes may branch, and the equal tokens that make a class alike to its leader.
-DEPTH, ALIKE = 3, 7
+#: Times a node of unlike classes may branch, and the share of equal root tokens that makes a class alike to its leader.
+DEPTH, ALIKE = 3, 0.58
+#: Branching tokens that a tree takes at each depth, counted from its own number; few trees share two of them.
+BRANCHES = ((0, 5), (7, 2))
 #: Classes of a crowd that are compared in one block.
 BLOCK = 256
 MIN_PERCENT = 75
@@ -53,7 +57,7 @@ def _in_slices(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
 
 
 def signatures(docs: DataFrame, trees: int = TREES) -> DataFrame:
-    """From (doc_id, text): n_shingles, the set's fingerprint (set_a, set_b) and its minwise tokens (null for empty sets)."""
+    """From (doc_id, text, mark): both others, n_shingles, the set's fingerprint (set_a, set_b) and its minwise tokens, roots before branches (null for empty sets)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -69,13 +73,13 @@ def signatures(docs: DataFrame, trees: int = TREES) -> DataFrame:
                 full = np.flatnonzero(n)
                 if len(full):
                     marks[:, full] = [x.view(np.int64) for x in fingerprint(hashes, offsets)]
-                    for i, row in zip(full, minwise(hashes, offsets, trees).view(np.int64).tolist(), strict=True):
+                    for i, row in zip(full, minwise(hashes, offsets, 2 * trees).view(np.int64).tolist(), strict=True):
                         tokens[i] = row
-                columns = [batch.column(0).slice(at, len(part)), pa.array(n), *map(pa.array, marks), pa.array(tokens, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "set_a", "set_b", "tokens"])
+                columns = [batch.column(0).slice(at, len(part)), batch.column(2).slice(at, len(part)), pa.array(n), *map(pa.array, marks), pa.array(tokens, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "mark", "n_shingles", "set_a", "set_b", "tokens"])
                 at += len(part)
 
-    return docs.mapInArrow(sign, "doc_id bigint, n_shingles bigint, set_a bigint, set_b bigint, tokens array<bigint>")
+    return docs.mapInArrow(sign, "doc_id bigint, mark bigint, n_shingles bigint, set_a bigint, set_b bigint, tokens array<bigint>")
 
 
 def _sized(keys: DataFrame) -> DataFrame:
@@ -90,11 +94,13 @@ def _split(big: DataFrame) -> tuple[DataFrame, DataFrame]:
     A node is alike when at least half of its classes share ALIKE tokens with its leader. It stays whole.
     """
     leaders = big.groupBy("node").agg(F.max(F.struct("popular", (-F.col("doc")).alias("least"), "tokens")).alias("l"))
-    led = big.join(leaders, "node")
-    agree = F.aggregate(F.zip_with("tokens", "l.tokens", lambda x, y: (x == y).cast("int")), F.lit(0), lambda n, x: n + x)
-    led = led.select("node", "doc", "tokens", "last", "popular", (-F.col("l.least")).alias("leader"), F.col("l.popular").alias("fame"), (agree >= ALIKE).alias("near"))
+    trees = (F.size("tokens") / 2).cast("int")
+    agree = F.aggregate(F.slice(F.zip_with("tokens", "l.tokens", lambda x, y: (x == y).cast("int")), F.lit(1), trees), F.lit(0), lambda n, x: n + x)
+    led = big.join(leaders, "node").select("node", "doc", "tokens", "tree", "popular", (-F.col("l.least")).alias("leader"), F.col("l.popular").alias("fame"), (agree >= ALIKE * trees).alias("near"))
+    led = cut(led, "led")
     alike = led.groupBy("node").agg((2 * F.count_if("near") >= F.count(F.lit(1))).alias("alike"))
     told = cut(led.join(alike, "node"), "large")
+    release(led)
     return told.filter("alike").select("leader", "fame", "doc"), told.filter("NOT alike")
 
 
@@ -110,17 +116,19 @@ def _merged(crowds: DataFrame) -> DataFrame:
     return crowds.select("leader", "doc")
 
 
-def _branch(members: DataFrame) -> DataFrame:
-    """Children of large nodes: the node's key with each of the next two tokens after the last one chosen."""
-    at = lambda s: F.pmod(F.col("last") + s, F.size("tokens")).cast("int")
-    child = F.explode(F.array(*[F.struct(at(s).alias("last"), F.xxhash64("node", at(s), F.element_at("tokens", at(s) + 1)).alias("node")) for s in (1, 2)]))
-    return members.select("doc", "tokens", "popular", child.alias("c")).select("doc", "tokens", "popular", F.col("c.last").alias("last"), F.col("c.node").alias("node"))
+def _branch(members: DataFrame, depth: int) -> DataFrame:
+    """Children of large nodes: the node's key with each of the two branching tokens that its tree has at this depth."""
+    trees = (F.size("tokens") / 2).cast("int")
+    at = lambda s: (trees + F.pmod(F.col("tree") + s, trees)).cast("int")
+    child = F.explode(F.array(*[F.xxhash64("node", at(s), F.element_at("tokens", at(s) + 1)) for s in BRANCHES[depth - 1]]))
+    return members.select("doc", "tokens", "popular", "tree", child.alias("node"))
 
 
 def cells_of(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(small, crowds): rows (cell, doc) of nodes to compare whole, once for equal memberships, and rows (leader, doc) of crowds."""
-    first = classes.select("doc", "tokens", F.posexplode("tokens").alias("last", "token"))
-    one = cut(_sized(first.select("doc", "tokens", "last", F.xxhash64("last", "token").alias("node"))), "nodes")
+    roots = F.slice("tokens", F.lit(1), (F.size("tokens") / 2).cast("int"))
+    first = classes.select("doc", "tokens", F.posexplode(roots).alias("tree", "token"))
+    one = cut(_sized(first.select("doc", "tokens", "tree", F.xxhash64("tree", "token").alias("node"))), "nodes")
     small = one.filter(F.col("size") <= NODE).select("node", "doc")
     big = one.filter(F.col("size") > NODE)
     crowds = None
@@ -128,7 +136,7 @@ def cells_of(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         popular = one.groupBy("doc").agg(F.sum("size").alias("popular"))
         crowds, mixed = _split(big.join(popular, "doc"))
         for depth in range(1, DEPTH):
-            level = cut(_sized(_branch(mixed)), "nodes")
+            level = cut(_sized(_branch(mixed, depth)), "nodes")
             small = small.unionByName(level.filter(F.col("size") <= NODE).select("node", "doc"))
             alike, mixed = _split(level.filter(F.col("size") > NODE))
             crowds = crowds.unionByName(alike)
@@ -241,17 +249,18 @@ def compare(cells: DataFrame) -> DataFrame:
     return dealt.mapInPandas(run, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trees: int = TREES) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every row of ``docs``."""
-    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", trees: int = TREES, mark: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row of ``docs``; ``mark`` adds the text's xxhash64 as ``_mark``."""
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("mark"))
     signed = cut(signatures(plain, trees), "signed")
     own = ["set_a", "set_b", "n_shingles"]
-    classes = cut(signed.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()).groupBy(*own).agg(F.min("doc_id").alias("doc"), F.first("tokens").alias("tokens")), "classes")
+    sets = signed.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()).groupBy(*own).agg(F.min("doc_id").alias("least"), F.min_by("mark", "doc_id").alias("mark"), F.first("tokens").alias("tokens"))
+    classes = cut(sets.withColumn("doc", F.monotonically_increasing_id()), "classes")
     small, crowds = cells_of(classes.select("doc", "tokens"))
     small, crowds = cut(small, "small"), cut(crowds, "crowds")
     needed = small.select("doc").unionByName(crowds.select("doc")).distinct()
-    marks = classes.select("doc", "set_a", "set_b").join(needed, "doc")
-    texts = cut(plain.select(F.col("doc_id").alias("doc"), "text").join(marks, "doc"), "texts")
+    marks = classes.select("doc", F.col("least").alias("doc_id"), "mark", "set_a", "set_b").join(needed, "doc")
+    texts = cut(plain.join(marks, ["doc_id", "mark"]).select("doc", "text", "set_a", "set_b"), "texts")
     sizes = crowds.groupBy("leader").agg(F.count(F.lit(1)).alias("n"))
     spread = crowds.filter(F.col("leader") != F.col("doc")).join(sizes, "leader").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
     block = F.pmod(F.xxhash64("doc"), F.col("blocks"))
@@ -265,11 +274,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     if rest is not None:
         more = compare(rest.join(texts, "doc").select("cell", "doc", "side", "set_a", "set_b", "text"))
         found = _joined(found, cut(more.distinct(), "links"))
-    of_class = classes.select(*own, F.col("doc").alias("_rep")).join(found.withColumnRenamed("node", "_rep"), "_rep", "left").select(*own, F.coalesce("component", "_rep").alias("_component"))
-    out = signed.select("doc_id", *own).join(of_class, own, "left")
+    of = classes.select(*own, "least", "doc").join(found.withColumnRenamed("node", "doc"), "doc", "left").select(*own, "least", F.coalesce("component", "doc").alias("component"))
+    eldest = of.groupBy("component").agg(F.min("least").alias("_component"))
+    of_class = of.join(eldest, "component").select(*own, "_component")
+    out = signed.select("doc_id", "mark", *own).join(of_class, own, "left")
     release(texts)
     component = F.when(F.col("n_shingles") > 0, F.col("_component")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    more = [F.col("mark").alias("_mark")] if mark else []
+    out = out.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"), *more)
+    return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))).select("doc_id", "n_shingles", "component_id", "kept", *(["_mark"] if mark else []))
 
 
 def _joined(found: DataFrame, more: DataFrame) -> DataFrame:
