@@ -20,7 +20,6 @@ def test_round_trip(odd):
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    own.encode_special_tokens = True
     out = packing.pack(odd).withColumn("crc", F.crc32("ids")).toPandas()
     want = sorted([*own.encode(r["text"] or "", add_special_tokens=False).ids, 1] for r in odd.collect())
     got, current = [], None
@@ -34,6 +33,26 @@ def test_round_trip(odd):
     assert sorted(got) == want and out["sequence_id"].is_unique
 
 
+@pytest.mark.parametrize("text", ["a<|endoftext|>b", " <|endoftext|><|endoftext|> x", "a" + " " * 1_200_000 + "b", "\n" * 1_000_001, "z" * 300_000 + " \u3000" * 60_000, "7" * 200_000])
+def test_ids_are_the_librarys_on_hard_texts(text):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert packing.encoder(path)(text) == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+def test_a_vocabulary_of_another_kind(odd):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own = Tokenizer.from_file(path)
+    out = packing.pack(odd.filter("doc_id = 1"), vocab=path).orderBy("start").toPandas()
+    want = [*own.encode(odd.filter("doc_id = 1").first()["text"], add_special_tokens=False).ids, 1]
+    assert [i for x in out["ids"] for i in np.frombuffer(x, dtype="<u4").tolist()] == want
+
+
 def test_empty_and_buckets(none, odd, tmp_path):
     assert packing.pack(none).count() == 0
     packing.write_buckets(packing.pack(odd), str(tmp_path / "b"))

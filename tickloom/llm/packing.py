@@ -6,14 +6,14 @@ first. Every piece is a sequence of its own, so nothing is padded and no
 sequence crosses documents; sequences of one length form a bucket, from which
 batches of one shape are drawn.
 
-Defined results: a null or empty text is the end token alone, one piece of
+Defined results: a special token's string in a text is that token; a null or empty text is the end token alone, one piece of
 length 1; rows that repeat a doc_id are packed one by one; an empty table gives
 an empty result; only the two named columns are read.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -35,25 +35,65 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: Code points of the byte-level alphabet: printable bytes stand for themselves, the others follow from 256 on.
+_SHOWN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Texts that hold a longer run of blanks go to ``tokenizers``, since the fast encoder's pattern recurses over such runs.
+BLANKS = 100_000
+
+
+def _ranks(spec: dict) -> dict[bytes, int] | None:
+    """Byte strings by merge rank where the file is a plain byte-level BPE; None where it holds anything else."""
+    model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    plain = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "byte_fallback", "ignore_merges", "continuing_subword_prefix", "end_of_word_suffix"))
+    level = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+    added = spec.get("added_tokens", [])
+    exact = not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in added)
+    if not (plain and level and exact) or spec.get("normalizer"):
+        return None
+    byte_of = {chr(b): b for b in _SHOWN} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+    special = {t["content"] for t in added}
+    ranks = {bytes(byte_of[c] for c in token): i for token, i in model["vocab"].items() if token not in special}
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    made = [model["vocab"].get(a + b) for a, b in merges]
+    return ranks if made == sorted(made) and len(made) + 256 == len(ranks) and min(made, default=256) >= 256 else None
+
+
 @lru_cache(maxsize=4)
-def encoder(path: str):
-    """A byte-level BPE encoder for a ``tokenizers`` file; text that looks like a special token is ordinary text.
+def encoder(path: str) -> Callable[[str], list[int]]:
+    """Text to the ids that ``tokenizers`` gives for the file with add_special_tokens=False; a special token's string is that token.
 
-    The file's vocabulary in merge order is what tiktoken calls ranks. Its
-    encoder gives the same ids several times faster.
+    In a plain byte-level BPE the vocabulary in merge order is what tiktoken calls ranks. Its
+    encoder gives the same ids several times faster. Any other file is left to ``tokenizers``.
     """
     import json
 
-    import tiktoken
+    from tokenizers import Tokenizer
 
+    whole = Tokenizer.from_file(path)
+    slow = lambda text: whole.encode(text, add_special_tokens=False).ids
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
-    special = {t["content"] for t in spec.get("added_tokens", [])}
-    ranks = {bytes(byte_of[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
-    pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-    return tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    ranks = _ranks(spec)
+    if ranks is None:
+        return slow
+    import re
+
+    import tiktoken
+
+    special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
+    quick = tiktoken.Encoding("byte_bpe", pat_str=_PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    wide = re.compile(rf"\s{{{BLANKS}}}")
+    marked = re.compile("|".join(map(re.escape, special))) if special else None
+
+    def encode(text: str) -> list[int]:
+        if len(text) > BLANKS and wide.search(text):
+            return slow(text)
+        if marked and marked.search(text):
+            return quick.encode(text, allowed_special="all")
+        return quick.encode_ordinary(text)
+
+    return encode
 
 
 def piece_lengths(n: int, max_len: int = MAX_LEN) -> list[int]:
@@ -73,7 +113,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab:
     path = vocab or vocabulary()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(path).encode_ordinary
+        encode = encoder(path)
         for batch in batches:
             rows, chars = [], 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
