@@ -8,7 +8,11 @@ on one path does not condemn the rest of a host. A host is blocked when the
 distrust it receives reaches ``THRESHOLD`` and exceeds the trust it receives.
 
 Masses are integers (a seed holds ``SEED``), so sums do not depend on order and
-SQL gives the same verdicts.
+SQL gives the same verdicts. Every step starts from what the teleport alone gives, so masses
+only grow; after ``ITERATIONS`` of them all hosts together lack at most a thousandth of the
+seeds' mass (the damping to that power), and a step that changes nothing ends the walk. Quotients are taken before
+products, so no product leaves 64 bits while all seeds together hold less than 9e18. The out-links of a host are dealt out
+in ``FAN`` at a time, so that a hub's are spread over tasks.
 
 Defined results: a null url, or one without ``://``, has an empty host and path,
 fits no rule and is allowed; null html has no links; repeated page_ids are judged
@@ -27,7 +31,8 @@ from tickloom.llm.scratch import cut
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 SEED = 10**9
 DAMPING = 85
-ITERATIONS = 8
+ITERATIONS = 43
+FAN = 4096
 THRESHOLD = SEED // 100
 #: Rules up to so many are compared within each row; more are joined by host suffix.
 INLINE_RULES = 256
@@ -70,7 +75,12 @@ def host_links(pages: DataFrame) -> DataFrame:
     return links.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def propagate(links: DataFrame, seeds: DataFrame, iterations: int = ITERATIONS) -> DataFrame:
+def _part(mass: str, share: str, whole: int) -> str:
+    """SQL: mass * share div whole, exactly and without a product above mass."""
+    return f"({mass} div {whole} * {share} + {mass} % {whole} * {share} div {whole})"
+
+
+def propagate(links: DataFrame, seeds: DataFrame, iterations: int | None = None) -> DataFrame:
     """Received trust and distrust per host. ``seeds``: (host, kind), kind ``t`` or ``d``, one row each.
 
     Both kinds travel in one join: trust over links, distrust over links turned
@@ -79,17 +89,23 @@ def propagate(links: DataFrame, seeds: DataFrame, iterations: int = ITERATIONS)
     forward = links.select(F.lit("t").alias("kind"), F.col("src").alias("here"), F.col("dst").alias("there"), "n")
     backward = links.select(F.lit("d").alias("kind"), F.col("dst").alias("here"), F.col("src").alias("there"), "n")
     moves = forward.unionByName(backward)
-    out_of = moves.groupBy("kind", "here").agg(F.sum("n").alias("all"))
-    moves = cut(moves.join(out_of, ["kind", "here"]).select("kind", "here", "there", F.expr("bigint(1000000 * n div all)").alias("ppm")), "moves")
-    start = seeds.select(F.col("host").alias("here"), "kind", F.lit(SEED).cast("long").alias("mass"))
-    state, received = start, None
-    for step in range(iterations):
-        sent = state.join(moves, ["kind", "here"]).select("kind", F.col("there").alias("here"), F.expr("mass * ppm div 1000000").alias("mass"))
+    out_of = cut(moves.groupBy("kind", "here").agg(F.sum("n").alias("all"), F.ceil(F.count(F.lit(1)) / FAN).alias("fans")), "out")
+    moves = moves.join(out_of, ["kind", "here"])
+    moves = cut(moves.select("kind", "here", F.pmod(F.xxhash64("there"), "fans").alias("fan"), "there", F.expr("bigint(1000000 * n div all)").alias("ppm")), "moves")
+    fans = out_of.select("kind", "here", F.explode(F.sequence(F.lit(0).cast("long"), F.col("fans") - 1)).alias("fan"))
+    start = seeds.select("kind", F.col("host").alias("here"), F.lit((100 - DAMPING) * SEED // 100).cast("long").alias("mass"))
+    state, received, before = start, None, None
+    for step in range(iterations or ITERATIONS):
+        sent = state.join(fans, ["kind", "here"]).join(moves, ["kind", "here", "fan"]).select("kind", F.col("there").alias("here"), F.expr(_part("mass", "ppm", 1_000_000)).alias("mass"))
         received = sent.groupBy("kind", "here").agg(F.sum("mass").alias("got"))
         if step % 4 == 3:
             received = cut(received, "ranks")
-        both = received.select("kind", "here", F.expr(f"{DAMPING} * got").alias("mass")).unionByName(start.select("kind", "here", F.expr(f"{100 - DAMPING} * mass").alias("mass")))
-        state = both.groupBy("kind", "here").agg(F.expr("sum(mass) div 100").alias("mass"))
+            total = received.agg(F.sum(F.col("got").cast("decimal(38,0)")), F.count(F.lit(1))).first()
+            if total == before:
+                break
+            before = total
+        damped = received.select("kind", "here", F.expr(_part("got", str(DAMPING), 100)).alias("mass"))
+        state = damped.unionByName(start).groupBy("kind", "here").agg(F.sum("mass").alias("mass"))
     total = lambda k: F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("got"))), F.lit(0))
     return received.groupBy(F.col("here").alias("host")).agg(total("t").alias("trust"), total("d").alias("distrust"))
 
@@ -126,12 +142,12 @@ def oracle_sql() -> str:
         f"links AS (SELECT src, dst, count(*) AS n FROM (SELECT src, {split('u')[0]} AS dst FROM urls) WHERE dst <> '' AND src <> dst GROUP BY ALL)",
         "raw AS (SELECT 't' AS kind, src AS here, dst AS there, n FROM links UNION ALL SELECT 'd', dst, src, n FROM links)",
         "moves AS (SELECT kind, here, there, (1000000 * n // sum(n) OVER (PARTITION BY kind, here))::BIGINT AS ppm FROM raw)",
-        f"seeds AS (SELECT DISTINCT host AS here, CASE ruled WHEN 'allow' THEN 't' ELSE 'd' END AS kind, {SEED}::BIGINT AS mass FROM judged WHERE ruled IS NOT NULL)",
-        "s0 AS (SELECT kind, here, mass FROM seeds)",
+        f"seeds AS (SELECT DISTINCT host AS here, CASE ruled WHEN 'allow' THEN 't' ELSE 'd' END AS kind FROM judged WHERE ruled IS NOT NULL)",
+        f"s0 AS (SELECT kind, here, {(100 - DAMPING) * SEED // 100}::BIGINT AS mass FROM seeds)",
     ]
     for i in range(ITERATIONS):
-        parts.append(f"r{i} AS MATERIALIZED (SELECT kind, there AS here, sum(mass * ppm // 1000000)::BIGINT AS got FROM s{i} JOIN moves USING (kind, here) GROUP BY ALL)")
-        parts.append(f"s{i + 1} AS (SELECT kind, here, (sum(mass) // 100)::BIGINT AS mass FROM (SELECT kind, here, {DAMPING} * got AS mass FROM r{i} UNION ALL SELECT kind, here, {100 - DAMPING} * mass FROM seeds) GROUP BY ALL)")
+        parts.append(f"r{i} AS MATERIALIZED (SELECT kind, there AS here, sum(mass::HUGEINT * ppm // 1000000)::BIGINT AS got FROM s{i} JOIN moves USING (kind, here) GROUP BY ALL)")
+        parts.append(f"s{i + 1} AS (SELECT kind, here, sum(mass)::BIGINT AS mass FROM (SELECT kind, here, {DAMPING} * got::HUGEINT // 100 AS mass FROM r{i} UNION ALL FROM s0) GROUP BY ALL)")
     last = f"r{ITERATIONS - 1}"
     parts.append(f"ranks AS (SELECT here AS host, coalesce(sum(got) FILTER (kind = 't'), 0) AS trust, coalesce(sum(got) FILTER (kind = 'd'), 0) AS distrust FROM {last} GROUP BY here)")
     parts.append(f"bad AS (SELECT host FROM ranks WHERE distrust >= {THRESHOLD} AND distrust > trust)")
