@@ -41,9 +41,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near duplicates."""
-    gone = near_duplicates(docs).filter("NOT kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Keep one document of each group of near duplicates; rows that repeat a doc_id are told apart by their texts."""
+    gone = near_duplicates(docs, mark=True).filter("NOT kept").select(F.col("doc_id").alias("_id"), "_mark").distinct()
+    same = (F.col("doc_id") == F.col("_id")) & (F.xxhash64("text") == F.col("_mark"))
+    return docs.join(gone, same, "left_anti").select(*COLUMNS)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
