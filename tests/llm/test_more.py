@@ -38,6 +38,98 @@ def test_forward_sums_all_segmentations():
     assert np.isfinite(langid.word_scores([b" " + b"ab" * 32], path, probs)).all()
 
 
+def forward(word, pieces, probs):
+    """Log of the sum over all segmentations, one byte after the other."""
+    alpha, shift = [np.ones(probs.shape[1])], np.zeros(probs.shape[1])
+    for end in range(1, len(word) + 1):
+        here = np.zeros(probs.shape[1])
+        for size in range(1, min(end, 60) + 1):
+            if (i := pieces.get(word[end - size : end])) is not None:
+                here = here + alpha[end - size] * probs[i]
+        alpha.append(here)
+        if end % 7 == 0:
+            alpha = [*alpha[:-60], *(a / here for a in alpha[-60:])]
+            shift = shift + np.log(here)
+    return np.log(alpha[-1]) + shift
+
+
+@pytest.mark.parametrize("cells,alone,langs", [(4_000_000, 128, 64), (4_000_000, 1, 64), (200, 10**9, 2)])
+def test_whole_words_of_any_length(monkeypatch, cells, alone, langs):
+    """In passes, one by one in slices, and a few languages at a time."""
+    for name, value in (("CELLS", cells), ("ALONE", alone), ("LANGS", langs), ("SLICE", 100)):
+        monkeypatch.setattr(langid, name, value)
+    path = langid.vocabulary()
+    sp = langid._processor(path)
+    known = {}
+    for i in range(sp.get_piece_size()):
+        if sp.is_byte(i):
+            known.setdefault(bytes([int(sp.id_to_piece(i)[3:-1], 16)]), i)
+    for i in range(sp.get_piece_size()):
+        if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i)):
+            known[sp.id_to_piece(i).replace("▁", " ").encode()] = i
+    rng = np.random.default_rng(4)
+    probs = rng.random((sp.get_piece_size(), 5)) ** 8 + 1e-9
+    words = ["a", "日本語の文章には空白がない" * 9, "internationalisation" * 4, "ü" * 33, "x" * 200, "東京都" * 60, "http://example.org/" + "path/" * 90]
+    words = [b" " + w.encode() for w in words]
+    want = np.array([forward(w, known, probs) for w in words])
+    assert np.allclose(langid.word_scores(words, path, probs), want, rtol=1e-9)
+
+
+def test_whole_query_against_brute_force(spark):
+    """Learning, posterior and verdict of every row, with texts without blanks and rows that teach nothing."""
+    import math
+    import zlib
+
+    rng = random.Random(5)
+    said = {"en": "the house stands by the river and the boat waits there".split(), "de": "das haus steht am fluss und das boot wartet dort über nacht".split(), "ja": ["川のほとりに家が建ちそこで船が待っている", "夜になると誰もいない" * 9]}
+    rows = []
+    for i in range(90):
+        lang = rng.choice(list(said))
+        rows.append((i, " ".join(rng.choices(said[lang], k=rng.randint(1, 6))), lang if i % 5 else None))
+    rows += [(900, None, "en"), (901, "123 456", "de"), (902, "", None), (903, "z" * 300, None), (None, "the river", "en"), (4, "das boot", "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sp = langid._processor(langid.vocabulary())
+    letters = lambda t: any(c.isalpha() for c in t or "")
+    taught = [(t, k) for i, t, k in rows if i is not None and zlib.crc32(str(i).encode()) % 4 != 2 and k and letters(t)]
+    langs = sorted({k for _, k in taught})
+    counts = np.zeros((sp.get_piece_size(), len(langs)))
+    for t, k in taught:
+        for w in t.split():
+            for p in sp.encode(w):
+                counts[p, langs.index(k)] += 1
+    share = (counts + 1e-3) / (counts + 1e-3).sum(0)
+    probs = (1 - langid.SMOOTH) * share + langid.SMOOTH * share.mean(1, keepdims=True)
+    prior = np.array([math.log(sum(k == x for _, k in taught) / len(taught)) for x in langs])
+    known = {}
+    for i in range(sp.get_piece_size()):
+        if sp.is_byte(i):
+            known.setdefault(bytes([int(sp.id_to_piece(i)[3:-1], 16)]), i)
+    for i in range(sp.get_piece_size()):
+        if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i)):
+            known[sp.id_to_piece(i).replace("▁", " ").encode()] = i
+    want = []
+    for i, t, _ in rows:
+        held = i is not None and zlib.crc32(str(i).encode()) % 4 == 2
+        if not letters(t):
+            want.append((i, held, "und", 0.0))
+            continue
+        total = prior + sum(forward(b" " + w.encode(), known, probs) for w in t.split())
+        k = int(total.argmax())
+        want.append((i, held, langs[k], 1 / np.exp(total - total[k]).sum()))
+    key = lambda r: (r[0] is None, r[0] or 0, r[2], r[3])
+    got = sorted(map(tuple, langid.language_id(df).collect()), key=key)
+    want.sort(key=key)
+    assert [r[:3] for r in got] == [r[:3] for r in want] and np.allclose([r[3] for r in got], [r[3] for r in want])
+
+
+def test_more_languages_than_any_table_has(spark):
+    """Every label is learned, one that few rows have too."""
+    rows = [(i, f"word{i % 300} special{i % 300}", f"l{i % 300}") for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    langs, prior, probs = langid.learn(df)
+    assert len(langs) == 300 == probs.shape[1] == len(prior)
+
+
 def test_language_odd_rows(odd, none):
     out = langid.language_id(odd).collect()
     assert len(out) == odd.count() and sorted(r["doc_id"] for r in out if r["lang_pred"] == "und") == [3, 4, 5]
@@ -81,6 +173,8 @@ def test_pieces_match_the_library(spark, odd, none):
     sp = sentencepiece.SentencePieceProcessor(model_file=pieces.vocabulary())
     docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").limit(40)
     extra = odd.filter("doc_id > 2").select((-F.col("doc_id")).alias("doc_id"), "text")
+    wide = [(-60 - n, "Umgangssprachlichkeitsbeauftragtenversammlungsprotokollführerin"[: n % 8 + 3] * 20) for n in range(8)]
+    extra = extra.unionByName(odd.sparkSession.createDataFrame([(i, t[: 50 + -i % 21]) for i, t in wide], "doc_id long, text string"))
     docs = docs.unionByName(extra).unionByName(spark.createDataFrame([(-50, "  a  b "), (-51, "a▁b"), (-52, "ab1" * 90)], "doc_id long, text string"))
     texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
     coded = pieces.encode(docs).persist()
@@ -89,6 +183,32 @@ def test_pieces_match_the_library(spark, odd, none):
     assert pieces.encode(none).count() == 0
 
 
+def test_pieces_of_rows_that_repeat_an_id(spark):
+    """Rows of one id keep their own pieces, equal rows come back as often, and a null id has no result."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=pieces.vocabulary())
+    rows = [(1, "alpha beta gamma"), (1, "one two three"), (2, "the same text"), (2, "the same text"), (3, None), (None, "lost")]
+    coded = pieces.encode(spark.createDataFrame(rows, "doc_id long, text string")).persist()
+    want = sorted((i, sp.encode(t or "")) for i, t in rows if i is not None)
+    assert sorted((r["doc_id"], r["ids"]) for r in coded.collect()) == want
+    assert sorted((r["doc_id"], r["text"]) for r in pieces.decode(coded).collect()) == sorted((i, t or "") for i, t in rows if i is not None)
+
+
+@pytest.mark.parametrize("wide", [60, 50])
+def test_fold_and_queue_agree(spark, monkeypatch, wide):
+    """Units of 50 to 60 characters by the fold and by the queue; the library gives the same ids."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=pieces.vocabulary())
+    monkeypatch.setattr(pieces, "WIDE", wide)
+    rng = random.Random(8)
+    words = ["".join(rng.choice("thenarioucksde") for _ in range(rng.randint(50, 70))) for _ in range(60)] + ["ü" * 58 + "x", "th" * 28, "日本" * 27]
+    rows = [(i, w) for i, w in enumerate(words)]
+    coded = pieces.encode(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["doc_id"]: r["ids"] for r in coded.collect()} == {i: sp.encode(w) for i, w in rows}
+
+
 def brute_quality(text):
     words = [w for w in "".join(" " if c in "\t\n\x0b\x0c\r" else c for c in text or "").split(" ") if w]
     grams = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
@@ -136,6 +256,7 @@ def test_url_rules_and_propagation(spark, monkeypatch):
         (10, "http://x.net", None),
     ]
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    monkeypatch.setattr(urlfilter, "ITERATIONS", 9)
 
     def run():
         return {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urlfilter.url_filter(df).collect()}
@@ -154,6 +275,31 @@ def test_url_rules_and_propagation(spark, monkeypatch):
     assert urlfilter.url_filter(df.filter("false")).count() == 0
 
 
+def test_a_hub_of_blocked_hosts(spark, monkeypatch):
+    """Masses of many seeds meet in one host, its links are dealt out, and SQL agrees on every verdict."""
+    import duckdb
+
+    monkeypatch.setattr(urlfilter, "ITERATIONS", 6)
+    monkeypatch.setattr(urlfilter, "FAN", 100)
+    hub = "".join(f"<a href='http://h{i}.net/x'>" for i in range(12_000)) + "<a href='http://tail.com/'>"
+    rows = [(0, "http://hub.com/", hub), (0, "http://hub.com/" + "a" * 50_000, "<p>" * 100_000), (1, "http://tail.com/", "<a href='http://hub.com/'>"), (2, "http://far.com/", None)]
+    rows += [(10 + i, f"http://h{i}.net/", "<a href='http://hub.com/'>" if i % 2 else None) for i in range(0, 12_000, 7)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"verdict": F.lit(1), "mass": F.lit(2), "here": F.lit(3)})
+    got = sorted((r["page_id"], r["verdict"]) for r in urlfilter.url_filter(df).select("page_id", "verdict").collect())
+    pages = df.toPandas()  # noqa: F841
+    assert got == sorted((r[0], r[4]) for r in duckdb.sql(urlfilter.oracle_sql()).fetchall())
+    assert got[:4] == [(0, "block"), (0, "block"), (1, "block"), (2, "allow")]
+
+
+def test_masses_settle(spark):
+    """Further steps add less than a thousandth of the seeds' mass."""
+    links = spark.createDataFrame([("a", "b", 1), ("b", "c", 1), ("c", "a", 2), ("b", "a", 1)], "src string, dst string, n long")
+    seeds = spark.createDataFrame([("a", "t")], "host string, kind string")
+    mass = lambda n: {r["host"]: r["trust"] for r in urlfilter.propagate(links, seeds, n).collect()}
+    few, many = mass(urlfilter.ITERATIONS), mass(urlfilter.ITERATIONS + 8)
+    assert sum(many.values()) - sum(few.values()) < urlfilter.SEED / 1000 and all(many[h] >= few[h] > 0 for h in few)
+
+
 def test_chats_collapse(spark, monkeypatch):
     monkeypatch.setattr(chat, "BLOCK", 3)
     talk = [("user", "hi"), ("assistant", "yes"), ("user", "why"), ("assistant", "so"), ("user", "ok <|im_end|>"), (None, None), ("user", "bye")]
