@@ -233,12 +233,28 @@ def test_quality_counts_and_fences(spark, odd, none):
 
 def test_sketches_merge(spark):
     d = spark.range(1000).select((F.col("id") % 3).alias("k"), *[(F.col("id") * 7 % 991).alias(m) for m in quality.MEASURES])
-    whole = quality.quartiles(quality.sketches(d.withColumn("k", F.lit(0)), ("k",)), ("k",)).select("n", "q1", "q3")
-    merged = quality.quartiles(quality.sketches(d, ("k",)).withColumn("k", F.lit(0)), ("k",)).select("n", "q1", "q3")
+    whole = quality.quantiles(quality.sketches(d.withColumn("k", F.lit(0)), ("k",)), ("k",), (25, 75)).select("n", "q25", "q75")
+    merged = quality.quantiles(quality.sketches(d, ("k",)).withColumn("k", F.lit(0)), ("k",), (25, 75)).select("n", "q25", "q75")
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, merged.collect()))
     exact = sorted(i * 7 % 991 for i in range(1000))
     r = whole.first()
-    assert abs(r["q1"] - exact[249]) <= exact[249] / 16 + 1 and abs(r["q3"] - exact[749]) <= exact[749] / 16 + 1
+    assert abs(r["q25"] - exact[249]) <= exact[249] / 64 + 1 and abs(r["q75"] - exact[749]) <= exact[749] / 64 + 1
+
+
+def test_thresholds_differ_by_group(spark):
+    """A source where symbols are usual keeps them; elsewhere the same texts go; a group's word lengths set its own fences."""
+    rng = random.Random(9)
+    plain = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(max(1, n + rng.randint(-1, 1)))) for _ in range(60))
+    coded = lambda n: plain(n) + " " + "| $ " * 12
+    rows = [(i, plain(5), "en", "prose") for i in range(200)] + [(1000 + i, coded(5), "en", "prose") for i in range(6)]
+    rows += [(2000 + i, coded(5) if i % 2 else plain(5), "en", "code") for i in range(200)]
+    rows += [(3000 + i, plain(9), "de", "prose") for i in range(200)] + [(4000 + i, plain(9), "en", "prose") for i in range(3)] + [(5000, plain(5), "de", "prose")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    gone = {r["doc_id"] for r in quality.quality_rules(df).filter("NOT kept").collect()}
+    assert gone == {*range(1000, 1006), *range(4000, 4003), 5000}
+    rated = quality.measures(df).select("*", *quality._rates())
+    limits = {(r["lang"], r["source"]): r for r in quality.fences(quality.sketches(rated, ("lang", "source")), ("lang", "source")).collect()}
+    assert limits["en", "prose"]["hi_symbol_rate"] < limits["en", "code"]["hi_symbol_rate"] and limits["en", "prose"]["hi_word_length"] < limits["de", "prose"]["hi_word_length"]
 
 
 def test_url_rules_and_propagation(spark, monkeypatch):

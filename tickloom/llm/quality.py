@@ -3,12 +3,14 @@
 Every document gets word, symbol and repetition measures. Documents that pass a
 small fixed base test feed mergeable quantile sketches, one per (language,
 source) and measure. The sketch is a log-linear histogram: a value keeps its
-five leading bits, so a bucket is at most 1/16 of its value wide, buckets of two
+seven leading bits, so a bucket is at most 1/64 of its value wide, buckets of two
 sketches add up, and the outcome does not depend on partitioning. Groups too
-small for stable quartiles use the merged sketch of their language, or of the
-corpus. A document is kept when each measure lies inside its group's outer
-quartile fences. Rates of duplicate lines and of repeats are zero in most texts;
-their fence stands on the quartiles of the values above zero.
+small for stable quantiles use the merged sketch of their language, or of the
+corpus. A document is kept when each measure lies inside its group's fences. They stand
+``FENCE`` times the spread beyond the outer deciles, the spread being the distance from the decile to the
+median (between far edges of their buckets); only word lengths are fenced below too, since no rate is bad for being low. So a tenth of a group's texts must show
+a trait for it to count as the group's nature. Rates of duplicate lines and of repeats occur in few texts of any
+group; their fence is the upper Tukey fence of the values above zero.
 
 Defined results: a null or empty text has no words and fails the base test; null
 language or source is a group of its own; rows that repeat a doc_id are judged
@@ -25,15 +27,17 @@ from pyspark.sql.window import Window
 from tickloom.llm.scratch import cut
 
 WINDOW = 8
-#: measure -> (slack added outside the fences, whether low values are fenced too)
-MEASURES = {"symbol_rate": (200, False), "word_length": (150, True), "dup_line_rate": (400, False), "repeat_rate": (250, False)}
-#: Outer fences stand this many interquartile ranges from the quartiles.
+#: Leading bits that a sketch keeps of a value, and the buckets of each power of two.
+LEAD, HALF = 7, 64
+#: measure -> (slack added outside the fences, well below the measures' spread; whether low values are fenced too)
+MEASURES = {"symbol_rate": (50, False), "word_length": (20, True), "dup_line_rate": (20, False), "repeat_rate": (20, False)}
+#: Fences stand this many spreads from the outer deciles.
 FENCE = 3
 #: Groups of fewer base-passing documents use a merged sketch.
 MIN_GROUP = 100
-#: Rates that are zero in most texts: their fence stands on the values above zero, where ``MIN_NONZERO`` of them are known.
+#: Rates that are zero in most texts of any group: their fence stands on the values above zero, where ``MIN_NONZERO`` of them are known.
 SPARSE = ("dup_line_rate", "repeat_rate")
-MIN_NONZERO, SPARSE_SLACK = 30, 20
+MIN_NONZERO = 30
 
 _WORDS = r"filter(split(translate(t, '\t\n\u000b\u000c\r', '     '), ' '), w -> w <> '')"
 _HASHES = f"transform(sequence(1, size(ws) - {WINDOW - 1}), i -> xxhash64(slice(ws, i, {WINDOW})))"
@@ -90,14 +94,20 @@ def _rates() -> list[Column]:
 
 def bucket(value: str) -> str:
     """SQL for the log-linear bucket of a non-negative integer."""
-    shift = f"greatest(length(bin({value})) - 5, 0)"
-    return f"bigint(16 * {shift} + shiftright({value}, {shift}))"
+    shift = f"greatest(length(bin({value})) - {LEAD}, 0)"
+    return f"bigint({HALF} * {shift} + shiftright({value}, {shift}))"
 
 
 def bucket_top(b: str) -> str:
     """SQL for the largest value in a bucket."""
-    shift = f"greatest({b} div 16 - 1, 0)"
-    return f"(shiftleft({b} - 16 * {shift} + 1, int({shift})) - 1)"
+    shift = f"greatest({b} div {HALF} - 1, 0)"
+    return f"(shiftleft({b} - {HALF} * {shift} + 1, int({shift})) - 1)"
+
+
+def bucket_bottom(b: str) -> str:
+    """SQL for the smallest value in a bucket."""
+    shift = f"greatest({b} div {HALF} - 1, 0)"
+    return f"shiftleft({b} - {HALF} * {shift}, int({shift}))"
 
 
 def sketches(rated: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -107,50 +117,46 @@ def sketches(rated: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return long.groupBy(*keys, "measure", F.expr(bucket("value")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def quartiles(sketch: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """Per (keys, measure): n, q1 and q3 by nearest rank. Buckets of one group are a few hundred rows at most."""
+def quantiles(sketch: DataFrame, keys: tuple[str, ...], percents: tuple[int, ...]) -> DataFrame:
+    """Per (keys, measure): n, and the bucket of each quantile by nearest rank as its top q<percent> and bottom b<percent>. A group has a few hundred buckets at most."""
     merged = sketch.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*keys, "measure")
     ranked = merged.select("*", F.sum("n").over(group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)).alias("upto"), F.sum("n").over(group).alias("total"))
-    at = lambda q: F.min(F.when(4 * F.col("upto") >= q * F.col("total"), F.expr(bucket_top("bucket"))))
-    return ranked.groupBy(*keys, "measure").agg(F.max("total").alias("n"), at(1).alias("q1"), at(3).alias("q3"))
+    at = lambda q, edge: F.min(F.when(100 * F.col("upto") >= q * F.col("total"), F.expr(edge("bucket"))))
+    edges = (("q", bucket_top), ("b", bucket_bottom))
+    return ranked.groupBy(*keys, "measure").agg(F.max("total").alias("n"), *[at(q, edge).alias(f"{c}{q}") for q in percents for c, edge in edges])
 
 
-def sparse_tops(sketch: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """(keys, measure, top): q3 + 1.5 (q3 - q1) and a slack over the values above zero, from the finest sketch with enough of them."""
-    sparse = sketch.filter(F.col("measure").isin(*SPARSE))
-    joined = sparse.select(*keys, "measure").distinct()
-    above = sparse.filter("bucket > 0").withColumn("_all", F.lit(0))
+def _finest(groups: DataFrame, sketch: DataFrame, keys: tuple[str, ...], percents: tuple[int, ...], least: int, last: int) -> DataFrame:
+    """Quantiles for each (keys, measure) of ``groups``: its own where it has ``least`` values, else its first key's, else those of all where ``last`` are known."""
+    out = groups
     for k, by in enumerate((keys, keys[:1], ())):
-        top = F.when(F.col("n") >= MIN_NONZERO, F.col("q3") + F.floor(1.5 * (F.col("q3") - F.col("q1"))) + SPARSE_SLACK)
-        one = quartiles(above, by or ("_all",)).select(*[F.col(c).alias(f"_{k}{c}") for c in by], F.col("measure").alias(f"_m{k}"), top.alias(f"_t{k}"))
+        one = quantiles(sketch if by else sketch.withColumn("_all", F.lit(0)), by or ("_all",), percents)
+        found = F.when(F.col("n") >= (least if by else last), F.struct(*[f"{c}{q}" for q in percents for c in "qb"])).alias(f"_q{k}")
+        one = one.select(*[F.col(c).alias(f"_{k}{c}") for c in by], F.col("measure").alias(f"_m{k}"), found)
         same = F.col("measure") == F.col(f"_m{k}")
         for c in by:
             same = same & F.col(c).eqNullSafe(F.col(f"_{k}{c}"))
-        joined = joined.join(one, same, "left")
-    return joined.select(*keys, "measure", F.coalesce("_t0", "_t1", "_t2").alias("top"))
+        out = out.join(one, same, "left")
+    return out.select(*keys, "measure", F.coalesce("_q0", "_q1", "_q2").alias("q")).select(*keys, "measure", "q.*")
 
 
 def fences(sketch: DataFrame, keys: tuple[str, ...], min_group: int = MIN_GROUP) -> DataFrame:
-    """One row per group with a struct (lo, hi) for each measure, from the finest sketch that is large enough."""
-    first = keys[0]
-    own = quartiles(sketch, keys)
-    wide = quartiles(sketch, (first,)).select(F.col(first).alias("_k"), F.col("measure").alias("_m"), F.col("n").alias("_n"), F.col("q1").alias("_q1"), F.col("q3").alias("_q3"))
-    all_ = quartiles(sketch.withColumn("_all", F.lit(0)), ("_all",)).select(F.col("measure").alias("_am"), F.col("q1").alias("_a1"), F.col("q3").alias("_a3"))
-    joined = own.join(wide, F.col(first).eqNullSafe(F.col("_k")) & (F.col("measure") == F.col("_m")), "left").join(all_, F.col("measure") == F.col("_am"), "left")
-    pick = lambda q: F.when(F.col("n") >= min_group, F.col(f"q{q}")).when(F.col("_n") >= min_group, F.col(f"_q{q}")).otherwise(F.col(f"_a{q}"))
-    joined = joined.select(*keys, "measure", pick(1).alias("q1"), pick(3).alias("q3"))
-    tops = sparse_tops(sketch, keys).select(*[F.col(c).alias(f"_t{c}") for c in keys], F.col("measure").alias("_tm"), "top")
-    same = F.col("measure") == F.col("_tm")
-    for c in keys:
-        same = same & F.col(c).eqNullSafe(F.col(f"_t{c}"))
-    joined = joined.join(tops, same, "left")
+    """One row per group with lo_<measure> (where low values are fenced) and hi_<measure>; null where too little is known."""
+    groups = sketch.select(*keys).distinct()
+    of = lambda names: groups.withColumn("measure", F.explode(F.array(*map(F.lit, names))))
+    is_sparse = F.col("measure").isin(*SPARSE)
+    dense = _finest(of([m for m in MEASURES if m not in SPARSE]), sketch.filter(~is_sparse), keys, (10, 50, 90), min_group, 1)
+    dense = dense.select(*keys, "measure", (F.col("b10") - FENCE * (F.col("q50") - F.col("b10"))).alias("lo"), (F.col("q90") + FENCE * (F.col("q90") - F.col("b50"))).alias("hi"))
+    rare = _finest(of(SPARSE), sketch.filter(is_sparse & (F.col("bucket") > 0)), keys, (25, 75), MIN_NONZERO, MIN_NONZERO)
+    rare = rare.select(*keys, "measure", F.lit(None).cast("long").alias("lo"), (F.col("q75") + F.floor(1.5 * (F.col("q75") - F.col("b25")))).alias("hi"))
     out = []
     for m, (slack, low) in MEASURES.items():
         mine = F.col("measure") == m
-        out.append(F.max(F.when(mine, F.coalesce("top", F.col("q3") + FENCE * (F.col("q3") - F.col("q1")) + slack))).alias(f"hi_{m}"))
-        out.append((F.max(F.when(mine, F.col("q1") - FENCE * (F.col("q3") - F.col("q1")) - slack)) if low else F.lit(-1).cast("long")).alias(f"lo_{m}"))
-    return joined.groupBy(*keys).agg(*out)
+        out.append(F.max(F.when(mine, F.col("hi") + slack)).alias(f"hi_{m}"))
+        if low:
+            out.append(F.max(F.when(mine, F.col("lo") - slack)).alias(f"lo_{m}"))
+    return dense.unionByName(rare).groupBy(*keys).agg(*out)
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keys: tuple[str, ...] = ("lang", "source"), min_group: int = MIN_GROUP) -> DataFrame:
@@ -167,26 +173,33 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     same = [F.col(o).eqNullSafe(F.col(f"l{o}")) for o in own]
     joined = rated.join(limits, same, "left")
     inside = F.lit(True)
-    for m in MEASURES:
-        inside = inside & F.col(m).between(F.col(f"lo_{m}"), F.col(f"hi_{m}"))
+    for m, (_, low) in MEASURES.items():
+        inside = inside & F.coalesce(F.col(m) <= F.col(f"hi_{m}"), F.lit(True))
+        if low:
+            inside = inside & F.coalesce(F.col(m) >= F.col(f"lo_{m}"), F.lit(True))
     return joined.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", F.when(F.col("base_failed"), F.lit(False)).otherwise(F.coalesce(inside, F.lit(True))).alias("kept"))
 
 
 def oracle_sql() -> str:
     """The same counts, sketches and verdicts in DuckDB SQL."""
     blank = r"[\x20\x09-\x0D]"
-    shift = "greatest(length(bin(v)) - 5, 0)"
-    top = "greatest(bucket // 16 - 1, 0)"
+    shift = f"greatest(length(bin(v)) - {LEAD}, 0)"
+    top = f"greatest(bucket // {HALF} - 1, 0)"
 
-    def quartile(name: str, keys: str) -> str:
+    def quantile(name: str, keys: str, source: str) -> str:
         by = f"{keys}, " if keys else ""
-        return f"""{name} AS (SELECT {by}measure, max(total) AS n, min(CASE WHEN 4 * upto >= total THEN hi END) AS q1, min(CASE WHEN 4 * upto >= 3 * total THEN hi END) AS q3
-  FROM (SELECT {by}measure, ((bucket - 16 * {top} + 1) << {top}::INT) - 1 AS hi, sum(n) OVER (PARTITION BY {by}measure ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {by}measure) AS total
-    FROM (SELECT {by}measure, bucket, sum(n) AS n FROM s GROUP BY ALL)) GROUP BY ALL)"""
+        at = ", ".join(f"min(CASE WHEN 100 * upto >= {q} * total THEN {edge} END) AS {c}{q}" for q in (10, 25, 50, 75, 90) for c, edge in (("q", "hi"), ("b", "lo")))
+        return f"""{name} AS (SELECT {by}measure, max(total) AS n, {at}
+  FROM (SELECT {by}measure, ((bucket - {HALF} * {top} + 1) << {top}::INT) - 1 AS hi, (bucket - {HALF} * {top}) << {top}::INT AS lo, sum(n) OVER (PARTITION BY {by}measure ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY {by}measure) AS total
+    FROM (SELECT {by}measure, bucket, sum(n) AS n FROM {source} GROUP BY ALL)) GROUP BY ALL)"""
+
+    def pick(q: str) -> str:
+        return f"CASE WHEN own.n >= least THEN own.{q} WHEN wide.n >= least THEN wide.{q} WHEN whole.n >= floor_ THEN whole.{q} END AS {q}"
 
     names = ", ".join(f"'{m}'" for m in MEASURES)
     limits = ", ".join(f"({slack}, '{m}', {str(low).lower()})" for m, (slack, low) in MEASURES.items())
-    inside = " AND ".join(f"{m} BETWEEN lo['{m}'] AND hi['{m}']" for m in MEASURES)
+    inside = " AND ".join(f"coalesce({m} <= hi['{m}'], true) AND coalesce({m} >= lo['{m}'], true)" for m in MEASURES)
+    sparse = ", ".join(f"'{m}'" for m in SPARSE)
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, list_filter(string_split_regex(t, '{blank}+'), lambda x: x <> '') AS ws, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
@@ -197,14 +210,16 @@ m AS (SELECT w.rid, doc_id, lang, source, len(ws)::BIGINT AS n_words, length(reg
   (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words, len(ls)::BIGINT AS n_lines FROM w LEFT JOIN cov USING (rid)),
 r AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, 10000 * n_symbols // greatest(word_chars, 1) AS symbol_rate, 100 * word_chars // greatest(n_words, 1) AS word_length,
   1000 * n_dup_lines // greatest(n_lines, 1) AS dup_line_rate, 1000 * n_repeat_words // greatest(n_words, 1) AS repeat_rate FROM m),
-s AS (SELECT lang, source, measure, 16 * {shift} + (v >> {shift}::INT) AS bucket, count(*) AS n FROM (SELECT lang, source, unnest([{names}]) AS measure, unnest([{", ".join(MEASURES)}]) AS v FROM r WHERE NOT base_failed) GROUP BY ALL),
-{quartile("own", "lang, source")},
-{quartile("wide", "lang")},
-{quartile("whole", "")},
-p AS (SELECT own.lang, own.source, measure, CASE WHEN own.n >= {MIN_GROUP} THEN own.q1 WHEN wide.n >= {MIN_GROUP} THEN wide.q1 ELSE whole.q1 END AS q1, CASE WHEN own.n >= {MIN_GROUP} THEN own.q3 WHEN wide.n >= {MIN_GROUP} THEN wide.q3 ELSE whole.q3 END AS q3
-  FROM own JOIN wide USING (measure) JOIN whole USING (measure) WHERE own.lang IS NOT DISTINCT FROM wide.lang),
-f AS (SELECT lang, source, map_from_entries(list((measure, CASE WHEN low THEN q1 - {FENCE} * (q3 - q1) - slack ELSE -1 END))) AS lo, map_from_entries(list((measure, q3 + {FENCE} * (q3 - q1) + slack))) AS hi
-  FROM p JOIN (VALUES {limits}) l(slack, measure, low) USING (measure) GROUP BY ALL)
+s AS (SELECT lang, source, measure, {HALF} * {shift} + (v >> {shift}::INT) AS bucket, count(*) AS n FROM (SELECT lang, source, unnest([{names}]) AS measure, unnest([{", ".join(MEASURES)}]) AS v FROM r WHERE NOT base_failed) GROUP BY ALL),
+u AS (SELECT * FROM s WHERE measure NOT IN ({sparse}) OR bucket > 0),
+{quantile("own", "lang, source", "u")},
+{quantile("wide", "lang", "u")},
+{quantile("whole", "", "u")},
+g AS (SELECT * FROM (SELECT DISTINCT lang, source FROM s), (SELECT *, measure IN ({sparse}) AS rare, CASE WHEN measure IN ({sparse}) THEN {MIN_NONZERO} ELSE {MIN_GROUP} END AS least, CASE WHEN measure IN ({sparse}) THEN {MIN_NONZERO} ELSE 1 END AS floor_ FROM (VALUES {limits}) l(slack, measure, low))),
+p AS (SELECT g.*, {", ".join(map(pick, ("b10", "b25", "b50", "q50", "q75", "q90")))} FROM g LEFT JOIN own ON own.measure = g.measure AND own.lang IS NOT DISTINCT FROM g.lang AND own.source IS NOT DISTINCT FROM g.source
+  LEFT JOIN wide ON wide.measure = g.measure AND wide.lang IS NOT DISTINCT FROM g.lang LEFT JOIN whole ON whole.measure = g.measure),
+f AS (SELECT lang, source, map_from_entries(list((measure, CASE WHEN low THEN b10 - {FENCE} * (q50 - b10) - slack END))) AS lo,
+  map_from_entries(list((measure, CASE WHEN rare THEN q75 + floor(1.5::DOUBLE * (q75 - b25)) ELSE q90 + {FENCE} * (q90 - b50) END + slack))) AS hi FROM p GROUP BY ALL)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce({inside}, true) AS kept
 FROM r LEFT JOIN f ON r.lang IS NOT DISTINCT FROM f.lang AND r.source IS NOT DISTINCT FROM f.source
 """
