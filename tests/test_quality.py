@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tickloom.config import PENALTIES, QualityConfig, load_config
-from tickloom.functions.columns import decimals, ema
+from tickloom.functions.columns import decimals, ranked, running
 from tickloom.operators import quality as q
 from tickloom.sources.parse import parse_ticks
 
@@ -79,10 +79,17 @@ def test_score_never_leaves_its_bounds(spark):
 
 def test_ema_spans_blocks(spark):
     n = 2000
-    d = spark.range(n).select(F.lit("k").alias("k"), (F.col("id") + 1).alias("rn"), (100 + F.sin("id") * 7).alias("x"))
-    got = {r["rn"]: r["e"] for r in ema(d, "x", "e", "k", "rn", block=64).collect()}
+    d = spark.range(n).select(F.lit("k").alias("k"), (F.col("id") * 50).alias("seq"), (100 + F.sin("id") * 7).alias("x"))
+    out = running(ranked(d, "k", "seq", span=1000), "k", "rn", {"x": "was"}, {"x": "e"}, block=64).collect()
+    got = {r["rn"]: r["e"] for r in out}
+    prior = {r["rn"]: r["e_before"] for r in out}
+    was = {r["rn"]: r["was"] for r in out}
     import math
 
+    assert set(out[0].asDict()) == {"k", "seq", "x", "rn", "was", "e", "e_before"}
+    assert prior[1] is None and all(abs(prior[k] - got[k - 1]) < 1e-9 for k in range(2, n + 1))
+    assert was[1] is None and all(abs(was[k] - (100 + math.sin(k - 2) * 7)) < 1e-9 for k in range(2, n + 1))
+
     e = None
     for i in range(n):
         x = 100 + math.sin(i) * 7
@@ -112,7 +119,7 @@ def test_random_ticks(spark, rows):
     assert {k: (i, s) for k, (i, s) in got.items()} == {k: (i, s) for k, (s, i) in want.items()}
 
 
-@pytest.mark.parametrize("value", ["not valid json {", "{not valid json}", '{"unclosed": "string', '{key: "unquoted key"}', "", "null", "[]", None, '[{"a":1}]', '{"symbol":"A","price":1,"volume":1,"exchange":null,"timestamp":5}', '{"symbol":"A","price":1,"volume":1,"exchange":"kraken"}', '{"symbol":"A","price":"x","volume":1,"exchange":"kraken","timestamp":5}'])
+@pytest.mark.parametrize("value", ["symbol=SYM;price=1", "{{]", '{"symbol" "SYM"}', '{"price": 1.5, "vol', "  ", "42", '["SYM", 1.5]', "true", None, '[{"price":1}]', '{"symbol":"A","price":1,"volume":1,"exchange":null,"timestamp":5}', '{"symbol":"A","price":1,"volume":1,"exchange":"kraken"}', '{"symbol":"A","price":"x","volume":1,"exchange":"kraken","timestamp":5}'])
 def test_bad_payloads(spark, value):
     row = parse_ticks(spark.createDataFrame([(value,)], "value string")).first()
     assert row["parse_error"] and row["symbol"] is None

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -59,27 +60,52 @@ def hash16(*parts: Column) -> Column:
     return F.substring(F.sha2(F.concat_ws(":", *parts), 256), 1, 16)
 
 
-def ema(df: DataFrame, value: str, out: str, key: str, rank: str, alpha: float = 0.1, block: int = 512) -> DataFrame:
-    """Exponential average over each key's rows by ``rank`` (1, 2, ...), seeded with the first value.
+def ranked(df: DataFrame, key: str, seq: str, out: str = "rn", span: int = 1 << 16) -> DataFrame:
+    """Adds each row's rank (1, 2, ...) among its key's rows by the integer ``seq``.
 
-    The recursion is linear, so it needs no fold: inside a block of ``block`` ranks it is one running sum of
+    Rows are ranked within spans of ``seq`` and then moved on by the counts of earlier spans, so a key spreads over tasks.
+    """
+    d = df.withColumn("_span", F.floor(F.col(seq) / span))
+    before = Window.partitionBy("_k").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
+    counts = d.groupBy(F.col(key).alias("_k"), F.col("_span").alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.select("_k", "_s", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    met = d.join(counts, F.col(key).eqNullSafe(F.col("_k")) & F.col("_span").eqNullSafe(F.col("_s")))
+    inside = Window.partitionBy(key, "_span").orderBy(seq)
+    return met.withColumn(out, F.row_number().over(inside) + F.col("_before")).drop("_span", "_k", "_s", "_before")
+
+
+def running(df: DataFrame, key: str, rank: str, lags: Mapping[str, str], averages: Mapping[str, str], alpha: float = 0.1, block: int = 512) -> DataFrame:
+    """Adds, over each key's rows by ``rank`` (1, 2, ...), previous values (``lags``: column -> name) and exponential averages
+    seeded with the first value (``averages``: column -> name; ``<name>_before`` is the average before the row).
+
+    The recursion is linear, so it needs no fold: inside a block of ``block`` ranks an average is one running sum of
     weighted values, and what earlier blocks add is the weighted total of the block before; older ones weigh
-    less than double precision shows, for blocks are at least that long. The frame partitions by (key, block), so one key spreads over tasks.
-    A NaN stays in every later value.
+    less than double precision shows, for blocks are at least that long. All windows are by (key, block), so one key
+    spreads over tasks; one table of blocks and one join serve everything. A NaN stays in every later average.
     """
     keep = 1.0 - alpha
     block = max(block, math.ceil(-40 / math.log(keep)))
-    pos = F.pmod(F.col(rank) - 1, F.lit(block))
     weight = F.when(F.col(rank) == 1, F.lit(1.0)).otherwise(F.lit(alpha))
-    d = df.withColumn("_b", F.floor((F.col(rank) - 1) / block)).withColumn("_p", pos).withColumn("_w", weight * F.nanvl(value, F.lit(0.0)) * F.pow(F.lit(keep), -F.col("_p")))
-    inside = Window.partitionBy(key, "_b").orderBy(rank).rowsBetween(Window.unboundedPreceding, 0)
-    d = d.withColumn("_s", F.sum("_w").over(inside)).withColumn("_n", F.max(F.isnan(value).cast("int")).over(inside))
-    totals = d.groupBy(key, "_b").agg((F.sum("_w") * F.pow(F.lit(keep), F.max("_p"))).alias("_t"), F.max("_n").alias("_bad"))
-    chain = Window.partitionBy(key).orderBy("_b")
-    before = totals.select(key, "_b", F.lag("_t").over(chain).alias("_t"), F.max("_bad").over(chain.rowsBetween(Window.unboundedPreceding, -1)).alias("_bad"))
-    d = d.join(before, [key, "_b"], "left")
-    value_at = F.col("_s") * F.pow(F.lit(keep), "_p") + F.coalesce("_t", F.lit(0.0)) * F.pow(F.lit(keep), F.col("_p") + 1)
-    return d.withColumn(out, F.when(F.greatest(F.coalesce("_bad", F.lit(0)), F.col("_n")) == 1, F.lit(float("nan"))).otherwise(value_at)).drop("_b", "_p", "_w", "_s", "_n", "_t", "_bad")
+    d = df.withColumn("_b", F.floor((F.col(rank) - 1) / block)).withColumn("_p", F.pmod(F.col(rank) - 1, F.lit(block)))
+    inside = Window.partitionBy(key, "_b").orderBy(rank)
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    sides = list(enumerate(averages.items()))
+    d = d.withColumns({f"_w{i}": weight * F.nanvl(v, F.lit(0.0)) * F.pow(F.lit(keep), -F.col("_p")) for i, (v, _) in sides})
+    ends = [F.max_by(v, rank).alias(f"_l{i}") for i, v in enumerate(lags)]
+    ends += [(F.sum(f"_w{i}") * F.pow(F.lit(keep), F.max("_p"))).alias(f"_t{i}") for i, _ in sides]
+    ends += [F.max(F.isnan(v).cast("int")).alias(f"_z{i}") for i, (v, _) in sides]
+    chain = Window.partitionBy("_k").orderBy("_o").rowsBetween(Window.unboundedPreceding, 0)
+    blocks = d.groupBy(F.col(key).alias("_k"), (F.col("_b") + 1).alias("_o")).agg(*ends)
+    blocks = blocks.withColumns({f"_z{i}": F.max(f"_z{i}").over(chain) for i, _ in sides})
+    local = {f"_v{i}": F.lag(v).over(inside) for i, v in enumerate(lags)}
+    local |= {f"_s{i}": F.sum(f"_w{i}").over(upto) for i, _ in sides} | {f"_n{i}": F.max(F.isnan(v).cast("int")).over(upto) for i, (v, _) in sides}
+    d = d.withColumns(local).join(blocks, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_b") == F.col("_o")), "left")
+    first = F.col("_p") == 0
+    d = d.withColumns({name: F.when(first, F.col(f"_l{i}")).otherwise(F.col(f"_v{i}")) for i, name in enumerate(lags.values())})
+    at = lambda i: F.col(f"_s{i}") * F.pow(F.lit(keep), "_p") + F.coalesce(f"_t{i}", F.lit(0.0)) * F.pow(F.lit(keep), F.col("_p") + 1)
+    d = d.withColumns({name: F.when(F.greatest(F.coalesce(f"_z{i}", F.lit(0)), F.col(f"_n{i}")) == 1, F.lit(float("nan"))).otherwise(at(i)) for i, (_, name) in sides})
+    d = d.withColumns({f"{name}_before": F.when(first, F.col(f"_t{i}")).otherwise(F.lag(name).over(inside)) for i, (_, name) in sides})
+    return d.drop(*[c for c in d.columns if re.fullmatch(r"_[bpko]|_[wltzvsn]\d+", c)])
 
 
 def sustained(df: DataFrame, keys: list[str], ts: str, firing: str, seconds: int) -> DataFrame:

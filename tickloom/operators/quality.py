@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tickloom.config import PARSE_ERROR, QualityConfig
-from tickloom.functions.columns import clamp, decimals, ema, real
+from tickloom.functions.columns import clamp, decimals, ranked, real, running
 
 DEFAULT = QualityConfig()
 
@@ -17,13 +16,10 @@ def with_state(ticks: DataFrame, cfg: QualityConfig = DEFAULT) -> DataFrame:
 
     State follows arrival order. Ticks that failed to parse must not be in ``ticks``.
     """
-    w = Window.partitionBy("symbol").orderBy("seq")
-    d = ticks.withColumns({"rn": F.row_number().over(w), "last_ts": F.lag("ts_ms").over(w), "last_price": F.lag("price").over(w)})
-    d = ema(d, "price", "price_ema", "symbol", "rn", cfg.ema_alpha)
-    d = ema(d, "volume", "volume_ema", "symbol", "rn", cfg.ema_alpha)
-    if cfg.compare_to_prior_ema:
-        d = d.withColumn("volume_ref", F.lag("volume_ema").over(w))
-    return d
+    d = ranked(ticks, "symbol", "seq")
+    d = running(d, "symbol", "rn", {"ts_ms": "last_ts", "price": "last_price"}, {"price": "price_ema", "volume": "volume_ema"}, cfg.ema_alpha)
+    d = d.withColumnRenamed("volume_ema_before", "volume_ref").drop("price_ema_before")
+    return d if cfg.compare_to_prior_ema else d.drop("volume_ref")
 
 
 def schema_issues(cfg: QualityConfig = DEFAULT) -> list[Column]:
@@ -95,11 +91,19 @@ def score_parsed(parsed: DataFrame, cfg: QualityConfig = DEFAULT) -> DataFrame:
     return good.select("seq", *cols).unionByName(bad)
 
 
-def envelope(scored: DataFrame, processed_at_ms: str = "now_ms") -> DataFrame:
-    """One JSON message per scored tick, fields promoted beside the original data."""
-    original = F.struct("symbol", "price", "volume", "exchange", F.col("ts_ms").alias("timestamp"))
-    body = F.struct("symbol", F.col("ts_ms").alias("timestamp"), "price", "volume", "exchange", "quality_score", "issues", "issue_count", F.col(processed_at_ms).alias("processed_at_ms"), original.alias("original_data"))
-    return scored.select(F.col("symbol").alias("key"), F.to_json(body).alias("value"))
+def envelope(scored: DataFrame, processed_at_ms: str = "now_ms", payload: str | None = None) -> DataFrame:
+    """One JSON message per scored tick, fields promoted beside the original data.
+
+    ``payload`` names the column with the message as it came (JSON text); it passes with all of its fields, and a failed
+    one as an empty object. Without it the original data is rebuilt from the tick.
+    """
+    if payload is None:
+        original = F.to_json(F.struct("symbol", "price", "volume", "exchange", F.col("ts_ms").alias("timestamp")))
+    else:
+        original = F.when(F.array_contains("issues", PARSE_ERROR), F.lit("{}")).otherwise(F.trim(F.col(payload)))
+    head = F.to_json(F.struct("symbol", F.col("ts_ms").alias("timestamp"), "price", "volume", "exchange", "quality_score", "issues", "issue_count", F.col(processed_at_ms).alias("processed_at_ms")))
+    body = F.concat(F.substring(head, 1, F.length(head) - 1), F.lit(',"original_data":'), F.coalesce(original, F.lit("{}")), F.lit("}"))
+    return scored.select(F.col("symbol").alias("key"), body.alias("value"))
 
 
 def valid_row() -> Column:
