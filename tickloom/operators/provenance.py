@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tickloom.functions.columns import clamp, hash16
@@ -71,28 +73,34 @@ def plausibility(records: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
 
 
 def consistency(records: DataFrame, rules: Rules = DEFAULT) -> DataFrame:
-    """Adds consistency against the last accepted time of the source.
+    """Adds consistency against the last accepted time of the source; a missing time gives null and moves nothing.
 
-    Only accepted times move the state, so no bounded frame says what it is: each source's times are folded in
-    arrival order in one grouped pass over three narrow columns, and joined back.
+    Only accepted times move the state, so no bounded frame says what it is. Rows are sorted by source and arrival within
+    partitions and folded batch by batch; a task holds one batch and one time, however long a source's history is.
     """
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("event_id")
-        last, out = None, []
-        for t in pdf["source_us"].tolist():
-            delta = 0.0 if last is None else (t - last) / 1e6
-            if delta < -rules.jitter_s:
-                out.append(0.0)
-            elif delta > rules.max_gap_s:
-                out.append(1.0 - min(1.0, delta / (rules.max_gap_s * 5)))
-            else:
-                last = t
-                out.append(1.0)
-        return pd.DataFrame({"source_id": pdf["source_id"], "event_id": pdf["event_id"], "consistency": out})
-
-    scored = records.select("source_id", "event_id", "source_us").groupBy("source_id").applyInPandas(fold, "source_id string, event_id bigint, consistency double")
-    return records.join(scored, ["source_id", "event_id"])
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        source, last = None, None
+        for batch in batches:
+            out = []
+            for name, t in zip(batch.column("source_id").to_pylist(), batch.column("source_us").to_pylist(), strict=True):
+                if name != source:
+                    source, last = name, None
+                if t is None:
+                    out.append(None)
+                    continue
+                delta = 0.0 if last is None else (t - last) / 1e6
+                if delta < -rules.jitter_s:
+                    out.append(0.0)
+                elif delta > rules.max_gap_s:
+                    out.append(1.0 - min(1.0, delta / (rules.max_gap_s * 5)))
+                else:
+                    last = t
+                    out.append(1.0)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())], [*batch.schema.names, "consistency"])
+
+    dealt = records.repartition("source_id").sortWithinPartitions("source_id", "event_id")
+    return dealt.mapInArrow(fold, T.StructType([*records.schema.fields, T.StructField("consistency", T.DoubleType())]))
 
 
 def cross_source(records: DataFrame, width_us: int = 3_600_000) -> DataFrame:
@@ -136,6 +144,25 @@ def stats(verdicts: DataFrame) -> DataFrame:
 
 
 def to_json(records: DataFrame) -> DataFrame:
-    """Serialized record: identity, chain, scores and flags in one JSON column."""
-    cols = [c for c in ("source_id", "source_type", "source_us", "data_type", "symbol", "value", "transform_chain", "quality_score", "staleness_ms", "data_hash", "is_validated", "validation_errors") if c in records.columns]
-    return records.select("event_id", F.to_json(F.struct(*cols)).alias("record"))
+    """Serialized record: its thirteen fields (identity, times in ISO form, chain, scores, hash and flags) in one JSON column.
+
+    Columns that ``records`` lacks have the defaults of a fresh record.
+    """
+    iso = lambda c: F.date_format(F.timestamp_micros(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    have = lambda c, default: F.col(c) if c in records.columns else default
+    body = F.struct(
+        "source_id",
+        have("source_type", F.lit("exchange")).alias("source_type"),
+        iso("source_us").alias("source_timestamp"),
+        iso("receive_us" if "receive_us" in records.columns else "source_us").alias("receive_timestamp"),
+        have("data_type", F.lit("price")).alias("data_type"),
+        have("symbol", F.lit("")).alias("symbol"),
+        have("value", F.lit(None).cast("double")).alias("value"),
+        have("transform_chain", F.array().cast(STEP)).alias("transform_chain"),
+        have("quality_score", F.lit(1.0)).alias("quality_score"),
+        have("staleness_ms", F.lit(0.0)).alias("staleness_ms"),
+        have("data_hash", data_hash(have("value", F.lit("")).cast("string"))).alias("data_hash"),
+        have("is_validated", F.lit(False)).alias("is_validated"),
+        have("validation_errors", F.array().cast("array<string>")).alias("validation_errors"),
+    )
+    return records.select("event_id", F.to_json(body, {"ignoreNullFields": "false"}).alias("record"))

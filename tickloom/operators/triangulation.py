@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickloom.functions.columns import nearest_rank
+from tickloom.functions.columns import nearest_rank, ranked
 
-SAMPLES, RECENT, CALIBRATION = 1000, 100, 100
+SAMPLES, RECENT, CALIBRATION, SHORT = 1000, 100, 100, 50
+#: Ranks of a source that one task works on, besides the ``SAMPLES`` before them.
+BLOCK = 4096
 
 
 def latencies(ticks: DataFrame) -> DataFrame:
@@ -22,38 +25,43 @@ def _anomaly(kind: str, when: Column, severity: Column, value: Column) -> Column
     return F.when(when, F.struct(F.lit(kind).alias("anomaly"), severity.alias("severity"), value.alias("value")))
 
 
-def _order() -> Window:
-    return Window.partitionBy("source_id").orderBy("event_id")
+def with_state(ticks: DataFrame, samples: int = SAMPLES, block_ranks: int = BLOCK) -> DataFrame:
+    """Columns that the detectors read, by source in arrival order.
 
-
-def with_state(ticks: DataFrame) -> DataFrame:
-    """Columns that the detectors read: all frames are by source in arrival order.
-
-    Rolling medians of up to 1000 values have no incremental form in SQL windows, so they come from one
-    grouped pandas pass over narrow columns; everything else is a window function.
+    Nothing looks back more than ``samples`` ranks (100 at least), so a source's ticks are dealt out in blocks of ``block_ranks``
+    ranks, each with the ranks before it that it looks at, and rolling medians, counts and previous values come from one pandas pass per block. The baseline is the
+    median of a source's first ticks.
     """
-    w = _order()
-    d = latencies(ticks).withColumns({
-        "n": F.row_number().over(w),
-        "last_exchange_us": F.lag("exchange_us").over(w),
-        "recent": F.collect_list("receive_us").over(w.rowsBetween(-RECENT, -1)),
-    })
-    d = d.withColumn("bunched", F.size(F.filter("recent", lambda t: t > F.col("receive_us") - 1000))).withColumn("n_recent", F.size("recent")).drop("recent")
-    rolled = d.select("source_id", "event_id", "network_ms").groupBy("source_id").applyInPandas(_rolled, "source_id string, event_id bigint, median_ms double, short_ms double, base_ms double")
-    return d.join(rolled, ["source_id", "event_id"])
-
-
-def _rolled(pdf: pd.DataFrame) -> pd.DataFrame:
-    pdf = pdf.sort_values("event_id")
-    x = pdf["network_ms"]
-    base = float(x.iloc[:CALIBRATION].median()) if len(x) >= CALIBRATION else None
-    return pd.DataFrame({
-        "source_id": pdf["source_id"],
-        "event_id": pdf["event_id"],
-        "median_ms": x.rolling(SAMPLES, min_periods=1).median(),
-        "short_ms": x.rolling(50, min_periods=1).median(),
-        "base_ms": pd.Series(base, index=x.index, dtype="float64"),
-    })
+    d = ranked(latencies(ticks), "source_id", "event_id", "n")
+    halo = max(samples, RECENT)
+    block_ranks = max(block_ranks, halo)
+    block = F.floor((F.col("n") - 1) / block_ranks)
+    near_end = F.pmod(F.col("n") - 1, F.lit(block_ranks)) >= block_ranks - halo
+    dealt = d.select("source_id", "n", "exchange_us", "receive_us", "network_ms", F.explode(F.when(near_end, F.array(block, block + 1)).otherwise(F.array(block))).alias("block"))
+    rolled = dealt.groupBy("source_id", "block").applyInPandas(_rolled(samples, block_ranks), "source_id string, n bigint, last_exchange_us bigint, bunched int, n_recent int, median_ms double, short_ms double")
+    early = d.filter(F.col("n") <= CALIBRATION).groupBy("source_id").agg(F.percentile("network_ms", 0.5).alias("base_ms"), F.count(F.lit(1)).alias("_c"))
+    early = early.select("source_id", F.when(F.col("_c") == CALIBRATION, F.col("base_ms")).alias("base_ms"))
+    return d.join(rolled, ["source_id", "n"]).join(early, "source_id", "left")
+
+
+def _rolled(samples: int, block_ranks: int):
+    def roll(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("n", ignore_index=True)
+        x, received = pdf["network_ms"], pdf["receive_us"].to_numpy()
+        padded = np.concatenate((np.full(RECENT, np.iinfo(np.int64).min), received))
+        before = np.lib.stride_tricks.sliding_window_view(padded, RECENT)[: len(pdf)]
+        out = pd.DataFrame({
+            "source_id": pdf["source_id"],
+            "n": pdf["n"],
+            "last_exchange_us": pdf["exchange_us"].astype("Int64").shift(1),
+            "bunched": (before > received[:, None] - 1000).sum(1),
+            "n_recent": np.minimum(pdf["n"] - 1, RECENT),
+            "median_ms": x.rolling(samples, min_periods=1).median(),
+            "short_ms": x.rolling(SHORT, min_periods=1).median(),
+        })
+        return out[(pdf["n"] - 1) // block_ranks == key[1]]
+
+    return roll
 
 
 def regression() -> Column:
@@ -82,6 +90,13 @@ def detect(state: DataFrame, *detectors: Column) -> DataFrame:
     return state.select("event_id", "source_id", "symbol", F.explode(found).alias("a")).select("event_id", "source_id", "symbol", "a.*")
 
 
+def to_json(ticks: DataFrame) -> DataFrame:
+    """Serialized triangulated timestamps: the three instants in ISO form, the source, the symbol and the latencies."""
+    iso = lambda c: F.date_format(F.timestamp_micros(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    body = F.struct(iso("exchange_us").alias("t_exchange"), iso("receive_us").alias("t_receive"), iso("process_us").alias("t_process"), "source_id", "symbol", F.col("network_ms").alias("network_latency_ms"), F.col("processing_ms").alias("processing_latency_ms"), F.col("total_ms").alias("total_latency_ms"))
+    return latencies(ticks).select("event_id", F.to_json(body).alias("record"))
+
+
 def metrics(ticks: DataFrame) -> DataFrame:
     """Sample count, medians and nearest-rank p99 over each source's last 1000 ticks."""
     newest = Window.partitionBy("source_id").orderBy(F.desc("event_id"))
