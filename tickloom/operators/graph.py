@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tickloom.functions.columns import range_join
+from tickloom.sources.tables import stored
 
 DAY, HOUR = 86_400_000, 3_600_000
 ROUTES = ("cascade", "whale_transfer", "price_movement", "quality")
@@ -67,17 +68,24 @@ def whale_edges(whales: DataFrame, asset: DataFrame, exchange: DataFrame) -> dic
 
 
 def move_edges(moves: DataFrame, pair: DataFrame, exchange: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(ON_PAIR, ON_EXCHANGE); the second needs the first."""
+    """(ON_PAIR, ON_EXCHANGE) of rows (id, symbol, exchange); the second needs the first."""
     on = moves.join(pair.select("symbol"), "symbol", "left_semi")
     at = on.join(exchange.select(F.col("name").alias("exchange")), "exchange", "left_semi")
     return on.select("id", "symbol").distinct(), at.select("id", "exchange").distinct()
 
 
 def low_quality_edges(scored: DataFrame, pair: DataFrame, below: float = 0.7) -> DataFrame:
-    """Pairs whose symbol contains the symbol of a low-quality event. Distinct symbols meet the pairs, not events."""
-    low = scored.filter(F.col("quality_score") < below)
+    """Pairs whose symbol contains the symbol of a low-quality event.
+
+    Distinct symbols meet the pairs through an index of the pairs' substrings of the lengths that symbols have, so the
+    join is an equality and no side is compared with all of the other. An empty symbol stands in every pair.
+    """
+    low = scored.filter((F.col("quality_score") < below) & F.col("symbol").isNotNull())
     names = low.select("symbol").distinct()
-    hit = names.join(pair.select(F.col("symbol").alias("pair")), F.contains(F.col("pair"), F.col("symbol")))
+    lengths = names.select(F.length("symbol").alias("n")).distinct().agg(F.array_sort(F.collect_list("n")).alias("lengths"))
+    found = F.flatten(F.transform("lengths", lambda n: F.transform(F.sequence(F.lit(0), F.greatest(F.length("pair") - n, F.lit(0))), lambda i: F.substring(F.col("pair"), i + 1, n))))
+    index = pair.select(F.col("symbol").alias("pair")).crossJoin(lengths).select("pair", F.explode(F.array_distinct(found)).alias("symbol"))
+    hit = names.join(index, "symbol").filter(F.contains("pair", "symbol"))
     return low.select("event_id", "symbol").join(hit, "symbol").select("event_id", "pair").distinct()
 
 
@@ -126,11 +134,12 @@ def exchange_listings(g: dict[str, DataFrame]) -> DataFrame:
     return g["lists"].groupBy("exchange").agg(F.count(F.lit(1)).alias("n_pairs"), F.array_sort(F.collect_list("pair")).alias("pairs"))
 
 
-def whale_then_drop(g: dict[str, DataFrame], pair: str, horizon_ms: int = HOUR, min_amount: float = 100.0, drop: float = -0.02) -> DataFrame:
-    """Transfers followed within the horizon by a fall of the pair's price; a bucketed range join."""
+def whale_then_drop(g: dict[str, DataFrame], pair: str, horizon_ms: int = HOUR, min_amount: float = 100.0, drop: float = -0.02, limit: int | None = None) -> DataFrame:
+    """Transfers followed within the horizon by a fall of the pair's price; a bucketed range join. ``limit``: the largest so many, largest first."""
     w = g["whale"].filter((F.col("amount") > min_amount) & F.col("to_exchange").isNotNull()).select("tx_id", "amount", F.col("ts_ms").alias("transfer_ms"))
     p = g["price_move"].filter((F.col("symbol") == pair) & (F.col("price_change_pct") < drop)).select(F.col("ts_ms").alias("price_ms"), "exchange", "price_change_pct")
-    return range_join(w, p, "transfer_ms", "price_ms", horizon_ms, [])
+    out = range_join(w, p, "transfer_ms", "price_ms", horizon_ms, [])
+    return out if limit is None else out.orderBy(F.desc("amount"), "tx_id", "price_ms", "exchange", "price_change_pct").limit(limit)
 
 
 def preceding_cascades(g: dict[str, DataFrame], horizon_ms: int = HOUR, min_severity: float = 0.5) -> DataFrame:
@@ -143,13 +152,13 @@ def preceding_cascades(g: dict[str, DataFrame], horizon_ms: int = HOUR, min_seve
 def causal_chain(spark: SparkSession, edges: DataFrame, target: str, max_hops: int = 5) -> DataFrame:
     """All simple-edge paths of 1 to ``max_hops`` edges that end at ``target``: (start, hops, path). ``edges``: (src, dst).
 
-    Walks backwards, one join a hop; each hop's frontier is filtered to the target's ancestors from the start.
+    Walks backwards, one join a hop; each frontier is stored, so a hop reads the one before and repeats no earlier join.
     """
     front = edges.filter(F.col("dst") == target).select(F.col("src").alias("start"), F.lit(1).alias("hops"), F.array("src", "dst").alias("path"))
     out = front
+    back = edges.select(F.col("src").alias("_s"), F.col("dst").alias("start"))
     for _ in range(max_hops - 1):
-        e = edges.select(F.col("src").alias("_s"), F.col("dst").alias("start"))
-        front = e.join(front, "start").filter(~F.array_contains("path", F.col("_s"))).select(F.col("_s").alias("start"), (F.col("hops") + 1).alias("hops"), F.concat(F.array("_s"), "path").alias("path"))
+        front = stored(back.join(front, "start").filter(~F.array_contains("path", F.col("_s"))).select(F.col("_s").alias("start"), (F.col("hops") + 1).alias("hops"), F.concat(F.array("_s"), "path").alias("path")), "front")
         out = out.unionByName(front)
     return out
 
