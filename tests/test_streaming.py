@@ -45,7 +45,28 @@ def test_stream_equals_batch(spark, messages, tmp_path):
     want = {tuple(r) for r in q.score_parsed(parse_ticks(raw)).select(*cols).collect()}
     assert got == want
     samples = streams.progress_samples(__import__("json").loads(query.lastProgress.json))
-    assert {m for m, *_ in samples} == {"messages_processed_rate", "stream_last_checkpoint_ms", "stream_running_jobs"}
+    assert {m for m, *_ in samples} == {"messages_processed_rate", "stream_last_checkpoint_ms", "stream_running_jobs", "consumergroup_lag"}
+    assert {v for m, _, _, v in streams.query_samples(query) if m == "stream_running_jobs"} == {0.0}
+
+
+def test_a_failed_query_reports_no_running_job(spark, messages, tmp_path):
+    """It is started again from its checkpoint, and then its samples say that nothing runs."""
+    from pyspark.errors import StreamingQueryException
+
+    _, path = messages
+    started = []
+
+    def fail(batch, batch_id):
+        raise ValueError("no sink")
+
+    def start():
+        stream = streams.read_files(spark, f"{path}/part=*", MESSAGES, per_trigger=1)
+        started.append(stream.writeStream.option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).foreachBatch(fail).start())
+        return started[-1]
+
+    with pytest.raises(StreamingQueryException):
+        scorer.run_with_restarts(start, attempts=1, wait_s=0.1)
+    assert len(started) == 2 and ("stream_running_jobs", 0.0) in [(m, v) for m, _, _, v in streams.query_samples(started[-1])]
 
 
 def test_sinks_repeat_safely(spark, messages, tmp_path):
@@ -68,18 +89,106 @@ def test_sinks_repeat_safely(spark, messages, tmp_path):
     assert got == want
 
 
+def test_history_and_expiry(spark, messages, tmp_path):
+    """Three batches, one of them twice, leave the newest members; rows that expired are not in the latest view."""
+    raw, _ = messages
+    scored = q.score_parsed(parse_ticks(raw)).join(parse_ticks(raw).select("seq", "price", "volume", "exchange"), "seq").filter("symbol <> 'ERROR'").cache()
+    write = scorer.history_writer(str(tmp_path / "history"), keep=5)
+    cuts = [0, 100, 200, 10_000]
+    for batch in (0, 1, 1, 2):
+        write(scored.filter(F.col("seq").between(cuts[batch], cuts[batch + 1] - 1)), batch)
+    from tickloom.operators import features
+
+    got = {tuple(r) for r in spark.read.parquet(f"{tmp_path}/history/version=2").select("symbol", "ts_ms", "member").collect()}
+    want = {tuple(r) for r in features.history(features.member_json(scored), 5).select("symbol", "ts_ms", "member").collect()}
+    assert got == want and not (tmp_path / "history" / "version=0").exists()
+    newest = scored.agg(F.max("ts_ms")).first()[0]
+    latest = scorer.latest_writer(str(tmp_path / "latest"), now_ms=lambda: newest + features.TTL_MS - 1)
+    latest(scored, 0)
+    alive = spark.read.parquet(f"{tmp_path}/latest/version=0")
+    assert {r["ts_ms"] for r in alive.collect()} == {newest}
+
+
+def test_refreshes_keep_the_rest(spark, tmp_path):
+    """Bars refreshed at 6 to 12 hours equal those from raw data, also after a refresh that finds a bucket empty."""
+    from tickloom.operators import ohlcv
+    from tickloom.streaming.scorer import refresh_bars
+
+    H = ohlcv.HOUR
+    d = spark.range(0, 13 * 60, 7).select((F.col("id") * 60_000).alias("ts_ms"), F.col("id").alias("seq"), F.lit("A").alias("symbol"), F.lit("x").alias("exchange"), (100 + F.col("id") % 17).cast("double").alias("price"), F.lit(2.0).alias("volume"))
+    path = str(tmp_path / "bars")
+    for at in (6 * H, 15 * H // 2, 9 * H, 21 * H // 2, 12 * H, 12 * H):
+        refresh_bars(d, "ohlcv_5min", at, path)
+    cols = ["bucket_ms", "open", "close", "trade_count"]
+    rows = lambda x: sorted(map(tuple, x.select(*cols).collect()))
+    want = ohlcv.ohlcv(d).filter((F.col("bucket_ms") >= 4 * H) & (F.col("bucket_ms") < 12 * H - 300_000))
+    assert rows(spark.read.parquet(path)) == rows(want)
+    refresh_bars(d.filter("ts_ms < 0"), "ohlcv_5min", 12 * H, path)
+    assert rows(spark.read.parquet(path)) == rows(want.filter(F.col("bucket_ms") < 10 * H))
+
+
+def test_retry_and_dispatch(spark):
+    seen = []
+    batch = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), (None, 4)], "kind string, n int")
+    take = lambda name: lambda df, i: seen.append((name, i, sorted(r["n"] for r in df.collect())))
+    scorer.dispatch("kind", {"a": take("a"), "b": take("b")}, take("rest"))(batch, 7)
+    assert seen == [("a", 7, [1]), ("b", 7, [2]), ("rest", 7, [3, 4])]
+    tries = []
+
+    def flaky(df, i):
+        tries.append(i)
+        if len(tries) < 3:
+            raise OSError("store away")
+
+    scorer.with_retry(flaky, attempts=3, wait_s=0.01)(batch, 1)
+    assert len(tries) == 3
+    with pytest.raises(OSError):
+        scorer.with_retry(lambda df, i: (_ for _ in ()).throw(OSError()), attempts=2, wait_s=0.01)(batch, 1)
+
+
+def test_graph_sink(spark, tmp_path):
+    """A stream of causal events in three batches becomes node and edge tables; a repeated batch changes nothing."""
+    from tickloom.operators import graph
+    from tickloom.streaming import graph as sink
+
+    names = [c.split(" ")[0] for c in sink.EVENTS.split(", ")]
+    make = lambda *rows: spark.createDataFrame([tuple(r.get(n) for n in names) for r in rows], sink.EVENTS)
+    feed = [
+        make({"seq": 1, "event_type": "cascade", "id": 1, "ts_ms": 5, "severity": 0.5, "origin_exchange": "kraken", "affected_pairs": ["BTC/USDT", "NONE"]}, {"seq": 2, "type": "whale_transfer", "id": 9, "asset": "BTC", "from_exchange": "binance", "to_exchange": "nowhere"}),
+        make({"seq": 3, "event_type": "cascade", "id": 1, "ts_ms": 6, "severity": 0.9, "origin_exchange": "kraken", "affected_pairs": ["ETH/USDT"]}, {"seq": 4, "event_type": "price_movement", "id": 20, "symbol": "SOL/USDT", "exchange": "bybit"}, {"seq": 5, "id": 30, "symbol": "BTC", "quality_score": 0.2}),
+        make({"seq": 6, "id": 31, "symbol": "ETH", "quality_score": 0.9}, {"seq": 7, "event_type": "price_movement", "id": 21, "symbol": "none", "exchange": "bybit"}),
+    ]
+    for k, part in enumerate(feed):
+        part.coalesce(1).write.parquet(f"{tmp_path}/events/n={k}")
+    stream = streams.read_files(spark, f"{tmp_path}/events/n=*", sink.EVENTS, per_trigger=1)
+    write = sink.graph_writer(str(tmp_path / "graph"), graph.seed(spark))
+    run(stream, tmp_path, write)
+    write(feed[2], 2)
+    read = lambda t: spark.read.parquet(f"{tmp_path}/graph/{t}")
+    assert [(r["id"], r["severity"]) for r in read("cascade/version=2").collect()] == [(1, 0.9)]
+    assert sorted(r["id"] for r in read("price_movement").collect()) == [20, 21] and sorted(r["id"] for r in read("quality").collect()) == [30, 31]
+    assert sorted(map(tuple, read("edges/version=2").collect())) == [("AFFECTED", 1, "BTC/USDT"), ("AFFECTED", 1, "ETH/USDT"), ("FROM_EXCHANGE", 9, "binance"), ("LOW_QUALITY_ON", 30, "BTC/USDT"), ("ON_EXCHANGE", 20, "bybit"), ("ON_PAIR", 20, "SOL/USDT"), ("ORIGINATED", 1, "kraken"), ("TRANSFERRED", 9, "BTC")]
+
+
 def test_bars_stream_plan(spark, messages, tmp_path):
     _, path = messages
     stream = streams.read_files(spark, f"{path}/part=*", MESSAGES, per_trigger=1)
     scored = parse_ticks(stream).filter("NOT parse_error").withColumn("quality_score", F.lit(1.0))
     run(scorer.bars_stream(scored), tmp_path, name="bars_stream")
-    assert spark.table("bars_stream").count() > 0
+    from tickloom.operators import ohlcv
+
+    rows = lambda d, at: {(r[at], r["symbol"], r["exchange"], r["open"], r["close"], r["trade_count"]) for r in d.collect()}
+    got = rows(spark.table("bars_stream").withColumn("bucket_ms", F.unix_millis("window.start")), "bucket_ms")
+    raw, _ = messages
+    want = rows(ohlcv.ohlcv(parse_ticks(raw).filter("NOT parse_error").withColumn("quality_score", F.lit(1.0)).filter(q.valid_row())), "bucket_ms")
+    assert got and got <= want
 
 
 def test_kafka_options():
     o = streams.kafka_options("h:9092", "u", "p")
     assert o["kafka.sasl.mechanism"] == "SCRAM-SHA-256" and "u" in o["kafka.sasl.jaas.config"]
     assert "kafka.sasl.mechanism" not in streams.kafka_options("h:9092")
+    assert streams.flush_options((100, "50ms")) == {"minOffsetsPerTrigger": "100", "maxTriggerDelay": "50ms"} and streams.flush_options(None) == {}
 
 
 def test_switch_escalates_and_halts(spark, tmp_path):

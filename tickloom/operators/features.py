@@ -52,3 +52,11 @@ def upsert_latest(stored: DataFrame, batch: DataFrame) -> DataFrame:
     """Stored latest rows after a batch: the higher arrival number wins, so replays change nothing."""
     both = stored.unionByName(batch)
     return both.groupBy("symbol").agg(F.max_by(F.struct(*[c for c in both.columns if c != "symbol"]), "seq").alias("r")).select("symbol", "r.*")
+
+
+def upsert_history(stored: DataFrame, batch: DataFrame, keep: int = HISTORY) -> DataFrame:
+    """Stored history rows (symbol, seq, ts_ms, member) after a batch: equal members once with their last score, the newest ``keep`` stay."""
+    both = stored.unionByName(batch)
+    once = both.groupBy("symbol", "member").agg(F.max_by("ts_ms", "seq").alias("ts_ms"), F.max("seq").alias("seq"))
+    w = Window.partitionBy("symbol").orderBy(F.desc("ts_ms"), F.desc("member"))
+    return once.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= keep).select("symbol", "seq", "ts_ms", "member")

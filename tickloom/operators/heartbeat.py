@@ -11,6 +11,28 @@ TIMEOUT_MS, CANCEL, PANIC = 150, 3, 5
 LEVELS = {"NORMAL": 0, "WARNING": 1, "ALERT": 2, "CANCEL_ALL": 3, "PANIC_CLOSE": 5, "HALTED": 99}
 
 
+def positions_hash(positions: Column) -> Column:
+    """16 hex digits over a map of positions, whatever the order of its entries."""
+    return F.substring(F.sha2(F.to_json(F.array_sort(F.map_entries(positions))), 256), 1, 16)
+
+
+def status(beats: DataFrame, as_of_ms: int, timeout_ms: int = TIMEOUT_MS, registered: DataFrame | None = None) -> DataFrame:
+    """State of every strategy at ``as_of``: last_ms, missed, level, is_halted, halt_reason, healthy.
+
+    ``registered`` (strategy_id) adds strategies without a heartbeat, which are in their normal state.
+    """
+    past = beats.filter(F.col("ts_ms") <= as_of_ms)
+    ladder = escalations(past, timeout_ms, as_of_ms)
+    last = ladder.groupBy("strategy_id").agg(F.max(F.when(F.col("accepted"), F.col("ts_ms"))).alias("last_ms"), F.max("missed").alias("worst"), F.max_by("missed", F.struct("ts_ms", "event_id")).alias("now"))
+    halted = F.col("worst") >= PANIC
+    out = last.select("strategy_id", "last_ms", F.when(halted, F.lit(PANIC)).otherwise(F.col("now")).cast("long").alias("missed"), F.when(halted, "HALTED").otherwise(level(F.col("now"))).alias("level"), halted.alias("is_halted"))
+    if registered is not None:
+        out = registered.select("strategy_id").distinct().join(out, "strategy_id", "full")
+    out = out.select("strategy_id", "last_ms", F.coalesce("missed", F.lit(0).cast("long")).alias("missed"), F.coalesce("level", F.lit("NORMAL")).alias("level"), F.coalesce("is_halted", F.lit(False)).alias("is_halted"))
+    reason = F.when(F.col("is_halted"), F.concat(F.lit(f"{PANIC} missed heartbeats")))
+    return out.withColumn("halt_reason", reason).withColumn("healthy", ~F.col("is_halted") & (F.col("level") == "NORMAL"))
+
+
 def level(missed: Column, cancel: int = CANCEL, panic: int = PANIC) -> Column:
     """Escalation after ``missed`` consecutive failed checks; panic closes and halts at once."""
     return F.when(missed >= panic, "HALTED").when(missed >= cancel, "CANCEL_ALL").when(missed >= 2, "ALERT").when(missed >= 1, "WARNING").otherwise("NORMAL")

@@ -63,23 +63,33 @@ def latest_bars(bars: DataFrame, as_of_ms: int, within_ms: int = HOUR) -> DataFr
     return bars.filter(F.col("bucket_ms") > as_of_ms - within_ms).orderBy(F.desc("bucket_ms"), "symbol", "exchange")
 
 
-def refresh_window(data: DataFrame, name: str, as_of_ms: int) -> DataFrame:
-    """The buckets that a refresh at ``as_of`` computes anew: wholly inside [as_of - look-back, as_of - lag)."""
+def refresh_bounds(name: str, as_of_ms: int) -> tuple[int, int]:
+    """[start, end) of the buckets wholly inside [as_of - look-back, as_of - lag)."""
     width, back, lag, _ = AGGREGATES[name]
-    lo = -(-(as_of_ms - back) // width) * width
-    hi = (as_of_ms - lag) // width * width
+    return -(-(as_of_ms - back) // width) * width, (as_of_ms - lag) // width * width
+
+
+def refresh_window(data: DataFrame, name: str, as_of_ms: int) -> DataFrame:
+    """The buckets that a refresh at ``as_of`` computes anew."""
+    lo, hi = refresh_bounds(name, as_of_ms)
     part = data.filter((F.col("ts_ms") >= lo) & (F.col("ts_ms") < hi))
-    return ohlcv(part, width, spread=name == "ohlcv_5min")
+    return ohlcv(part, AGGREGATES[name][0], spread=name == "ohlcv_5min")
 
 
 def retained(data: DataFrame, as_of_ms: int, keep_ms: int = RETENTION_MS) -> DataFrame:
     return data.filter(F.col("ts_ms") >= as_of_ms - keep_ms)
 
 
-def write_compressed(data: DataFrame, path: str) -> None:
-    """Cold layout: one folder per day, segments by symbol and exchange, newest first, zstd."""
-    d = data.withColumn("date", F.to_date(F.timestamp_millis("ts_ms")))
-    d.repartition("date", "symbol").sortWithinPartitions("date", "symbol", "exchange", F.desc("ts_ms")).write.mode("overwrite").option("compression", "zstd").partitionBy("date").parquet(path)
+def cold(data: DataFrame, as_of_ms: int, after_ms: int = COMPRESS_AFTER_MS) -> DataFrame:
+    """Rows of whole UTC days that ended at least ``after_ms`` ago."""
+    return data.filter(bucket("ts_ms", DAY) + DAY <= as_of_ms - after_ms)
+
+
+def write_compressed(data: DataFrame, path: str, as_of_ms: int | None = None, after_ms: int = COMPRESS_AFTER_MS) -> None:
+    """Cold layout: one folder per day, segments by symbol and exchange, newest first, zstd. ``as_of_ms``: only days old enough by then."""
+    d = data if as_of_ms is None else cold(data, as_of_ms, after_ms)
+    d = d.withColumn("date", F.to_date(F.timestamp_millis("ts_ms")))
+    d.repartition("date", "symbol").sortWithinPartitions("date", "symbol", "exchange", F.desc("ts_ms")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("date").parquet(path)
 
 
 def quality_summary(scored: DataFrame, start_ms: int | None = None, end_ms: int | None = None, low: float = 0.7) -> DataFrame:

@@ -18,15 +18,21 @@ def kafka_options(servers: str, user: str | None = None, password: str | None =
     return out
 
 
-def read_kafka(spark: SparkSession, servers: str, topic: str = "raw_market_data", start: str = "earliest", **login: str) -> DataFrame:
+def read_kafka(spark: SparkSession, servers: str, topic: str = "raw_market_data", start: str = "earliest", flush: tuple[int, str] | None = None, **login: str) -> DataFrame:
     """Messages (value, seq) of a topic; needs the Kafka connector on the class path.
 
-    ``seq`` orders the messages of a partition; a symbol must always go to one partition.
+    ``seq`` orders the messages of a partition; a symbol must always go to one partition. ``flush`` (rows, age) holds a
+    batch back until so many messages wait or the oldest has waited so long.
     """
-    raw = spark.readStream.format("kafka").options(**kafka_options(servers, **login)).option("subscribe", topic).option("startingOffsets", start).load()
+    raw = spark.readStream.format("kafka").options(**kafka_options(servers, **login), **flush_options(flush)).option("subscribe", topic).option("startingOffsets", start).load()
     return raw.selectExpr("cast(value AS string) AS value", "offset AS seq", "unix_millis(timestamp) AS now_ms")
 
 
+def flush_options(flush: tuple[int, str] | None) -> dict[str, str]:
+    """Source options of a flush by size or age."""
+    return {} if flush is None else {"minOffsetsPerTrigger": str(flush[0]), "maxTriggerDelay": flush[1]}
+
+
 def write_kafka(envelopes: DataFrame, servers: str, checkpoint: str, topic: str = "quality_scores", every: str = "60 seconds", **login: str) -> DataStreamWriter:
     return envelopes.writeStream.format("kafka").options(**kafka_options(servers, **login)).option("topic", topic).option("checkpointLocation", checkpoint).option("kafka.compression.type", "lz4").trigger(processingTime=every)
 
@@ -42,15 +48,32 @@ def catalog(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "name string, kind string, temporary boolean")
 
 
-def progress_samples(progress: dict) -> list[tuple[str, dict, int, float]]:
+def progress_samples(progress: dict, running: bool = True) -> list[tuple[str, dict, int, float]]:
     """Samples (metric, labels, ts_ms, value) from one progress report of a streaming query, for the alert rules."""
     import datetime as dt
 
     at = int(dt.datetime.fromisoformat(progress["timestamp"].replace("Z", "+00:00")).timestamp() * 1000)
     labels = {"query": progress.get("name") or progress["id"]}
     spent = progress.get("durationMs", {})
+    sources = progress.get("sources", [])
+    behind = [float((s.get("metrics") or {}).get("maxOffsetsBehindLatest") or 0.0) for s in sources]
     return [
         ("messages_processed_rate", labels, at, float(progress.get("processedRowsPerSecond") or 0.0)),
         ("stream_last_checkpoint_ms", labels, at, float(spent.get("walCommit", 0) + spent.get("commitOffsets", 0))),
-        ("stream_running_jobs", labels, at, 1.0),
+        ("stream_running_jobs", labels, at, 1.0 if running else 0.0),
+        ("consumergroup_lag", labels, at, max(behind, default=0.0)),
     ]
+
+
+def query_samples(query, at_ms: int | None = None) -> list[tuple[str, dict, int, float]]:
+    """Samples of a query as it is now: one that has failed or ended reports no running job, whatever its last progress said."""
+    import json
+    import time
+
+    at = at_ms or int(time.time() * 1000)
+    running = query.isActive and query.exception() is None
+    last = query.lastProgress
+    if last is None:
+        return [("stream_running_jobs", {"query": query.name or query.id}, at, 1.0 if running else 0.0)]
+    report = json.loads(last.json) if hasattr(last, "json") else last
+    return [(m, k, at, v) for m, k, _, v in progress_samples(report, running)]

@@ -28,11 +28,12 @@ class Switch(StatefulProcessor):
 
     A beat resets the count unless the strategy is halted; an acknowledgement ends a halt. Every beat sets a timer
     one timeout ahead, and a timer that fires counts a miss, escalates, and sets the next until the halt.
-    Unknown strategies register themselves with their first beat.
+    Unknown strategies register themselves with their first beat; a row of kind ``register`` does so without one, and
+    is watched from its first beat on. With ``needs_ack`` off, a beat ends a halt like any other escalation.
     """
 
-    def __init__(self, timeout_ms: int = TIMEOUT_MS):
-        self.timeout_ms = timeout_ms
+    def __init__(self, timeout_ms: int = TIMEOUT_MS, needs_ack: bool = True):
+        self.timeout_ms, self.needs_ack = timeout_ms, needs_ack
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -54,16 +55,19 @@ class Switch(StatefulProcessor):
                 if halted:
                     out.append(self._emit(key, int(r.ts_ms), "acknowledged", 0))
                 halted, missed = False, 0
-            elif halted:
+            elif r.kind == "register":
+                if last is None:
+                    out.append(self._emit(key, int(r.ts_ms), "registered", 0))
+            elif halted and self.needs_ack:
                 out.append(self._emit(key, int(r.ts_ms), "ignored", missed))
             else:
                 if held is not None and r.positions_hash != held:
                     out.append(self._emit(key, int(r.ts_ms), "hash_changed", missed))
                 if missed:
                     out.append(self._emit(key, int(r.ts_ms), "recovered", 0))
-                last, missed, held = int(r.ts_ms), 0, r.positions_hash
+                last, missed, halted, held = int(r.ts_ms), 0, False, r.positions_hash
         self.state.update((last, missed, halted, held))
-        if not halted:
+        if not halted and last is not None:
             self._rearm(timerValues.getCurrentProcessingTimeInMs())
         yield from out
 
@@ -83,6 +87,6 @@ class Switch(StatefulProcessor):
         pass
 
 
-def watch(beats: DataFrame, timeout_ms: int = TIMEOUT_MS) -> DataFrame:
+def watch(beats: DataFrame, timeout_ms: int = TIMEOUT_MS, needs_ack: bool = True) -> DataFrame:
     """Escalation events of a stream of beats and acknowledgements."""
-    return beats.groupBy("strategy_id").transformWithStateInPandas(Switch(timeout_ms), outputStructType=OUT, outputMode="Append", timeMode="ProcessingTime")
+    return beats.groupBy("strategy_id").transformWithStateInPandas(Switch(timeout_ms, needs_ack), outputStructType=OUT, outputMode="Append", timeMode="ProcessingTime")

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import time
+from collections.abc import Callable, Iterator, Mapping
+from datetime import UTC, datetime
 
 import pandas as pd
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tickloom.config import PARSE_ERROR, QualityConfig
 from tickloom.operators import features, ohlcv
 from tickloom.operators import quality as q
+from tickloom.sources import tables
 
 TTL_MS = 86_400_000
 STATE = T.StructType([T.StructField("last_ts", T.LongType()), T.StructField("last_price", T.DoubleType()), T.StructField("price_ema", T.DoubleType()), T.StructField("volume_ema", T.DoubleType())])
@@ -104,23 +108,93 @@ def store_writer(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
-def latest_writer(path: str) -> Callable[[DataFrame, int], None]:
-    """foreachBatch sink of the latest-per-symbol view: a new version per batch, merged from the one before.
+def _merged(path: str, batch_id: int, fresh: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], empty: str | None = None) -> None:
+    """Write version ``batch_id`` of a merged view from the version before it, and drop the versions before that one.
 
     Versions are named by batch id, so a repeated batch rewrites its own version from the same predecessor.
     """
+    spark = fresh.sparkSession
+    before = f"{path}/version={batch_id - 1}"
+    if tables.exists(spark, before):
+        fresh = merge(spark.read.parquet(before), fresh)
+    fresh.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+    tables.delete(spark, f"{path}/version={batch_id - 2}")
+
+
+def latest_writer(path: str, now_ms: Callable[[], int] | None = None) -> Callable[[DataFrame, int], None]:
+    """foreachBatch sink of the latest-per-symbol view. ``now_ms``: a clock; rows that expired by then are left out."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         fresh = features.latest(features.member_json(batch.filter("symbol <> 'ERROR'")))
-        if batch_id > 0:
-            fresh = features.upsert_latest(spark.read.parquet(f"{path}/version={batch_id - 1}"), fresh)
-        fresh.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        alive = (lambda d: features.live(d, now_ms())) if now_ms else (lambda d: d)
+        _merged(path, batch_id, alive(fresh), lambda old, new: alive(features.upsert_latest(old, new)))
+
+    return write
+
+
+def history_writer(path: str, keep: int = features.HISTORY) -> Callable[[DataFrame, int], None]:
+    """foreachBatch sink of the per-symbol history: equal members once, the newest ``keep`` stay."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        rows = features.member_json(batch.filter("symbol <> 'ERROR'"))
+        fresh = features.upsert_history(rows.filter("false"), rows, keep)
+        _merged(path, batch_id, fresh, lambda old, new: features.upsert_history(old, new, keep))
+
+    return write
+
+
+def with_retry(write: Callable[[DataFrame, int], None], attempts: int = 5, wait_s: float = 1.0) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch sink that is tried again, each time after twice the wait; the last failure ends the query, which restarts from its checkpoint."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        for k in range(attempts):
+            try:
+                return write(batch, batch_id)
+            except Exception:
+                if k + 1 == attempts:
+                    raise
+                time.sleep(wait_s * 2**k)
+
+    return run
+
+
+def dispatch(column: str, handlers: Mapping[str, Callable[[DataFrame, int], None]], other: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
+    """foreachBatch outlet of a stream of anomalies, escalations or events: each handler gets the rows of its kind, ``other`` the rest."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist()
+        for kind, handle in handlers.items():
+            handle(kept.filter(F.col(column) == kind), batch_id)
+        if other is not None:
+            other(kept.filter(~F.coalesce(F.col(column).isin(*handlers), F.lit(False))), batch_id)
+        kept.unpersist()
 
     return write
 
 
+def run_with_restarts(start: Callable[[], StreamingQuery], attempts: int = 5, wait_s: float = 30.0) -> StreamingQuery:
+    """Start a query and wait for its end; a failed one is started again from its checkpoint, up to ``attempts`` times with a fixed delay."""
+    for k in range(attempts + 1):
+        query = start()
+        try:
+            query.awaitTermination()
+            return query
+        except StreamingQueryException:
+            if k == attempts:
+                raise
+            time.sleep(wait_s)
+    return query
+
+
 def refresh_bars(data: DataFrame, name: str, as_of_ms: int, path: str) -> None:
-    """Recompute the aggregate's refresh window and overwrite only its buckets' days."""
-    part = ohlcv.refresh_window(data, name, as_of_ms).withColumn("date", F.to_date(F.timestamp_millis("bucket_ms")))
-    part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path)
+    """Recompute the aggregate's refresh window in the table at ``path``; every bucket outside the window stays as it is."""
+    spark = data.sparkSession
+    lo, hi = ohlcv.refresh_bounds(name, as_of_ms)
+    day = F.to_date(F.timestamp_millis("bucket_ms"))
+    fresh = ohlcv.refresh_window(data, name, as_of_ms).withColumn("date", day)
+    days = [str(datetime.fromtimestamp(d * 86_400, UTC).date()) for d in range(lo // ohlcv.DAY, (hi - 1) // ohlcv.DAY + 1)]
+    keep = None
+    if tables.exists(spark, path):
+        old = spark.read.schema(fresh.schema).parquet(path)
+        keep = old.filter(F.col("date").isin(*[datetime.strptime(d, "%Y-%m-%d").date() for d in days]) & ~((F.col("bucket_ms") >= lo) & (F.col("bucket_ms") < hi)))
+    tables.replace_days(fresh, keep, days, path)
