@@ -144,3 +144,95 @@ def test_compressed_layout(spark, tmp_path):
     ohlcv.write_compressed(d, str(tmp_path / "cold"))
     back = spark.read.parquet(str(tmp_path / "cold"))
     assert back.count() == 6 and back.select("date").distinct().count() == 2
+
+
+def test_msgpack():
+    import random
+    import struct
+
+    import pytest
+
+    from tickloom.functions import msgpack
+
+    values = [None, True, False, 0, 127, 128, -1, -32, -33, 255, 256, 65_536, 2**32, 2**63, -(2**31) - 1, 1.5, "", "x" * 31, "é" * 40, "y" * 70_000, [], list(range(20)), {}, {"a": [1, {"b": None}], "c": "d"}, {str(i): i for i in range(20)}]
+    assert all(msgpack.unpack(msgpack.pack(v)) == v for v in values)
+    # Encodings that the format prescribes.
+    assert [msgpack.pack(x).hex() for x in (5, -1, 300, "ab", [1], {"a": 1})] == ["05", "ff", "cd012c", "a26162", "9101", "81a16101"]
+    assert msgpack.unpack(b"\xca" + struct.pack(">f", 0.5)) == 0.5 and msgpack.unpack(msgpack.pack(b"raw")) == "raw"
+    rng = random.Random(3)
+    for body in (b"", b"\xc1", b"\x92\x01", b"\x01\x01", b"\xd9\xff", *(bytes(rng.randrange(256) for _ in range(6)) for _ in range(50))):
+        try:
+            msgpack.unpack(body)
+        except (ValueError, TypeError):
+            continue
+    with pytest.raises(ValueError):
+        msgpack.unpack(b"\xc1")
+
+
+def test_msgpack_messages(spark):
+    from tickloom.functions import msgpack
+    from tickloom.sources.parse import decode_msgpack, parse_ticks
+
+    good = {"symbol": "A", "price": 1.5, "volume": 2, "exchange": "KRAKEN", "timestamp": 5, "more": [1]}
+    df = spark.createDataFrame([(1, bytearray(msgpack.pack(good))), (2, bytearray(b"\xc1")), (3, None)], "seq long, value binary")
+    got = {r["seq"]: (r["symbol"], r["price"], r["parse_error"]) for r in parse_ticks(decode_msgpack(df)).collect()}
+    assert got == {1: ("A", 1.5, False), 2: (None, None, True), 3: (None, None, True)}
+
+
+def test_ranks_and_halos(spark):
+    """Small blocks give the detectors the same state as one block for all."""
+    from tickloom.operators import triangulation as tri
+    from tickloom.sources import fixtures as fx
+
+    from .conftest import DATA
+
+    ticks = fx.triangulated(spark, DATA).filter("event_id < 700").cache()
+    cols = ["event_id", "n", "last_exchange_us", "bunched", "n_recent", "median_ms", "short_ms", "base_ms"]
+    state = lambda n, block: {r[0]: r for r in rows(tri.with_state(ticks, n, block).select(*cols))}
+    whole = state(60, 4096)
+    assert len(whole) == 700 and state(60, 100) == whole and max(r[1] for r in whole.values()) > 120
+
+
+def test_substring_index(spark):
+    pairs = spark.createDataFrame([("BTC/USDT",), ("ETH/BTC",), ("A",), ("",)], "symbol string")
+    low = spark.createDataFrame([(1, "BTC", 0.1), (2, "", 0.2), (3, "A", 0.9), (4, "TH/B", 0.0), (5, None, 0.0), (6, "BTC/USDT/X", 0.0)], "event_id long, symbol string, quality_score double")
+    assert rows(graph.low_quality_edges(low, pairs)) == [(1, "BTC/USDT"), (1, "ETH/BTC"), (2, ""), (2, "A"), (2, "BTC/USDT"), (2, "ETH/BTC"), (4, "ETH/BTC")]
+
+
+def test_days_of_the_cold_layout(spark, tmp_path):
+    d = spark.createDataFrame([("A", "x", 86_400_000 * i, 1.0) for i in range(4)], "symbol string, exchange string, ts_ms long, price double")
+    ohlcv.write_compressed(d, str(tmp_path / "cold"), as_of_ms=3 * 86_400_000, after_ms=86_400_000)
+    assert sorted(r["ts_ms"] for r in spark.read.parquet(str(tmp_path / "cold")).collect()) == [0, 86_400_000]
+    from tickloom.sources import tables
+
+    parts = {r["part"]: r["files"] for r in tables.sizes(spark, str(tmp_path / "cold")).collect()}
+    assert set(parts) == {"date=1970-01-01", "date=1970-01-02"} and all(parts.values())
+
+
+def test_record_has_thirteen_fields(spark):
+    import json
+
+    d = spark.createDataFrame([(1, "s", 5)], "event_id long, source_id string, source_us long")
+    body = json.loads(provenance.to_json(d).first()["record"])
+    assert len(body) == 13 and body["quality_score"] == 1.0 and body["validation_errors"] == [] and body["source_timestamp"] == "1970-01-01T00:00:00.000005"
+
+
+def test_cross_source_is_required(spark):
+    from dataclasses import replace
+
+    d = spark.createDataFrame([(1, "s", 0, "A", "price", 5.0, 0), (2, "t", 9_000_000_000, "B", "price", 5.0, 0), (3, "u", 9_000_000_000, "B", "price", 5.0, 0)], "event_id long, source_id string, source_us long, symbol string, data_type string, value double, staleness_ms long")
+    got = dict(rows(provenance.validate(d, None, replace(provenance.DEFAULT, cross_required=True)).select("event_id", "reject_reason")))
+    assert got == {1: "cross_source_missing", 2: None, 3: None}
+
+
+def test_status_of_strategies(spark):
+    beats = [(i, "s", t, "h") for i, t in enumerate([0, 100])] + [(7, "late", 0, "h")]
+    df = spark.createDataFrame(beats, "event_id long, strategy_id string, ts_ms long, positions_hash string")
+    got = {r["strategy_id"]: (r["last_ms"], r["missed"], r["level"], r["healthy"]) for r in heartbeat.status(df, 301, 150, spark.createDataFrame([("new",)], "strategy_id string")).collect()}
+    assert got["new"] == (None, 0, "NORMAL", True) and got["s"][0] == 100 and got["late"][0] == 0 and not got["late"][3]
+
+
+def test_positions_hash_ignores_order(spark):
+    df = spark.sql("SELECT map('a', 1, 'b', 2) AS p UNION ALL SELECT map('b', 2, 'a', 1) UNION ALL SELECT map('a', 2, 'b', 1)")
+    got = [r[0] for r in df.select(heartbeat.positions_hash(F.col("p"))).collect()]
+    assert got[0] == got[1] != got[2] and len(got[0]) == 16

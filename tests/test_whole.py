@@ -5,20 +5,21 @@ from __future__ import annotations
 import json
 from datetime import UTC, datetime, timedelta
 
+from tickloom.plans.graph import CHAIN_NODES
 from tickloom.plans.registry import QUERIES
 from tickloom.sources.fixtures import AS_OF_EVENTS_MS
 
 
 def test_chain_reads_late_orders(spark, tmp_path):
-    keys = [(1007, 3), (1003, 12), (5012, 25), (9025, 7), (40007, 25), (123, 7)]
+    keys = [(9980, 3), (9976, 12), (5012, 25), (19971, 5012), (40007, 25), (7, 7), (25 + CHAIN_NODES, 60), (60 + 3 * CHAIN_NODES, 61), (61, 62), (7 + 5 * CHAIN_NODES, 25)]
     spark.createDataFrame(keys, "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
-    edges = {(f"N{c % 40}", f"N{k % 40}") for k, c in keys if c % 40 != k % 40}
+    edges = {(f"N{c}", f"N{k % CHAIN_NODES}") for k, c in keys if c != k % CHAIN_NODES}
     paths = front = [(a, b) for a, b in edges if b == "N7"]
-    for _ in range(2):
+    for _ in range(4):
         front = [(a, *p) for p in front for a, b in edges if b == p[0] and a not in p]
         paths = paths + front
     got = QUERIES["causal_chain"](spark, str(tmp_path)).collect()
-    assert sorted(tuple(r["path"].split(">")) for r in got) == sorted(paths) and len(paths) > 2
+    assert sorted(tuple(r["path"].split(">")) for r in got) == sorted(paths) and len(paths) > 5 and max(map(len, paths)) == 5
 
 
 def test_no_data_reads_the_whole_span(spark, tmp_path):

@@ -123,7 +123,7 @@ ORACLES = {
     "feature_multi_latest": _MEMBERS + " SELECT w.symbol, member FROM (SELECT unnest(['SYM_CLICK', 'SYM_NONE', 'SYM_ERROR']) AS symbol) w LEFT JOIN l USING (symbol)",
     "feature_ttl_live": _MEMBERS + f" SELECT symbol, ts_ms + {features.TTL_MS} AS expires_ms FROM l WHERE ts_ms + {features.TTL_MS} > {AS_OF - 12 * H}",
     "bad_data_rate_alert": WITH + f", b AS (SELECT ts_ms // {H} * {H} AS ts_ms, count(*) FILTER (quality_score < 0.7) / count(*) > 0.3 AS firing FROM scored GROUP BY 1), i AS (SELECT *, sum((NOT firing)::INT) OVER (ORDER BY ts_ms) AS g FROM b) SELECT 'bad' AS rule, min(ts_ms) AS started, max(ts_ms) AS ended, count(*) AS samples FROM i WHERE firing GROUP BY g HAVING max(ts_ms) - min(ts_ms) >= {2 * H}",
-    "no_data_flow_alert": "WITH " + fx.TICKS + f", spine AS (SELECT symbol, unnest(range({AS_OF - 30 * D}, {AS_OF - 28 * D}, {10 * M})) AS ts_ms FROM (SELECT DISTINCT symbol FROM ticks)), c AS (SELECT symbol, ts_ms // {10 * M} * {10 * M} AS ts_ms, count(*) AS n FROM ticks GROUP BY ALL), i AS (SELECT symbol, ts_ms, n IS NULL AS firing, sum((n IS NOT NULL)::INT) OVER (PARTITION BY symbol ORDER BY ts_ms) AS g FROM spine LEFT JOIN c USING (symbol, ts_ms)) SELECT symbol, min(ts_ms) AS started, max(ts_ms) AS ended, count(*) AS samples FROM i WHERE firing GROUP BY symbol, g HAVING max(ts_ms) - min(ts_ms) >= 1800000",
+    "no_data_flow_alert": "WITH " + fx.TICKS + f", spine AS (SELECT symbol, unnest(range({AS_OF - 30 * D}, {AS_OF}, {10 * M})) AS ts_ms FROM (SELECT DISTINCT symbol FROM ticks)), c AS (SELECT symbol, ts_ms // {10 * M} * {10 * M} AS ts_ms, count(*) AS n FROM ticks GROUP BY ALL), i AS (SELECT symbol, ts_ms, n IS NULL AS firing, sum((n IS NOT NULL)::INT) OVER (PARTITION BY symbol ORDER BY ts_ms) AS g FROM spine LEFT JOIN c USING (symbol, ts_ms)) SELECT symbol, min(ts_ms) AS started, max(ts_ms) AS ended, count(*) AS samples FROM i WHERE firing GROUP BY symbol, g HAVING max(ts_ms) - min(ts_ms) >= 1800000",
     "high_latency_alert": "WITH " + fx.TICKS + f", a AS (SELECT ts_ms // {D} * {D} AS day_ms, abs(now_ms - ts_ms) / 1000.0::DOUBLE AS s FROM ticks), edges AS (SELECT unnest([1.0, 5.0, 10.0, 20.0, 30.0, 'inf'::DOUBLE]) AS le), b AS (SELECT day_ms, le, count(*) AS n FROM a JOIN edges ON s <= le GROUP BY ALL), w AS (SELECT *, coalesce(lag(le) OVER x, 0) AS lo, coalesce(lag(n) OVER x, 0) AS below, max(n) OVER (PARTITION BY day_ms) AS total FROM b WINDOW x AS (PARTITION BY day_ms ORDER BY le)), z AS (SELECT day_ms, arg_min(CASE WHEN isinf(le) THEN lo ELSE lo + (le - lo) * (total * 0.9::DOUBLE - below) / (n - below) END, le) AS quantile FROM w WHERE n >= total * 0.9::DOUBLE GROUP BY 1) SELECT day_ms, round(quantile, 4) AS quantile, quantile > 25 AS firing FROM z",
     "resource_ratio_alert": f"WITH b AS (SELECT 'n' || (user_id % 5) AS instance, epoch_us(ts) // 1000 // {H} * {H} AS ts_ms, round(sum(value), 4) / 250.0 > 0.85 AS firing FROM events GROUP BY ALL), i AS (SELECT *, sum((NOT firing)::INT) OVER (PARTITION BY instance ORDER BY ts_ms) AS g FROM b) SELECT 'StoreMemoryHigh' AS alert, 'warning' AS severity, '{{\"instance\":\"' || instance || '\"}}' AS labels, min(ts_ms) AS started, max(ts_ms) AS ended, count(*) AS samples FROM i WHERE firing GROUP BY instance, g HAVING max(ts_ms) - min(ts_ms) >= 3600000",
     "counter_rate": f"WITH c AS (SELECT event_id, event_type, epoch_us(ts) // 1000 AS ts_ms, (event_id % 1000)::DOUBLE AS v FROM events), i AS (SELECT *, CASE WHEN v < lag(v) OVER w THEN v ELSE coalesce(v - lag(v) OVER w, 0) END AS inc FROM c WINDOW w AS (PARTITION BY event_type ORDER BY ts_ms)), r AS (SELECT event_id, sum(inc) OVER f - first_value(inc) OVER f AS increase, ts_ms - min(ts_ms) OVER f AS span FROM i WINDOW f AS (PARTITION BY event_type ORDER BY ts_ms RANGE BETWEEN {6 * H} PRECEDING AND CURRENT ROW)) SELECT event_id, round(increase, 4) AS increase, round(CASE WHEN span > 0 THEN increase * 1000 / span END, 6) AS rate FROM r",

@@ -43,13 +43,18 @@ def _nodes(s, d) -> DataFrame:
     return g.upsert_nodes(e.filter("seq % 3 = 0"), e.filter("seq % 3 <> 0"), "user_id", "seq").select("user_id", "event_type", "value", "seq")
 
 
+#: Orders fold to so many nodes: few enough that chains form, and so many that paths of five hops stay countable.
+CHAIN_NODES = 9973
+
+
 def _chain_edges(s, d) -> DataFrame:
-    e = fx.table(s, d, "orders").select(F.concat(F.lit("N"), (F.col("o_custkey") % 40).cast("string")).alias("src"), F.concat(F.lit("N"), (F.col("o_orderkey") % 40).cast("string")).alias("dst"))
+    """Every order is an edge from its customer to a node of its own key."""
+    e = fx.table(s, d, "orders").select(F.concat(F.lit("N"), F.col("o_custkey").cast("string")).alias("src"), F.concat(F.lit("N"), (F.col("o_orderkey") % CHAIN_NODES).cast("string")).alias("dst"))
     return e.filter("src <> dst").distinct()
 
 
 def _chain(s, d) -> DataFrame:
-    return g.causal_chain(s, _chain_edges(s, d), "N7", 3).withColumn("path", F.array_join("path", ">"))
+    return g.causal_chain(s, _chain_edges(s, d), "N7", 5).withColumn("path", F.array_join("path", ">"))
 
 
 def _drop(s, d) -> DataFrame:
@@ -116,7 +121,7 @@ ORACLES = {
     "low_quality_pairs": WITH + ", p AS (SELECT DISTINCT symbol || '/USDT' AS pair FROM ticks UNION SELECT unnest(['SYM_CLICK/EUR', 'OTHER/USD'])) SELECT pair, count(*) AS n_events FROM scored JOIN p ON contains(pair, symbol) WHERE quality_score < 0.7 GROUP BY 1",
     "whale_then_drop": G + f" SELECT tx_id, w.ts_ms AS transfer_ms, p.ts_ms AS price_ms, exchange, round(price_change_pct, 4) AS price_change_pct FROM g_whale w JOIN g_price_move p ON p.symbol = 'P7' AND price_change_pct < -0.02 AND p.ts_ms > w.ts_ms AND p.ts_ms < w.ts_ms + {2 * DAY} WHERE amount > 100 AND to_exchange IS NOT NULL",
     "preceding_cascades": G + f", x AS (SELECT pair, cascade_id, ts_ms, severity FROM g_affected JOIN g_cascade ON id = cascade_id) SELECT c.pair, c.cascade_id, c.ts_ms, c.severity, count(*) AS preceding FROM x c JOIN x p ON p.pair = c.pair AND p.ts_ms < c.ts_ms AND p.ts_ms > c.ts_ms - {7 * DAY} WHERE c.severity >= 0.5 GROUP BY ALL",
-    "causal_chain": "WITH RECURSIVE e AS (SELECT DISTINCT 'N' || (o_custkey % 40) AS src, 'N' || (o_orderkey % 40) AS dst FROM orders WHERE o_orderkey < 400 AND o_custkey % 40 <> o_orderkey % 40), c AS (SELECT src AS start, 1 AS hops, [src, dst] AS path FROM e WHERE dst = 'N7' UNION ALL SELECT e.src, hops + 1, [e.src] || path FROM c JOIN e ON e.dst = c.start WHERE hops < 3 AND NOT list_contains(path, e.src)) SELECT start, hops, array_to_string(path, '>') AS path FROM c",
+    "causal_chain": f"WITH RECURSIVE e AS (SELECT DISTINCT 'N' || o_custkey AS src, 'N' || (o_orderkey % {CHAIN_NODES}) AS dst FROM orders WHERE o_custkey <> o_orderkey % {CHAIN_NODES}), c AS (SELECT src AS start, 1 AS hops, [src, dst] AS path FROM e WHERE dst = 'N7' UNION ALL SELECT e.src, hops + 1, [e.src] || path FROM c JOIN e ON e.dst = c.start WHERE hops < 5 AND NOT list_contains(path, e.src)) SELECT start, hops, array_to_string(path, '>') AS path FROM c",
     "event_routing": "SELECT CASE event_type WHEN 'click' THEN 'cascade' WHEN 'view' THEN 'whale_transfer' WHEN 'error' THEN 'quality' ELSE CASE WHEN event_id % 2 = 0 THEN 'price_movement' ELSE 'quality' END END AS route, count(*) AS n, min(event_id) AS first_id FROM events GROUP BY 1",
     "edge_upsert": "SELECT src, count(*) AS n_edges FROM (SELECT DISTINCT l_suppkey AS src, l_partkey AS dst FROM lineitem) GROUP BY 1",
     "node_upsert": "SELECT user_id, arg_max(event_type, event_id) AS event_type, arg_max(value, event_id) AS value, max(event_id) AS seq FROM events GROUP BY 1",

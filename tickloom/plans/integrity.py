@@ -31,10 +31,10 @@ def _prov(s, d) -> DataFrame:
 
 
 def _sources(s, d) -> DataFrame:
-    """Reliability of one source in three: how often its events are no errors."""
+    """Reliability of every source: how often its events are no errors."""
     e = fx.table(s, d, "events")
     name = F.concat("event_type", F.lit("_"), (F.col("user_id") % 3).cast("string"))
-    return e.filter("user_id % 3 = 0").groupBy(name.alias("source_id")).agg(F.avg((F.col("event_id") % 10 != 0).cast("double")).alias("uptime_ratio"), F.avg((F.col("event_id") % 7 == 0).cast("double")).alias("error_rate"))
+    return e.groupBy(name.alias("source_id")).agg(F.avg((F.col("event_id") % 10 != 0).cast("double")).alias("uptime_ratio"), F.avg((F.col("event_id") % 7 == 0).cast("double")).alias("error_rate"))
 
 
 def _verdicts(s, d) -> DataFrame:
@@ -109,7 +109,7 @@ plaus AS (SELECT event_id, CASE WHEN z <= 3 THEN 1.0 WHEN z <= 6 THEN 0.5 ELSE 0
 _CROSS = """, cg AS (SELECT event_id, source_id, value, symbol, data_type, source_us // 3600000 AS b FROM {src}),
 cm AS (SELECT x.event_id, any_value(x.value) AS v, avg(y.value) AS m, count(y.value) AS n FROM cg x LEFT JOIN cg y ON x.symbol = y.symbol AND x.data_type = y.data_type AND x.b = y.b AND x.source_id <> y.source_id GROUP BY 1),
 cr AS (SELECT event_id, n, CASE WHEN n = 0 THEN 1.0 WHEN m = 0 THEN 1.0 ELSE greatest(0.0, 1 - abs(v - m) / abs(m) * 10) END AS agree FROM cm)"""
-_REL = """, src AS (SELECT event_type || '_' || (user_id % 3) AS source_id, least(1, greatest(0, avg((event_id % 10 <> 0)::INT) * 0.6 + (1 - avg((event_id % 7 = 0)::INT)) * 0.4)) AS r FROM events WHERE user_id % 3 = 0 GROUP BY 1)"""
+_REL = """, src AS (SELECT event_type || '_' || (user_id % 3) AS source_id, least(1, greatest(0, avg((event_id % 10 <> 0)::INT) * 0.6 + (1 - avg((event_id % 7 = 0)::INT)) * 0.4)) AS r FROM events GROUP BY 1)"""
 _PROV = "WITH RECURSIVE " + fx.PROVENANCE
 _VERDICT = _PROV + ", fresh AS (SELECT * FROM prov WHERE staleness_ms <= 1800)" + _FOLD.format(src="fresh") + _PLAUS.format(src="fresh") + _CROSS.format(src="fresh") + _REL + """,
 q AS (SELECT fresh.event_id, least(1, greatest(0, coalesce(r, 0.8) * 0.3 + f.score * 0.2 + plausibility * 0.3 + agree * 0.2)) AS quality

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+EPOCH_US = 1_704_067_200_000_000  # 2024-01-01 UTC
 AS_OF_EVENTS_MS = 1_706_659_200_000  # 2024-01-31 UTC
 AS_OF_GRAPH_MS = 996_624_000_000  # 2001-08-01 UTC
 
@@ -59,8 +61,8 @@ FROM events)"""
 def raw_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks as JSON payloads, with one in 101 malformed."""
     t = ticks(spark, sf_dir)
-    bad = F.array(*[F.lit(x) for x in ("not valid json {", "{not valid json}", '{"unclosed": "string', '{key: "unquoted key"}', "", "null", "[]")])
-    body = F.to_json(F.struct("symbol", "price", "volume", "exchange", F.col("ts_ms").alias("timestamp")))
+    bad = F.array(*[F.lit(x) for x in ("symbol=SYM;price=1", "{{]", '{"symbol" "SYM", "price" 1}', '{"price": 1.5, "vol', "   ", "42", '["SYM", 1.5]')])
+    body = F.to_json(F.struct("symbol", "price", "volume", "exchange", F.col("ts_ms").alias("timestamp"), F.concat(F.lit("n"), F.col("event_id").cast("string")).alias("venue_note")))
     broken = F.element_at(bad, (F.floor(F.col("event_id") / 101) % 7 + 1).cast("int"))
     return t.select("event_id", "seq", "now_ms", F.when(F.col("event_id") % 101 == 0, broken).otherwise(body).alias("value"))
 
@@ -71,17 +73,64 @@ def triangulated(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("long")
     ts = micros("ts")
     lag = F.when(F.col("event_id") % 211 == 0, k * 20).otherwise(k) + F.when(F.col("event_id") % 10_000 >= 5_000, 250).otherwise(0)
-    receive = F.when(F.floor(F.col("event_id") / 40) % 9 == 0, F.floor(ts / 3_600_000_000) * 3_600_000_000).otherwise(ts + lag * 1000)
-    return e.select("event_id", F.col("event_type").alias("source_id"), F.concat(F.lit("U"), (F.col("user_id") % 10).cast("string")).alias("symbol"), ts.alias("exchange_us"), receive.alias("receive_us")).withColumn("process_us", F.col("receive_us") + F.col("event_id") % 7 * 1000)
+    block = F.floor(F.col("event_id") / 120)
+    receive = F.when(block % 9 == 4, EPOCH_US + block * 3_600_000_000).otherwise(ts + lag * 1000)
+    sent = ts - F.when(F.col("event_id") % 307 == 0, 3 * 86_400_000_000).otherwise(0)
+    return e.select("event_id", F.col("event_type").alias("source_id"), F.concat(F.lit("U"), (F.col("user_id") % 10).cast("string")).alias("symbol"), sent.alias("exchange_us"), receive.alias("receive_us")).withColumn("process_us", F.col("receive_us") + F.col("event_id") % 7 * 1000)
 
 
-TRI = """
-tri AS (SELECT *, receive_us + event_id % 7 * 1000 AS process_us FROM (SELECT event_id, event_type AS source_id, 'U' || (user_id % 10) AS symbol, epoch_us(ts) AS exchange_us,
-  CASE WHEN (event_id // 40) % 9 = 0 THEN (epoch_us(ts) // 3600000000) * 3600000000
+TRI = f"""
+tri AS (SELECT *, receive_us + event_id % 7 * 1000 AS process_us FROM (SELECT event_id, event_type AS source_id, 'U' || (user_id % 10) AS symbol,
+  epoch_us(ts) - CASE WHEN event_id % 307 = 0 THEN 259200000000 ELSE 0 END AS exchange_us,
+  CASE WHEN (event_id // 120) % 9 = 4 THEN {EPOCH_US} + event_id // 120 * 3600000000
     ELSE epoch_us(ts) + (CASE WHEN event_id % 211 = 0 THEN 20 ELSE 1 END * json_extract_string(props,'$.k')::BIGINT + CASE WHEN event_id % 10000 >= 5000 THEN 250 ELSE 0 END) * 1000 END AS receive_us
 FROM events))"""
 
 
+def bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks whose volumes are slightly negative but for one in seven, so that averages pass close to zero and both volume codes occur."""
+    id_ = F.col("event_id")
+    return ticks(spark, sf_dir).withColumn("volume", F.when(id_ % 7 == 3, 9.0 + id_ % 23 / 7.0).otherwise(-1.0))
+
+
+BURSTS = TICKS.replace("ticks AS (", "calm AS (") + """,
+ticks AS (SELECT * REPLACE (CASE WHEN event_id % 7 = 3 THEN 9.0 + event_id % 23 / 7.0::DOUBLE ELSE -1.0 END::DOUBLE AS volume) FROM calm)"""
+
+
+def service_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monitoring samples (metric, labels, ts_ms, value) of five instances: an hour of events is a minute of samples."""
+    e = table(spark, sf_dir, "events").select((F.col("user_id") % 5).alias("k"), (F.floor(micros("ts") / 3_600_000_000) - EPOCH_US // 3_600_000_000).alias("h"), "value")
+    cell = e.groupBy("k", "h").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("v"))
+    upto = Window.partitionBy("k").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
+    hit = lambda hours, of, at: (F.floor(F.col("h") / hours) % of == at).cast("double")
+    cell = cell.withColumns({"total": F.sum("n").over(upto), "failed": F.sum(hit(10, 4, F.col("k") % 4)).over(upto)})
+    label = lambda **more: F.create_map(F.lit("instance"), F.concat(F.lit("n"), F.col("k").cast("string")), *[x for a, b in more.items() for x in (F.lit(a), b)])
+    disk = label(fstype=F.element_at(F.array(*map(F.lit, ("ext4", "ext4", "xfs", "tmpfs", "overlay"))), (F.col("k") + 1).cast("int")))
+    values = [
+        ("node_memory_MemAvailable_bytes", label(), F.col("v")),
+        ("node_memory_MemTotal_bytes", label(), F.lit(2500.0)),
+        ("node_cpu_seconds_total", label(cpu=F.lit("0"), mode=F.lit("idle")), F.col("total") * 1.0),
+        ("node_cpu_seconds_total", label(cpu=F.lit("1"), mode=F.lit("idle")), F.col("total") * 0.75),
+        ("node_cpu_seconds_total", label(cpu=F.lit("1"), mode=F.lit("user")), F.col("total") * 50.0),
+        ("node_filesystem_avail_bytes", disk, F.col("v")),
+        ("node_filesystem_size_bytes", disk, F.lit(2000.0)),
+        ("stream_running_jobs", label(), 1.0 - hit(6, 5, F.col("k"))),
+        ("stream_last_checkpoint_ms", label(), 1000.0 + 70_000 * hit(8, 3, F.lit(0))),
+        ("checkpoints_failed_total", label(), F.col("failed")),
+        ("store_up", label(), 1.0 - hit(4, 6, F.col("k"))),
+        ("consumergroup_lag", label(), 8000.0 + 4000 * hit(15, 3, F.lit(2))),
+        ("broker_up", label(), 1.0 - hit(5, 7, F.col("k"))),
+    ]
+    each = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), lab.alias("labels"), v.cast("double").alias("value")) for m, lab, v in values])).alias("m")
+    return cell.select((EPOCH_US // 1000 + F.col("h") * 60_000).alias("ts_ms"), each).select("m.metric", "m.labels", "ts_ms", "m.value")
+
+
+CELLS = f"""
+cell AS (SELECT user_id % 5 AS k, epoch_us(ts) // 3600000000 - {EPOCH_US // 3_600_000_000} AS h, count(*) AS n, round(sum(value), 4) AS v FROM events GROUP BY ALL),
+sampled AS (SELECT *, 'n' || k AS instance, {EPOCH_US // 1000} + h * 60000 AS ts_ms, sum(n) OVER (PARTITION BY k ORDER BY h) AS total, sum((h // 10 % 4 = k % 4)::INT) OVER (PARTITION BY k ORDER BY h) AS failed,
+  ['ext4', 'ext4', 'xfs', 'tmpfs', 'overlay'][k + 1] AS fstype FROM cell)"""
+
+
 def heartbeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select("event_id", F.concat(F.lit("S"), (F.col("user_id") % 10).cast("string")).alias("strategy_id"), ms("ts").alias("ts_ms"), F.substring(F.sha2("event_type", 256), 1, 16).alias("positions_hash"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,15 +36,34 @@ def parse_ticks(messages: DataFrame, value: str = "value") -> DataFrame:
 
 
 def decode_msgpack(messages: DataFrame, value: str = "value") -> DataFrame:
-    """msgpack bodies as JSON text, in Arrow batches; needs the optional msgpack package on the workers."""
-    import pandas as pd
-
+    """msgpack bodies as JSON text, in Arrow batches; a body that is no msgpack becomes an empty text, which no parser takes."""
     @F.pandas_udf("string")
     def decode(bodies: pd.Series) -> pd.Series:
         import json
 
-        import msgpack
+        from tickloom.functions import msgpack
+
+        def one(body: bytes | None) -> str | None:
+            if body is None:
+                return None
+            try:
+                return json.dumps(msgpack.unpack(bytes(body)))
+            except (ValueError, TypeError, RecursionError):
+                return ""
 
-        return bodies.map(lambda b: None if b is None else json.dumps(msgpack.unpackb(b, raw=False)))
+        return bodies.map(one)
 
     return messages.withColumn(value, decode(value))
+
+
+def encode_msgpack(messages: DataFrame, value: str = "value") -> DataFrame:
+    """JSON texts as msgpack bodies, in Arrow batches."""
+    @F.pandas_udf("binary")
+    def encode(texts: pd.Series) -> pd.Series:
+        import json
+
+        from tickloom.functions import msgpack
+
+        return texts.map(lambda t: None if t is None else msgpack.pack(json.loads(t)))
+
+    return messages.withColumn(value, encode(value))
