@@ -167,6 +167,14 @@ def test_neighbours_of_few(spark):
     assert ann.nearest(df.filter("false"), df).count() == 0
 
 
+def test_neighbours_with_odd_rows_and_columns(spark):
+    """Ids that repeat count once, vectors that take no part stay out, and extra columns may have any names."""
+    rows = [(0, [1.0, 0.0]), (1, [0.5, 0.5]), (1, [0.9, 0.1]), (2, None), (3, [0.0, 0.0]), (4, [float("nan"), 1.0]), (5, [None, 1.0]), (6, []), (7, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (8, [0.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumns({c: F.lit(1) for c in ("query_id", "rank", "score", "v", "leaf", "entry", "mark")})
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in ann.nearest(df, df.filter("vec_id = 0 OR vec_id = 3")).collect()}
+    assert got == {(0, 1): (1, 0.5), (0, 2): (8, 0.0)}
+
+
 def test_pieces_match_the_library(spark, odd, none):
     import sentencepiece
 
@@ -332,25 +340,93 @@ def test_chats_collapse(spark, monkeypatch):
     assert chat.chat_format(df.filter("false")).count() == 0
 
 
+def test_chats_with_long_texts_and_extra_columns(spark):
+    long = "word " * 200_000
+    rows = [(1, 0, "user", long), (1, 1, "assistant", "yes"), (2, 0, "user", long), (3, 0, "", "")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumns({c: F.lit(1) for c in ("pos", "n", "h1", "block", "piece", "part", "rendered")})
+    out = {r["conv_id"]: r for r in chat.chat_format(df).collect()}
+    assert set(out) == {1, 3} and out[1]["rendered"] == f"<|im_start|>user\n{long}<|im_end|>\n<|im_start|>assistant\nyes<|im_end|>\n" and out[3]["n_turns"] == 1
+
+
+def brute_language(docs, rows):
+    """The language stage's decisions: the same learned numbers, every word summed byte by byte."""
+    langs, prior, probs = langid.learn(docs.filter(langid.remainder("doc_id") != 2).select("doc_id", "text", "lang"))
+    sp = langid._processor(langid.vocabulary())
+    known = {}
+    for i in range(sp.get_piece_size()):
+        if sp.is_byte(i):
+            known.setdefault(bytes([int(sp.id_to_piece(i)[3:-1], 16)]), i)
+    for i in range(sp.get_piece_size()):
+        if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i)):
+            known[sp.id_to_piece(i).replace("▁", " ").encode()] = i
+    scores = {w: forward(b" " + w.encode(), known, probs) for w in {w for _, t in rows for w in (t or "").split()}}
+    out = {}
+    for i, t in rows:
+        if any(c.isalpha() for c in t or ""):
+            total = prior + sum(scores[w] for w in t.split())
+            k = int(total.argmax())
+            if 1 / np.exp(total - total[k]).sum() >= 0.5:
+                out[i] = langs[k]
+    return out
+
+
+def brute_lines(rows):
+    """Texts without the lines that stand within three edits of an earlier one."""
+    from .test_line_edits import distance
+
+    seen, out = {}, {}
+    for i, t in sorted(rows):
+        keep = []
+        for line in t.split("\n"):
+            n = len(line)
+            if n < 20:
+                keep.append(line)
+                continue
+            near = [x for m in range(n - 3, n + 4) for x in seen.get(m, ())]
+            quarter = [line[k * (n // 4) : (k + 1) * (n // 4)] for k in range(4)]
+            if not any(x == line or (any(q in x for q in quarter) or len(x) < n) and distance(x, line) <= 3 for x in near):
+                keep.append(line)
+            seen.setdefault(n, set()).add(line)
+        out[i] = "\n".join(keep)
+    return {i: t for i, t in out.items() if t.strip(" \t\n\x0b\x0c\r")}
+
+
+def brute_repeats(rows, width=100):
+    seen, out = set(), {}
+    for i, t in sorted(rows):
+        b = t.encode()
+        gone = bytearray(len(b))
+        for p in range(len(b) - width + 1):
+            w = b[p : p + width]
+            if w in seen:
+                gone[p : p + width] = b"\1" * width
+            seen.add(w)
+        out[i] = bytes(x for x, g in zip(b, gone, strict=True) if not g).decode("utf-8", "ignore")
+    return {i: t for i, t in out.items() if t.strip(" \t\n\x0b\x0c\r")}
+
+
 def test_pipeline_stages(spark):
-    """Each stage against what the plain operators decide on its own input."""
+    """Each stage against a brute-force version on its own input."""
     import corpus_pipeline as cp
     from tickloom.llm.packing import encoder, piece_lengths, vocabulary
 
     from .test_neardup import brute as near_brute
 
-    docs = spark.read.parquet(f"{DATA}/documents.parquet")
-    steps = []
+    first = docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    texts = lambda d: [(r["doc_id"], r["text"]) for r in d.collect()]
+    steps = [texts(docs)]
     for _, stage in cp.STAGES[:-1]:
         docs = stage(spark, docs, DATA).persist()
         assert docs.columns == list(cp.COLUMNS) and docs.filter("n_chars <> length(text)").count() == 0
-        steps.append(docs)
-    before = [(r["doc_id"], r["text"]) for r in steps[1].collect()]
-    assert {i for i, *_, kept in near_brute(before) if kept} == {r["doc_id"] for r in steps[2].collect()}
+        steps.append(texts(docs))
+        if len(steps) == 2:
+            assert {r["doc_id"]: r["lang"] for r in docs.collect()} == brute_language(first, steps[0])
+    assert dict(steps[2]) == brute_lines(steps[1])
+    assert {i for i, *_, kept in near_brute(steps[2]) if kept} == {i for i, _ in steps[3]} and set(steps[3]) <= set(steps[2])
+    assert dict(steps[4]) == brute_repeats(steps[3])
     out = cp.STAGES[-1][1](spark, docs, DATA)
-    encode = encoder(vocabulary()).encode_ordinary
-    want = sum(len(piece_lengths(len(encode(r["text"])) + 1)) for r in docs.collect())
-    assert out.count() == want
+    encode = encoder(vocabulary())
+    assert out.count() == sum(len(piece_lengths(len(encode(t)) + 1)) for _, t in steps[4])
 
 
 @pytest.mark.parametrize("stage", range(5))
