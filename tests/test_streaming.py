@@ -49,6 +49,26 @@ def test_stream_equals_batch(spark, messages, tmp_path):
     assert {v for m, _, _, v in streams.query_samples(query) if m == "stream_running_jobs"} == {0.0}
 
 
+def test_state_expires(spark, tmp_path):
+    """A symbol that was silent for longer than the time to live starts anew."""
+    import time
+
+    scorer.configure(spark, replay=True)
+    body = '{{"symbol":"A","price":{},"volume":1,"exchange":"kraken","timestamp":{}}}'
+    feed = tmp_path / "feed"
+
+    def step(n, price, ts, ttl_ms):
+        spark.createDataFrame([(n, n, 0, body.format(price, ts))], MESSAGES).coalesce(1).write.parquet(str(feed / f"n={n}"))
+        stream = streams.read_files(spark, str(feed / "n=*"), MESSAGES, per_trigger=1)
+        run(scorer.score_stream(parse_ticks(stream), ttl_ms=ttl_ms), tmp_path, lambda df, i: df.select("seq", "issues").coalesce(1).write.mode("append").parquet(str(tmp_path / "out")))
+
+    step(1, 100, 5, 1500)
+    time.sleep(3)
+    step(2, 150, 5, 1500)
+    got = {r["seq"]: set(r["issues"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert not {"DUPLICATE_TIMESTAMP", "EXTREME_PRICE_MOVE"} & got[2]
+
+
 def test_a_failed_query_reports_no_running_job(spark, messages, tmp_path):
     """It is started again from its checkpoint, and then its samples say that nothing runs."""
     from pyspark.errors import StreamingQueryException

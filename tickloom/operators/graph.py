@@ -131,6 +131,7 @@ def quality_trends(scored: DataFrame, symbol: str, as_of: int, horizon: int = DA
 
 
 def exchange_listings(g: dict[str, DataFrame]) -> DataFrame:
+    """Each exchange with its pairs in one row, as the listing is defined; a row is as long as an exchange has pairs."""
     return g["lists"].groupBy("exchange").agg(F.count(F.lit(1)).alias("n_pairs"), F.array_sort(F.collect_list("pair")).alias("pairs"))
 
 
