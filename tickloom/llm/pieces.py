@@ -10,12 +10,12 @@ current symbols. That is how a BPE model with scores segments, so the ids are
 the library's; a plain Viterbi sum of scores would give others for such a model.
 
 The units that occur most, at most ``HOT_UNITS``, are joined by broadcast, which
-spares most occurrences a shuffle; the others are joined by shuffle. Units of
+spares most occurrences a shuffle; the others are written once and joined by shuffle. Units of
 more than ``WIDE`` characters do not fit a mask and are merged by a queue in
 Arrow batches.
 
 Defined results: a null or empty text has no pieces; rows without doc_id have no
-result; rows that repeat a doc_id add up; characters outside the vocabulary
+result; rows that repeat a doc_id are encoded each by its own text; characters outside the vocabulary
 become byte pieces; the word-start mark itself counts as a blank; an empty table gives an empty result; only the named columns
 are read.
 """
@@ -29,15 +29,21 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm.scratch import cut
+from tickloom.llm.scratch import cut, sweep
 
 HOT_UNITS = 200_000
+#: Hot units are picked on one text in so many; that sets where a unit is looked up, not its ids.
+SAMPLE = 16
 WIDE = 60
+#: Bits of an edge, from the highest: rank of the score, 63 less the start, the end, the mark of late pieces, the id. Better edges are larger numbers, and of equal ones the left one.
+_RANK, _START, _END, _LATE_BIT, _ID = 33, 27, 21, 20, (1 << 20) - 1
+#: Mark in a mask of boundaries that its unit needs the fold step by step.
+ODD = 1 << 62
 #: Distinct units whose lattices one task builds, so that sorting their edges stays in memory.
 TASK_UNITS = 10_000
 #: Largest vocabulary that is broadcast.
 MAX_PIECES = 500_000
-_UNITS = r" *[\p{L}\p{M}]+| *[^\p{L}\p{M} ]+| +"
+_UNITS = r" *+[a-zA-Z\p{L}\p{M}]++| *+[^a-zA-Z\p{L}\p{M} ]++| ++"
 
 
 def vocabulary() -> str:
@@ -46,6 +52,11 @@ def vocabulary() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+def late_pieces(pieces: dict[str, tuple[int, float]]) -> set[str]:
+    """Pieces that are part of a piece at least as good: only merging one of these can make an edge mergeable that was passed over."""
+    return {x for p, (_, score) in pieces.items() for k in range(1, len(p)) for x in (p[:k], p[k:]) if len(x) > 1 and x in pieces and pieces[x][1] <= score}
+
+
 @lru_cache(maxsize=2)
 def load(path: str) -> tuple[dict[str, tuple[int, float]], int, int]:
     """(piece with blanks for word starts -> (id, score), id of byte 0, longest piece). Checks what the operator relies on."""
@@ -71,55 +82,65 @@ def load(path: str) -> tuple[dict[str, tuple[int, float]], int, int]:
 
 
 def piece_table(spark: SparkSession, path: str) -> DataFrame:
+    """(piece, code): what an edge of the piece says beyond its place, packed as rank by score, mark of late pieces, id."""
     pieces, _, _ = load(path)
-    rows = pd.DataFrame([(p, i, s) for p, (i, s) in pieces.items()], columns=["piece", "id", "score"])
-    return spark.createDataFrame(rows, "piece string, id int, score float")
+    late = late_pieces(pieces)
+    rank = {score: k for k, score in enumerate(sorted({s for _, s in pieces.values()}))}
+    rows = pd.DataFrame([(p, rank[s] << _RANK | (p in late) << _LATE_BIT | i) for p, (i, s) in pieces.items()], columns=["piece", "code"])
+    return spark.createDataFrame(rows, "piece string, code long")
 
 
 def units(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, pos, unit) in text order."""
-    text = F.when(F.length(text_col) > 0, F.concat(F.lit(" "), F.translate(text_col, "▁", " ")))
-    found = F.regexp_extract_all(text, F.lit(f"({_UNITS})"), 1)
-    return docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.posexplode(found).alias("pos", "unit"))
+    """(doc_id, mark, pos, unit) in text order; ``mark`` is the text's xxhash64, which tells rows of one doc_id apart."""
+    marked = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text"))
+    spaced = F.when(F.length("text") > 0, F.concat(F.lit(" "), F.replace(F.col("text"), F.lit("▁"), F.lit(" "))))
+    # inside the generator: a column of its own would be worked out again for the filters that Spark infers
+    return marked.select("doc_id", "mark", F.posexplode(F.regexp_extract_all(spaced, F.lit(_UNITS), F.lit(0))).alias("pos", "unit"))
+
+
+def _by_hash(rows: DataFrame, table: DataFrame, text: str, how: str) -> DataFrame:
+    """``rows`` joined with a broadcast ``table`` on equal texts, through their 64-bit hashes, whose table is several times faster.
+
+    Equality is spelt as two comparisons, which keeps the text itself from becoming a key.
+    """
+    named = table.withColumnRenamed(text, "_t").withColumn("_h", F.xxhash64("_t"))
+    same = (F.xxhash64(text) == F.col("_h")) & (F.col(text) <= F.col("_t")) & (F.col(text) >= F.col("_t"))
+    return rows.join(F.broadcast(named), same, how).drop("_h", "_t")
 
 
 def lattice(vocab: DataFrame, path: str) -> DataFrame:
-    """(unit, n, edges) from distinct units of up to WIDE characters, dealt by unit so that grouping needs no shuffle.
+    """(unit, n, edges from the best down) from distinct units of up to WIDE characters, dealt by unit so that grouping needs no shuffle.
 
     Substrings are some fifty times the units, so the number of tasks follows a count of the units.
     """
     _, _, longest = load(path)
     tasks = vocab.count() // TASK_UNITS + 1
-    spans = f"transform(sequence(0, n - 1), s -> transform(sequence(s + 1, least(n, s + {longest})), e -> struct(s AS s, e AS e, substring(unit, s + 1, e - s) AS piece)))"
-    sub = vocab.select("unit", F.length("unit").alias("n")).repartition(tasks, "unit").select("unit", "n", F.explode(F.flatten(F.expr(spans))).alias("x")).select("unit", "n", "x.s", "x.e", "x.piece")
+    sub = vocab.select("unit", F.length("unit").alias("n")).repartition(tasks, "unit")
+    sub = sub.select("unit", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("s"))
+    sub = sub.select("unit", "s", F.explode(F.sequence(F.col("s") + 1, F.least("n", F.col("s") + longest))).alias("e"))
+    sub = sub.select("unit", "s", "e", F.substring("unit", F.col("s") + 1, F.col("e") - F.col("s")).alias("piece"))
     single = F.col("e") - F.col("s") == 1
-    edges = sub.join(F.broadcast(piece_table(vocab.sparkSession, path)), "piece", "left").filter(F.col("id").isNotNull() | single)
-    edge = F.when(F.col("id").isNotNull(), F.struct("score", (-F.col("s")).alias("left"), "s", "e", "id"))
-    return edges.groupBy("unit").agg(F.collect_list(edge).alias("edges")).withColumn("n", F.length("unit"))
-
-
-_INNER = "(shiftleft(1L, {x}.e) - shiftleft(1L, {x}.s + 1))"
-_ENDS = "(shiftright({m}, {x}.s) & 1L) = 1L AND (shiftright({m}, {x}.e) & 1L) = 1L"
+    edges = _by_hash(sub, piece_table(vocab.sparkSession, path), "piece", "left").filter(F.col("code").isNotNull() | single)
+    edge = F.col("code").bitwiseOR(F.shiftleft((63 - F.col("s")).cast("long"), _START)).bitwiseOR(F.shiftleft(F.col("e").cast("long"), _END))
+    found = edges.groupBy("unit").agg(F.collect_list(edge).alias("packed"))
+    unpacked = f"""transform(sort_array(packed, false), x -> transform(array(struct(63 - int(shiftright(x, {_START}) & 63L) AS s, int(shiftright(x, {_END}) & 63L) AS e)),
+      y -> struct(y.s AS s, y.e AS e, int(x & {_ID}L) AS id, shiftright(x, {_RANK}) AS rank, shiftleft(1L, y.s) | shiftleft(1L, y.e) AS ends, shiftleft(1L, y.e) - shiftleft(1L, y.s + 1) AS inner, shiftright(x, {_LATE_BIT}) & 1L AS late))[0])"""
+    return found.select("unit", F.expr(unpacked).alias("edges"), F.length("unit").alias("n"))
 
 
 def _spans(x: str, m: str, symbols: int) -> str:
     """SQL: edge ``x`` spans so many current symbols of mask ``m``."""
-    return f"{_ENDS.format(x=x, m=m)} AND bit_count({m} & {_INNER.format(x=x)}) = {symbols - 1}"
-
-
-def _drop(x: str, m: str) -> str:
-    return f"{m} & ~{_INNER.format(x=x)}"
+    return f"({m} & {x}.ends) = {x}.ends AND bit_count({m} & {x}.inner) = {symbols - 1}"
 
 
 _FULL = "(shiftleft(1L, n + 1) - 1L)"
 #: The best mergeable edge again and again; as many steps as there can be merges.
 _STEPS = f"""aggregate(sequence(2, n), {_FULL},
-  (m, k) -> transform(array(array_max(filter(edges, x -> {_spans("x", "m", 2)}))), x -> CASE WHEN x IS NULL THEN m ELSE {_drop("x", "m")} END)[0])"""
-#: One pass over the edges from the best down. It is the same unless a merge makes a better edge mergeable, which sets ``odd``.
-_PASS = f"""transform(array(sort_array(filter(edges, x -> x.e - x.s > 1), false)), q -> CASE WHEN size(q) = 0 THEN named_struct('m', {_FULL}, 'odd', false) ELSE
-  aggregate(sequence(0, size(q) - 1), named_struct('m', {_FULL}, 'odd', false), (a, j) -> transform(array(q[j]), x -> CASE WHEN {_spans("x", "a.m", 2)}
-    THEN transform(array({_drop("x", "a.m")}), w -> named_struct('m', w, 'odd', a.odd OR exists(slice(q, 1, j), y -> {_spans("y", "w", 2)})))[0] ELSE a END)[0]) END)[0]"""
-_FOLD = f"transform(array({_PASS}), r -> CASE WHEN r.odd THEN {_STEPS} ELSE r.m END)[0]"
+  (m, k) -> transform(array(get(filter(edges, x -> {_spans("x", "m", 2)}), 0)), x -> CASE WHEN x IS NULL THEN m ELSE m & ~x.inner END)[0])"""
+_LATE = f"CASE WHEN x.late > 0L AND exists(edges, y -> y.inner > 0L AND y.rank >= x.rank AND {_spans('y', '(m & ~x.inner)', 2)}) THEN {ODD}L ELSE 0L END"
+#: One pass over the edges from the best down. It is the same unless a merge makes a better edge mergeable, which marks the mask.
+_PASS = f"aggregate(edges, {_FULL}, (m, x) -> CASE WHEN {_spans('x', 'm', 2)} THEN (m & ~x.inner) | {_LATE} ELSE m END)"
+_FOLD = f"transform(array({_PASS}), r -> CASE WHEN (r & {ODD}L) > 0L THEN {_STEPS} ELSE r END)[0]"
 
 
 def _ids(zero: int) -> str:
@@ -182,15 +203,19 @@ def encode_units(vocab: DataFrame, path: str) -> DataFrame:
 
 
 def encode_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab: str | None = None, hot_units: int = HOT_UNITS) -> DataFrame:
-    """The encoding as a relation: (doc_id, pos, ids), one row per unit of each text."""
+    """The encoding as a relation: (doc_id, mark, pos, ids), one row per unit of each text."""
     path = vocab or vocabulary()
     rows = units(docs, id_col, text_col)
-    counts = cut(rows.groupBy("unit").agg(F.count(F.lit(1)).alias("n")), "units")
-    least = _least_count(counts, hot_units)
-    hot = cut(encode_units(counts.filter(F.col("n") >= least), path), "hot")
-    common = rows.join(F.broadcast(hot), "unit").select("doc_id", "pos", "ids")
-    rare = rows.join(F.broadcast(hot.select("unit")), "unit", "left_anti")
-    return common.unionByName(rare.join(encode_units(counts.filter(F.col("n") < least), path), "unit").select("doc_id", "pos", "ids"))
+    some = units(docs.filter(F.pmod(F.xxhash64(F.lit("hot"), text_col), F.lit(SAMPLE)) == 0), id_col, text_col)
+    counts = cut(some.groupBy("unit").agg(F.count(F.lit(1)).alias("n")), "units")
+    hot = cut(encode_units(counts.filter(F.col("n") >= _least_count(counts, hot_units)).select("unit"), path), "hot")
+    sweep(docs.sparkSession)
+    common = _by_hash(rows, hot, "unit", "inner").select("doc_id", "mark", "pos", "ids")
+    rare = cut(_by_hash(rows, hot.select("unit"), "unit", "left_anti"), "rare")
+    sweep(docs.sparkSession)
+    told = cut(encode_units(rare.select("unit").distinct(), path), "told")
+    sweep(docs.sparkSession)
+    return common.unionByName(rare.join(told, "unit").select("doc_id", "mark", "pos", "ids"))
 
 
 def _least_count(counts: DataFrame, most: int) -> int:
@@ -205,20 +230,25 @@ def _least_count(counts: DataFrame, most: int) -> int:
 
 
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocab: str | None = None) -> DataFrame:
-    """(doc_id, ids): the ids of every document, null and empty texts with none."""
-    rows = encode_rows(docs, id_col, text_col, vocab)
-    whole = rows.groupBy("doc_id").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("pos", "ids"))), lambda r: r["ids"])).alias("ids"))
-    all_ = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id")).distinct()
-    return all_.join(whole, "doc_id", "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<int>")))
+    """(doc_id, ids): the ids of every row with a doc_id, null and empty texts with none."""
+    rows = encode_rows(docs, id_col, text_col, vocab).withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
+    parts = F.array_sort(F.array_distinct(F.collect_list(F.struct("pos", "ids"))))
+    whole = rows.groupBy("_id", "_mark").agg(F.flatten(F.transform(parts, lambda r: r["ids"])).alias("ids"))
+    all_ = docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("mark"))
+    met = all_.join(whole, (F.col("doc_id") == F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
+    return met.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
 
 
 def decode(encoded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", vocab: str | None = None) -> DataFrame:
-    """(doc_id, text): pieces looked up by id and joined in order; the first blank is the one encoding put there."""
+    """(doc_id, text) of every row: pieces looked up by id and joined in order; the first blank is the one encoding put there."""
     path = vocab or vocabulary()
     pieces, zero, _ = load(path)
     known = [(i, p.encode()) for p, (i, _) in pieces.items()] + [(zero + b, bytes([b])) for b in range(256)]
     table = encoded.sparkSession.createDataFrame(pd.DataFrame(known, columns=["id", "bytes"]), "id int, bytes binary")
-    rows = encoded.select(F.col(id_col).alias("doc_id"), F.posexplode_outer(ids_col).alias("pos", "id"))
-    met = rows.join(F.broadcast(table), "id", "left").groupBy("doc_id").agg(F.array_sort(F.collect_list(F.when(F.col("bytes").isNotNull(), F.struct("pos", "bytes")))).alias("p"))
+    named = encoded.select(F.col(id_col).alias("doc_id"), F.xxhash64(ids_col).alias("mark"), F.col(ids_col).alias("ids"))
+    rows = named.select(F.xxhash64("doc_id", "mark").alias("_row"), F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.posexplode("ids").alias("pos", "id"))
+    met = rows.join(F.broadcast(table), "id").groupBy("_row", "_id", "_mark").agg(F.array_sort(F.array_distinct(F.collect_list(F.struct("pos", "bytes")))).alias("p"))
     joined = F.expr("unhex(array_join(transform(p, x -> hex(x.bytes)), ''))")
-    return met.select("doc_id", F.substring(F.decode(joined, "UTF-8"), 2, 2**31 - 1).alias("text"))
+    told = met.select("_id", "_mark", F.substring(F.decode(joined, "UTF-8"), 2, 2**31 - 1).alias("text"))
+    back = named.join(told, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left")
+    return back.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))

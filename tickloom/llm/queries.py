@@ -23,11 +23,13 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: pieces, and a sum of hashes of (place, ids) over its units."""
-    docs = _table(spark, sf_dir, "documents")
+    docs = _table(spark, sf_dir, "documents").select("doc_id", F.xxhash64("text").alias("mark"))
     mark = F.pmod(F.xxhash64("pos", "ids"), F.lit(1 << 31))
-    found = pieces.encode_rows(docs).groupBy("doc_id").agg(F.sum(F.size("ids")).alias("n_pieces"), F.sum(mark).alias("ids_mark"))
-    out = docs.select("doc_id").join(found, "doc_id", "left")
-    return out.select("doc_id", F.coalesce("n_pieces", F.lit(0)).alias("n_pieces"), F.coalesce("ids_mark", F.lit(0)).alias("ids_mark"))
+    copies = F.count_if(F.col("pos") == 0)  # rows that repeat a doc_id and its text come back as often
+    found = pieces.encode_rows(_table(spark, sf_dir, "documents")).groupBy("doc_id", "mark")
+    found = found.agg(F.expr("sum(size(ids)) div count_if(pos = 0)").alias("n_pieces"), F.sum(mark).alias("all"), copies.alias("copies"))
+    out = docs.join(found, ["doc_id", "mark"], "left")
+    return out.select("doc_id", F.coalesce("n_pieces", F.lit(0)).alias("n_pieces"), F.coalesce(F.expr("`all` div copies"), F.lit(0)).alias("ids_mark"))
 
 
 def op3_repeat_removal(spark: SparkSession, sf_dir: str) -> DataFrame:

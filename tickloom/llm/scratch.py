@@ -11,6 +11,7 @@ import atexit
 import gc
 import shutil
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +54,11 @@ def release(*tables: DataFrame) -> None:
 
 
 def sweep(spark: SparkSession) -> None:
-    """Let the driver forget the plans of finished steps; Spark deletes shuffle files once no plan refers to them."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Let the driver forget the plans of finished steps; Spark deletes shuffle files once no plan refers to them.
+
+    Python hands its references back in the background, so the JVM collects twice, with time for that in between.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)
