@@ -18,9 +18,9 @@ def distance(a, b):
     return row[-1]
 
 
-@pytest.mark.parametrize("edits,hot", [(3, 64), (3, 1), (2, 64)])
-def test_against_brute_force(spark, monkeypatch, edits, hot):
-    monkeypatch.setattr(linededup, "HOT", hot)
+@pytest.mark.parametrize("edits,crowd", [(3, 64), (3, 1), (2, 64)])
+def test_against_brute_force(spark, monkeypatch, edits, crowd):
+    monkeypatch.setattr(linededup, "CROWD", crowd)
     rng = random.Random(edits)
     base = ["".join(rng.choice("abcd") for _ in range(rng.randint(18, 30))) for _ in range(10)]
 

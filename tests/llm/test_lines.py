@@ -23,10 +23,10 @@ def brute(rows, least):
     return {i: "\n".join(v) for i, v in out.items()}
 
 
-@pytest.mark.parametrize("hot", [64, 1])
-def test_against_brute_force(spark, monkeypatch, hot):
-    """With HOT at 1 every shared key takes the deletion path."""
-    monkeypatch.setattr(linededup, "HOT", hot)
+@pytest.mark.parametrize("crowd", [64, 1])
+def test_against_brute_force(spark, monkeypatch, crowd):
+    """With CROWD at 1 every shared key goes through all rounds."""
+    monkeypatch.setattr(linededup, "CROWD", crowd)
     rng = random.Random(2)
     base = ["".join(rng.choice("abc") for _ in range(rng.randint(18, 26))) for _ in range(12)]
 

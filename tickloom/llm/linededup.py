@@ -12,15 +12,16 @@ a line probes the index of its own length and of the next k shorter ones, with t
 substrings whose place leaves enough edits on either side (26 for k = 3). A pair that
 shares a key is verified with a banded bit-parallel automaton: one word holds, for
 0 to k edits, which of the 2k + 1 diagonals a prefix can reach, and every character
-moves all of them at once.
+moves all of them at once. Pairs whose slices already tell them apart are spared that.
 
-The index keeps the ``HOT`` earliest lines of a key, which settles crowds of near
-copies and bounds the hash table that probes stream past. Only lines that no
-one has removed by then meet the whole of a key with more lines. That is exact; its
-time is the product of those lines and the lines of the key.
+A key that more than ``CROWD`` lines hold as a segment is crowded. Its lines meet the eldest of them, which settles
+crowds of near copies. Lines that no one has removed by then, and those older than the youngest of them, go to
+another round among themselves, with more segments and two parity words that rule out most pairs: any k + 1 segments of a line serve, so each indexes its k + 1 rarest,
+which lie where it differs from the crowd. After the last of ``ROUNDS`` what is still crowded (lines alike in all but a few of
+``ROUNDS[-1]`` segments) is compared line by line. All of that is exact.
 
-Keys travel as two numbers, texts only for lines that share one, and texts meet
-line numbers in sort-merge joins, so that no plan depends on a side that grows with
+Keys travel as two numbers, texts only for lines that share one. Joins deal both sides out by their key; hash tables hold
+a partition of the narrow side (keys, ids or line numbers), so that no plan depends on a side that grows with
 the data being small. All steps are DataFrame functions. Defined results: a null
 text keeps null and has no lines; rows with a null doc_id pass unchanged; rows that
 repeat a doc_id are documents of their own, in an order that their texts' hashes
@@ -31,8 +32,6 @@ are carried along unread, whatever their names.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -44,21 +43,26 @@ MIN_CHARS = 20
 EDITS = 1
 CORPUS_EDITS = 3
 MAX_EDITS = 3
-HOT = 32
-#: Keys are dealt out in so many passes, by indexed length, so that few of them are on disk at once.
-PASSES = 3
+#: A key of more lines is crowded: its lines meet the eldest of them, and then, where that does not settle them, by rarer segments.
+CROWD = 4
+#: Segments in each round (at least edits + 1, and no shorter than FINEST characters); what is still crowded after the last is compared line by line.
+ROUNDS, FINEST = (1, 16), 6
+#: Parity words of a line, which later rounds carry beside its keys.
+MARKS = ("one", "two")
 
 
-def _places(edits: int) -> list[tuple[int, int, int]]:
+def _places(edits: int, segments: int) -> list[tuple[int, int, int]]:
     """(segment, excess, shift): where a line looks for a segment of a line ``excess`` characters shorter.
 
-    A shift is kept when the edits left of the segment and those right of it can both be afforded.
+    A shift is kept when the edits left of the segment and those right of it can both be afforded. With no more segments than
+    edits + 1 one can be found that has at most as many edits on its left as segments, and on its right likewise.
     """
     out = []
     for d in range(edits + 1):
-        for i in range(edits + 1):
-            left, right = i, edits - i
-            out += [(i, d, s) for s in range(max(-left, d - right), min(left, d + right) + 1)]
+        for i in range(max(segments, edits + 1)):
+            left, right = (i, edits - i) if segments <= edits + 1 else (edits, edits)
+            shifts = range(max(-left, d - right), min(left, d + right) + 1)
+            out += [(i, d, s) for s in shifts if abs(s) + abs(d - s) <= edits]
     return out
 
 
@@ -67,7 +71,8 @@ def within(a: str, b: str, edits: int) -> str:
 
     Lane e of the word holds diagonals -k to k: bit i of it says that the prefix of ``b`` that is i - k characters longer
     than what is read of ``a`` is within e edits of that. A character keeps the diagonals where it matches, and moves lane e
-    to lane e + 1 for a substitution, an insertion (a diagonal down) or a deletion (a diagonal up, at once for several).
+    to lane e + 1 for a substitution, an insertion (a diagonal down) or a deletion (a diagonal up, at once for several). What both
+    strings begin and end with, found by halving, changes no distance and is left out.
     """
     if not 0 <= edits <= MAX_EDITS:
         raise ValueError(f"edits must lie between 0 and {MAX_EDITS}")
@@ -83,7 +88,18 @@ def within(a: str, b: str, edits: int) -> str:
     closed = f"transform(array({moved}), x -> {one} | {step(one, 2)})[0]"
     last = f"aggregate(sequence(0, size(z.a) - 1), {start}L, (s, j) -> CASE WHEN s = 0L THEN s ELSE {closed} END)"
     end = f"shiftright({last}, {k * lane + k} + size(z.b) - size(z.a)) & 1L"
-    return f"(abs(length({a}) - length({b})) <= {k} AND transform(array(struct(split({a}, '') AS a, split({b}, '') AS b)), z -> {end})[0] = 1L)"
+    shared = lambda x, y, side, most: f"aggregate(transform(sequence(int(log2({most} + 1)), 0), i -> shiftleft(1, i)), 0, (p, w) -> CASE WHEN p + w <= {most} AND {side}({x}, p + w) = {side}({y}, p + w) THEN p + w ELSE p END)"
+    front = f"transform(array({shared(a, b, 'left', f'least(length({a}), length({b}))')}), p -> struct(substring({a}, p + 1, length({a})) AS a, substring({b}, p + 1, length({b})) AS b))[0]"
+    back = f"transform(array({front}), y -> transform(array({shared('y.a', 'y.b', 'right', 'least(length(y.a), length(y.b))')}), q -> struct(left(y.a, length(y.a) - q) AS a, left(y.b, length(y.b) - q) AS b))[0])[0]"
+    ends = f"CASE WHEN length(y.a) = 0 OR length(y.b) = 0 THEN 1L ELSE transform(array(struct(split(y.a, '') AS a, split(y.b, '') AS b)), z -> {end})[0] END"
+    return f"(abs(length({a}) - length({b})) <= {k} AND transform(array({back}), y -> {ends})[0] = 1L)"
+
+
+def maybe_within(a: str, b: str, edits: int) -> str:
+    """SQL that is true of all pairs within ``edits``: an edit changes at most one of 2 (edits + 1) slices of ``a``, the others stand in ``b``."""
+    n = 2 * (edits + 1)
+    cut_ = lambda i: f"substring({a}, {i} * (length({a}) div {n}) + 1, length({a}) div {n})"
+    return f"({' + '.join(f'int(contains({b}, {cut_(i)}))' for i in range(n))}) >= {n - edits}"
 
 
 def distinct_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -94,67 +110,123 @@ def distinct_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return marked.groupBy("h1", "h2").agg(F.min("at").alias("at"), F.first("line").alias("line")).select("at", "line")
 
 
-def _keys(lines: DataFrame, places: list[tuple[int, int, int]], edits: int, part: int, parts: int) -> DataFrame:
-    """(key, id, own, doc_id): the substrings at ``places`` of each line; ``own`` marks its segments.
+def _keys(items: DataFrame, places: list[tuple[int, int, int]], edits: int, segments: int) -> DataFrame:
+    """(key, id, age): the substrings of each item's line at the places. Keys hold the indexed length and the segment.
 
-    Keys hold the indexed length, so the lengths of one residue class meet among themselves.
+    Lines of one byte a character are cut without counting characters.
     """
-    at = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(d).alias("d"), F.lit(s).alias("s")) for i, d, s in places])
-    rows = lines.select("id", "at.doc_id", "line", F.length("line").alias("size"), F.explode(at).alias("p"))
-    n, i, short = edits + 1, F.col("p.i"), F.col("size") - F.col("p.d")
+    at = F.explode(F.array(*[F.struct(*[F.lit(x).alias(c) for x, c in zip(p, "ids", strict=True)]) for p in places]))
+    rows = items.withColumns({"size": F.length("line"), "bytes": F.col("line").cast("binary")}).withColumn("p", at)
+    i, short = F.col("p.i"), F.col("size") - F.col("p.d")
+    n = F.lit(edits + 1)
+    if segments > edits + 1:
+        n = F.greatest(n, F.least(F.lit(segments), F.floor(short / FINEST).cast("int")))
     base, more = F.floor(short / n).cast("int"), short % n
     width = base + (i >= n - more).cast("int")
     start = i * base + F.greatest(i - (n - more), F.lit(0)) + F.col("p.s")
-    held = rows.filter((short >= 0) & (short % parts == part)).filter((start >= 0) & (start + width <= F.col("size")))
-    own = ((F.col("p.d") == 0) & (F.col("p.s") == 0)).cast("long")
-    return held.select(F.xxhash64(i, short, F.substring("line", start + 1, width)).alias("key"), (2 * F.col("id") + own).alias("id"), "doc_id")
-
-
-def _met(lines: DataFrame, edits: int, part: int, parts: int) -> DataFrame:
-    """(key, a, b, rank): lines ``a`` (twice the id, 1 more on a segment of their own) that find line ``b`` under a key.
-
-    ``rank`` numbers the lines of a key by age; HOT + 1 only says that the key has more of them.
-    """
-    places = _places(edits)
-    index = _keys(lines, [p for p in places if p[1:] == (0, 0)], edits, part, parts)
-    eldest = Window.partitionBy("key").orderBy("doc_id", "id")
-    index = index.withColumn("rank", F.row_number().over(eldest)).filter(F.col("rank") <= HOT + 1)
-    index = index.select("key", F.shiftright("id", 1).alias("b"), "rank")
-    probes = _keys(lines, places, edits, part, parts).select("key", F.col("id").alias("a"))
-    return probes.join(index.hint("shuffle_hash"), "key").filter((F.shiftright("a", 1) != F.col("b")) | (F.col("rank") > HOT))
-
-
-def _rest(met: DataFrame, texts: DataFrame, early: DataFrame, edits: int) -> DataFrame:
-    """Ids of lines of crowded keys that are not in ``early`` and that an earlier line of the key is close to."""
-    crowd = met.filter(F.col("rank") > HOT).select("key", F.shiftright("a", 1).alias("id"), (F.col("a") % 2 == 1).alias("own"))
-    told = crowd.groupBy("key", "id").agg(F.max("own").alias("own")).join(texts.hint("merge"), "id")
-    a = told.select("key", F.col("at").alias("a"), F.col("line").alias("la"), F.col("own").alias("oa"))
-    left = told.join(early.hint("merge"), "id", "left_anti")
-    pair = a.join(left, "key").filter((F.col("a") < F.col("at")) & (F.col("oa") | F.col("own")))
-    return pair.filter(F.expr(within("la", "line", edits))).select("id")
+    held = rows.filter((short >= 0) & (i < n) & (start >= 0) & (start + width <= F.col("size")))
+    part = F.when(F.octet_length("bytes") == F.col("size"), F.substring("bytes", start + 1, width)).otherwise(F.substring("line", start + 1, width).cast("binary"))
+    return held.select(F.xxhash64(i, short, part).alias("key"), "id", "age", *[c for c in MARKS if c in items.columns])
+
+
+def _parities(lines: DataFrame) -> DataFrame:
+    """Adds two words a line that tell most pairs apart: the parities of how often its characters (``one``) and its pairs of
+    neighbouring characters (``two``) occur, in 64 classes each."""
+    one = "aggregate(c, 0L, (s, x) -> s ^ shiftleft(1L, ascii(x) & 63))"
+    two = "aggregate(sequence(0, size(c) - 1), 0L, (s, i) -> s ^ shiftleft(1L, int(pmod(hash(c[i], get(c, i + 1)), 64))))"
+    marked = lines.withColumn("_m", F.expr(f"transform(array(split(line, '')), c -> struct({one} AS one, {two} AS two))[0]"))
+    return marked.select("*", "_m.one", "_m.two").drop("_m")
+
+
+def _alike(edits: int) -> str:
+    """SQL that is true of all pairs (one, two), (o, t) within ``edits``: an edit changes at most two parities of the first and four of the second."""
+    return f"bit_count(one ^ o) <= {2 * edits} AND bit_count(two ^ t) <= {4 * edits}"
+
+
+def _met(items: DataFrame, edits: int, segments: int) -> DataFrame:
+    """(key, a, b, crowd, near): lines ``a`` that find the line ``b`` under a key; in a crowded key only its eldest line. ``near``: the pair is to be verified."""
+    places = _places(edits, segments)
+    marks = [c for c in MARKS if c in items.columns]
+    index = _keys(items, [p for p in places if p[1:] == (0, 0)], edits, segments)
+    if segments > edits + 1:
+        counts = index.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        rarest = Window.partitionBy("id").orderBy("n", "key")
+        index = index.join(counts, "key").withColumn("_r", F.row_number().over(rarest)).filter(F.col("_r") <= edits + 1).select("key", "id", "age", *marks)
+    index = index.repartition("key")
+    crowds = index.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("age").alias("first"), F.min_by("id", "age").alias("eldest")).filter(F.col("n") > CROWD)
+    crowds = crowds.select(F.col("key").alias("_key"), "first", "eldest")
+    # both sides read the same columns, so the index is dealt out once
+    index = index.join(crowds.hint("shuffle_hash"), F.col("key") == F.col("_key"), "left").filter(F.col("eldest").isNull() | ((F.col("eldest") == F.col("id")) & (F.col("first") == F.col("age"))))
+    index = index.select(F.col("key").alias("_key"), F.col("eldest").isNotNull().alias("crowd"), F.col("id").alias("b"), *[F.col(c).alias(c[0]) for c in marks])
+    probes = _keys(items, places, edits, segments).select("key", F.col("id").alias("a"), *marks)
+    near = F.col("a") != F.col("b")
+    if marks:
+        near = near & F.expr(_alike(edits))
+    met = probes.join(index.hint("shuffle_hash"), (F.col("key") == F.col("_key")) & (F.col("crowd") | near))
+    return met.select("key", "a", "b", "crowd", near.alias("near"))
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, gone: DataFrame | None, edits: int) -> DataFrame:
+    """Ids of the younger lines of distinct ``pairs`` (x, y) within the threshold; lines that are ``gone`` already are not compared again."""
+    at = lambda c: texts.select(F.col("id").alias(c), F.col("at").alias(f"at_{c}"))
+    old = F.col("at_x") < F.col("at_y")
+    aged = pairs.join(at("x"), "x").join(at("y"), "y").select(F.when(old, F.col("x")).otherwise(F.col("y")).alias("elder"), F.when(old, F.col("y")).otherwise(F.col("x")).alias("id"))
+    if gone is not None:
+        aged = aged.join(gone.hint("shuffle_hash"), "id", "left_anti")
+    told = aged.join(texts.select("id", "line").hint("merge"), "id").join(texts.select(F.col("id").alias("elder"), F.col("line").alias("old")).hint("merge"), "elder")
+    return told.filter(F.expr(maybe_within("old", "line", edits))).filter(F.expr(within("old", "line", edits))).select("id").distinct()
+
+
+def _settle(met: DataFrame, texts: DataFrame, gone: DataFrame | None, edits: int) -> DataFrame:
+    """Ids of lines that a line met under a key precedes within the threshold."""
+    return _verified(met.filter("near").select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).distinct(), texts, gone, edits)
+
+
+def _open(crowds: DataFrame, texts: DataFrame, gone: DataFrame) -> DataFrame:
+    """(key, id, at, line, left) of the lines of crowded keys up to the youngest that is ``left`` (that no one has removed);
+    younger ones are nobody's elders there."""
+    rows = crowds.select("key", F.col("a").alias("id")).distinct()
+    places = texts.select("id", "at").join(gone.withColumn("_gone", F.lit(True)).hint("shuffle_hash"), "id", "left")
+    told = cut(rows.join(places.hint("merge"), "id").select("key", "id", "at", F.col("_gone").isNull().alias("left")), "open")
+    span = told.groupBy("key").agg(F.max(F.when(F.col("left"), F.col("at"))).alias("last"), F.min("at").alias("first")).filter("first < last")
+    return told.join(span, "key").filter(F.col("at") <= F.col("last")).drop("first", "last")
+
+
+def _product(open_: DataFrame, texts: DataFrame, gone: DataFrame, edits: int) -> DataFrame:
+    """Ids of the lines left in crowded keys that an elder of the key is close to: parities of all pairs first, then each that they leave once."""
+    marks = _parities(texts.join(open_.select("id").distinct(), "id", "left_semi")).select("id", *MARKS)
+    told = open_.join(cut(marks, "marks"), "id")
+    elder = told.select("key", F.col("at").alias("a"), F.col("id").alias("x"), F.col("one").alias("o"), F.col("two").alias("t"))
+    pairs = elder.join(told.filter("left").select("key", "at", F.col("id").alias("y"), *MARKS), "key").filter((F.col("a") < F.col("at")) & F.expr(_alike(edits)))
+    return _verified(pairs.select("x", "y").distinct(), texts, gone, edits)
 
 
 def kept_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS) -> DataFrame:
     """(doc_id, mark, keep): the numbers of the long lines that stay, from (doc_id, mark, text)."""
+    spark = docs.sparkSession
     lines = cut(distinct_lines(docs, min_chars).withColumn("id", F.monotonically_increasing_id()), "lines")
-    sweep(docs.sparkSession)
-    parts = []
-    for k in range(PASSES):
-        parts.append(cut(_met(lines, edits, k, PASSES), "met"))
-        sweep(docs.sparkSession)
-    met = reduce(DataFrame.unionByName, parts)
-    a = F.shiftright("a", 1)
-    needed = met.select(F.explode(F.array(a, "b")).alias("id")).distinct()
-    texts = cut(lines.join(needed.hint("merge"), "id", "left_semi"), "texts")
-    pairs = met.filter(F.col("rank") <= HOT).select(F.least(a, "b").alias("x"), F.greatest(a, "b").alias("y")).distinct()
-    side = lambda c: texts.select(F.col("id").alias(c), F.col("at").alias(f"at_{c}"), F.col("line").alias(f"line_{c}")).hint("merge")
-    close = pairs.join(side("x"), "x").join(side("y"), "y").filter(F.expr(within("line_x", "line_y", edits)))
-    early = cut(close.select(F.when(F.col("at_x") < F.col("at_y"), F.col("y")).otherwise(F.col("x")).alias("id")).distinct(), "early")
-    gone = early.unionByName(_rest(met, texts, early, edits)).distinct()
-    stay = lines.select("id", "at").join(gone.hint("merge"), "id", "left_anti")
+    sweep(spark)
+    items, gone, texts = lines.select("id", F.col("at.doc_id").alias("age"), "line"), None, None
+    for k, segments in enumerate(ROUNDS):
+        met = cut(_met(items, edits, segments), "met")
+        sweep(spark)
+        if texts is None:
+            needed = met.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+            texts = cut(lines.join(needed.hint("shuffle_hash"), "id", "left_semi"), "texts")
+        found = _settle(met, texts, gone, edits)
+        gone = cut(found if gone is None else gone.unionByName(found).distinct(), "gone")
+        open_ = cut(_open(met.filter("crowd"), texts, gone), "open")
+        if open_.isEmpty():
+            break
+        if k + 1 == len(ROUNDS):
+            gone = cut(gone.unionByName(_product(open_, texts, gone, edits)).distinct(), "gone")
+        pool = open_.select("id").distinct()
+        items = cut(_parities(texts.join(pool, "id", "left_semi").select("id", F.col("at.doc_id").alias("age"), "line")), "pool")
+        sweep(spark)
+    stay = lines.select("id", "at").join(gone.hint("shuffle_hash"), "id", "left_anti")
     keep = cut(stay.groupBy("at.doc_id", "at.mark").agg(F.collect_list("at.line_no").alias("keep")), "keep")
-    release(lines, texts, early, *parts)
-    sweep(docs.sparkSession)
+    release(lines, texts, gone)
+    sweep(spark)
     return keep
 
 
@@ -166,7 +238,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     held = docs.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
     key, text = names[id_col], names[text_col]
     same = (F.col(key).cast("long") == F.col("doc_id")) & (F.xxhash64(text) == F.col("mark"))
-    joined = held.join(keep.hint("merge"), same, "left")
+    joined = held.join(keep.hint("shuffle_hash"), same, "left")
     short = f"filter(transform(p, (l, i) -> CASE WHEN length(l) < {max(1, min_chars)} THEN i ELSE -1 END), i -> i >= 0)"
     stay = f"CASE WHEN {key} IS NULL THEN sequence(0, size(p) - 1) ELSE sort_array(array_union({short}, coalesce(keep, array()))) END"
     told = f"transform(array({stay}), s -> struct(size(p) AS n, size(s) AS k, array_join(transform(s, i -> p[i]), '\\n') AS text))[0]"
