@@ -21,6 +21,7 @@ def distance(a, b):
 @pytest.mark.parametrize("edits,crowd", [(3, 64), (3, 1), (2, 64)])
 def test_against_brute_force(spark, monkeypatch, edits, crowd):
     monkeypatch.setattr(linededup, "CROWD", crowd)
+    monkeypatch.setattr(linededup, "PRODUCT", 3 if crowd == 1 else 4096)
     rng = random.Random(edits)
     base = ["".join(rng.choice("abcd") for _ in range(rng.randint(18, 30))) for _ in range(10)]
 

@@ -27,6 +27,7 @@ def brute(rows, least):
 def test_against_brute_force(spark, monkeypatch, crowd):
     """With CROWD at 1 every shared key goes through all rounds."""
     monkeypatch.setattr(linededup, "CROWD", crowd)
+    monkeypatch.setattr(linededup, "PRODUCT", 3 if crowd == 1 else 4096)
     rng = random.Random(2)
     base = ["".join(rng.choice("abc") for _ in range(rng.randint(18, 26))) for _ in range(12)]
 

@@ -15,8 +15,9 @@ shares a key is verified with a banded bit-parallel automaton: one word holds, f
 moves all of them at once. Pairs whose slices already tell them apart are spared that.
 
 A key that more than ``CROWD`` lines hold as a segment is crowded. Its lines meet the eldest of them, which settles
-crowds of near copies. Lines that no one has removed by then, and those older than the youngest of them, go to
-another round among themselves, with more segments and two parity words that rule out most pairs: any k + 1 segments of a line serve, so each indexes its k + 1 rarest,
+crowds of near copies. Lines that no one has removed by then, and those older than the youngest of them, are compared
+with each other where they are at most ``PRODUCT``, by two parity words that rule out most pairs before texts are read. More go to
+another round among themselves, with more segments: any k + 1 segments of a line serve, so each indexes its k + 1 rarest,
 which lie where it differs from the crowd. After the last of ``ROUNDS`` what is still crowded (lines alike in all but a few of
 ``ROUNDS[-1]`` segments) is compared line by line. All of that is exact.
 
@@ -47,6 +48,8 @@ MAX_EDITS = 3
 CROWD = 4
 #: Segments in each round (at least edits + 1, and no shorter than FINEST characters); what is still crowded after the last is compared line by line.
 ROUNDS, FINEST = (1, 16), 6
+#: Crowds of up to so many lines are compared pair by pair, on two numbers a line first; larger ones go to the next round.
+PRODUCT = 4096
 #: Parity words of a line, which later rounds carry beside its keys.
 MARKS = ("one", "two")
 
@@ -183,12 +186,12 @@ def _settle(met: DataFrame, texts: DataFrame, gone: DataFrame | None, edits: int
 
 
 def _open(crowds: DataFrame, texts: DataFrame, gone: DataFrame) -> DataFrame:
-    """(key, id, at, line, left) of the lines of crowded keys up to the youngest that is ``left`` (that no one has removed);
+    """(key, id, at, left, n lines) of the lines of crowded keys up to the youngest that is ``left`` (that no one has removed);
     younger ones are nobody's elders there."""
     rows = crowds.select("key", F.col("a").alias("id")).distinct()
     places = texts.select("id", "at").join(gone.withColumn("_gone", F.lit(True)).hint("shuffle_hash"), "id", "left")
     told = cut(rows.join(places.hint("merge"), "id").select("key", "id", "at", F.col("_gone").isNull().alias("left")), "open")
-    span = told.groupBy("key").agg(F.max(F.when(F.col("left"), F.col("at"))).alias("last"), F.min("at").alias("first")).filter("first < last")
+    span = told.groupBy("key").agg(F.max(F.when(F.col("left"), F.col("at"))).alias("last"), F.min("at").alias("first"), F.count(F.lit(1)).alias("n")).filter("first < last")
     return told.join(span, "key").filter(F.col("at") <= F.col("last")).drop("first", "last")
 
 
@@ -216,11 +219,11 @@ def kept_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS)
         found = _settle(met, texts, gone, edits)
         gone = cut(found if gone is None else gone.unionByName(found).distinct(), "gone")
         open_ = cut(_open(met.filter("crowd"), texts, gone), "open")
-        if open_.isEmpty():
+        few = open_ if k + 1 == len(ROUNDS) else open_.filter(F.col("n") <= PRODUCT)
+        gone = cut(gone.unionByName(_product(few, texts, gone, edits)).distinct(), "gone")
+        pool = open_.filter(F.col("n") > PRODUCT).select("id").distinct()
+        if k + 1 == len(ROUNDS) or pool.isEmpty():
             break
-        if k + 1 == len(ROUNDS):
-            gone = cut(gone.unionByName(_product(open_, texts, gone, edits)).distinct(), "gone")
-        pool = open_.select("id").distinct()
         items = cut(_parities(texts.join(pool, "id", "left_semi").select("id", F.col("at.doc_id").alias("age"), "line")), "pool")
         sweep(spark)
     stay = lines.select("id", "at").join(gone.hint("shuffle_hash"), "id", "left_anti")
