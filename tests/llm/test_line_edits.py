@@ -84,3 +84,32 @@ def test_the_pipeline_takes_out_a_line_three_edits_away(spark):
     got = {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, df, "").collect()}
     assert distance(line, rows[1][1].split("\n")[0]) == 3
     assert got == {1: line, 2: "Another line that nothing else resembles in any way"}
+
+
+@pytest.mark.parametrize("edits", [1, 3])
+def test_slices_lose_no_pair_within_the_threshold(spark, edits):
+    rng = random.Random(edits)
+    pairs = []
+    for _ in range(300):
+        a = b = "".join(rng.choice("abé ") for _ in range(rng.randint(10, 500)))
+        for _ in range(edits):
+            k = rng.randrange(len(b))
+            b = rng.choice([b[:k] + b[k + 1 :], b[:k] + "c" + b[k:], b[:k] + "é" + b[k + 1 :]])
+        pairs.append((a, b))
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(pairs)], "id long, x string, y string")
+    elder = linededup._sliced(df.select("id", df.x.alias("line")), edits).selectExpr("id", "width AS w", "cuts AS c")
+    met = elder.join(linededup._sliced(df.select("id", df.y.alias("line")), edits), "id")
+    assert met.selectExpr(f"{linededup._fitting(edits)} AS ok").filter("NOT ok").count() == 0
+
+
+def test_a_crowd_of_distant_copies_makes_few_pairs(spark, monkeypatch):
+    """Copies with four letters put in at places of their own are eight edits apart; their texts are not read pair by pair."""
+    rng = random.Random(5)
+    base = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(480))
+    lines = [base[: 8 * i] + "".join(rng.choice("etaoin") for _ in range(4)) + base[8 * i :] for i in range(60)]
+    asked, verify = [], linededup._verified
+    monkeypatch.setattr(linededup, "_verified", lambda pairs, *rest: asked.append(pairs.count()) or verify(pairs, *rest))
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r["doc_id"] for r in linededup.dedup_lines(df, edits=3).collect() if r["text"]}
+    want = {i for i, x in enumerate(lines) if not any(distance(y, x) <= 3 for y in lines[:i])}
+    assert got == want and len(want) > 50 and len(asked) == 2 and asked[1] < 60 * 59 / 2 / 4, asked

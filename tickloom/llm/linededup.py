@@ -16,7 +16,7 @@ moves all of them at once. Pairs whose slices already tell them apart are spared
 
 A key that more than ``CROWD`` lines hold as a segment is crowded. Its lines meet the eldest of them, which settles
 crowds of near copies. Lines that no one has removed by then, and those older than the youngest of them, are compared
-with each other where they are at most ``PRODUCT``, by two parity words that rule out most pairs before texts are read. More go to
+with each other where they are at most ``PRODUCT``, by two parity words and by hashes of slices, which rule out most pairs before texts are read. More go to
 another round among themselves, with more segments: any k + 1 segments of a line serve, so each indexes its k + 1 rarest,
 which lie where it differs from the crowd. After the last of ``ROUNDS`` what is still crowded (lines alike in all but a few of
 ``ROUNDS[-1]`` segments) is compared line by line. All of that is exact.
@@ -52,6 +52,8 @@ ROUNDS, FINEST = (1, 16), 6
 PRODUCT = 4096
 #: Parity words of a line, which later rounds carry beside its keys.
 MARKS = ("one", "two")
+#: Slices, the fewest and the most, whose hashes tell most pairs of a crowd apart that the parity words let pass.
+SLICES = (8, 64)
 
 
 def _places(edits: int, segments: int) -> list[tuple[int, int, int]]:
@@ -146,6 +148,23 @@ def _alike(edits: int) -> str:
     return f"bit_count(one ^ o) <= {2 * edits} AND bit_count(two ^ t) <= {4 * edits}"
 
 
+def _sliced(lines: DataFrame, edits: int) -> DataFrame:
+    """Adds the ``width`` of a line's slices (a power of two of them, about FINEST characters long), their hashes (``cuts``) and, slice by
+    slice, the hashes of what lies up to ``edits`` beside them (``fits``)."""
+    n = f"int(least({SLICES[1]}, greatest({SLICES[0]}, power(2, floor(log2(greatest(length(line), 1) / {FINEST}))))))"
+    at = lambda i: f"smallint(pmod(hash(substring(line, int({i}) + 1, width)), 32768))"
+    wide = lines.withColumn("_n", F.expr(n)).withColumn("width", F.expr("length(line) div _n"))
+    cuts = f"transform(sequence(0, _n - 1), i -> {at('i * width')})"
+    fits = f"transform(sequence(0, _n - 1), i -> transform(sequence({-edits}, {edits}), s -> CASE WHEN i * width + s >= 0 THEN {at('i * width + s')} END))"
+    return wide.withColumns({"cuts": F.expr(cuts), "fits": F.expr(fits)}).drop("_n")
+
+
+def _fitting(edits: int) -> str:
+    """SQL that is true of all pairs (width, fits), (w, c) within ``edits``: an edit changes at most one slice, the others lie up to
+    ``edits`` characters from their places. Lines whose slices differ in number or width are not told apart."""
+    return f"(width <> w OR size(fits) <> size(c) OR size(filter(zip_with(fits, c, (f, x) -> array_contains(f, x)), y -> y)) >= size(c) - {edits})"
+
+
 def _met(items: DataFrame, edits: int, segments: int) -> DataFrame:
     """(key, a, b, crowd, near): lines ``a`` that find the line ``b`` under a key; in a crowded key only its eldest line. ``near``: the pair is to be verified."""
     places = _places(edits, segments)
@@ -196,11 +215,15 @@ def _open(crowds: DataFrame, texts: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def _product(open_: DataFrame, texts: DataFrame, gone: DataFrame, edits: int) -> DataFrame:
-    """Ids of the lines left in crowded keys that an elder of the key is close to: parities of all pairs first, then each that they leave once."""
-    marks = _parities(texts.join(open_.select("id").distinct(), "id", "left_semi")).select("id", *MARKS)
-    told = open_.join(cut(marks, "marks"), "id")
-    elder = told.select("key", F.col("at").alias("a"), F.col("id").alias("x"), F.col("one").alias("o"), F.col("two").alias("t"))
-    pairs = elder.join(told.filter("left").select("key", "at", F.col("id").alias("y"), *MARKS), "key").filter((F.col("a") < F.col("at")) & F.expr(_alike(edits)))
+    """Ids of the lines left in crowded keys that an elder of the key is close to: parities and slices of all pairs first, then each that they
+    leave once. A pair of several keys is compared under the least of them."""
+    keys = open_.groupBy("id").agg(F.collect_list("key").alias("keys"))
+    marks = _sliced(_parities(texts.join(keys, "id")), edits).select("id", "keys", *MARKS, "width", "cuts", "fits")
+    told = cut(open_.join(cut(marks, "marks"), "id"), "told")
+    elder = told.select("key", F.col("at").alias("a"), F.col("id").alias("x"), F.col("one").alias("o"), F.col("two").alias("t"), F.col("width").alias("w"), F.col("cuts").alias("c"), F.col("keys").alias("k"))
+    younger = told.filter("left").select("key", "at", F.col("id").alias("y"), "keys", *MARKS, "width", "fits")
+    once = F.expr("array_min(array_intersect(keys, k)) = key")
+    pairs = elder.join(younger, "key").filter((F.col("a") < F.col("at")) & F.expr(_alike(edits)) & once & F.expr(_fitting(edits)))
     return _verified(pairs.select("x", "y").distinct(), texts, gone, edits)
 
 
