@@ -113,6 +113,32 @@ def test_sustained_and_rates(spark):
     assert got == [0.0, 3.0, 5.0]
 
 
+def test_rates_over_spans_against_brute_force(spark):
+    """Ranges that start in the span before, gaps of several spans, equal times, resets, a null value and a null key; no range is summed sample by sample."""
+    import random
+
+    rng = random.Random(3)
+    data, n = [], 0
+    for k in ("a", "b", None):
+        for t in sorted(rng.choice([rng.randrange(0, 900), rng.randrange(3000, 3400)]) for _ in range(60)):
+            n += 1
+            data.append((k, n, t, None if n % 37 == 0 else float(rng.randrange(0, 50))))
+    got = alerts.rate(spark.createDataFrame(data, "k string, n long, ts long, v double"), ["k"], "ts", "v", 100, "n")
+    want = {}
+    for k in ("a", "b", None):
+        of, last = [r for r in data if r[0] == k], None
+        incs = []
+        for _, _, t, v in of:
+            incs.append((t, 0.0 if v is None or last is None else v if v < last else v - last))
+            last = v
+        for _, i, t, _ in of:
+            inside = [(x, inc) for x, inc in incs if t - 100 <= x <= t]
+            more, gap = sum(inc for _, inc in inside) - inside[0][1], t - inside[0][0]
+            want[i] = (more, round(more * 1000 / gap, 9) if gap else None)
+    assert {r["n"]: (r["increase"], r["rate"] if r["rate"] is None else round(r["rate"], 9)) for r in got.collect()} == want
+    assert "RangeFrame" not in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_histogram_quantile(spark):
     inf = float("inf")
     b = spark.createDataFrame([("a", 1.0, 10), ("a", 2.0, 20), ("a", inf, 20), ("b", 1.0, 0), ("b", inf, 4)], "k string, le double, n long")

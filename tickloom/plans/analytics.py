@@ -64,7 +64,7 @@ def _resource(s, d) -> DataFrame:
 def _rate(s, d) -> DataFrame:
     e = fx.table(s, d, "events").select("event_id", "event_type", fx.ms("ts").alias("ts_ms"))
     c = e.withColumn("counter", F.pmod("event_id", F.lit(1000)).cast("double"))
-    r = alerts.rate(c, ["event_type"], "ts_ms", "counter", 6 * H)
+    r = alerts.rate(c, ["event_type"], "ts_ms", "counter", 6 * H, "event_id")
     return r.select("event_id", F.round("increase", 4).alias("increase"), F.round("rate", 6).alias("rate"))
 
 
