@@ -139,6 +139,13 @@ def test_rates_over_spans_against_brute_force(spark):
     assert "RangeFrame" not in got._jdf.queryExecution().executedPlan().toString()
 
 
+def test_two_samples_of_one_time_divide_by_zero(spark):
+    """As the SQL does: nothing gained gives NaN, a gain infinity; ``tie`` says which sample is the earlier, days apart too."""
+    data = [(1, 0, 5.0), (2, 0, 5.0), (4, 0, 7.0), (3, 0, 6.0), (5, 200_000_000, 9.0), (6, 200_000_000, 4.0)]
+    got = alerts.irate(spark.createDataFrame(data, "n long, ts long, v double").selectExpr("'k' AS k", "*"), ["k"], "ts", "v", "n")
+    assert [str(r["irate"]) for r in got.orderBy("n").collect()] == ["None", "nan", "inf", "inf", str(2000.0 / 200_000_000), "inf"]
+
+
 def test_histogram_quantile(spark):
     inf = float("inf")
     b = spark.createDataFrame([("a", 1.0, 10), ("a", 2.0, 20), ("a", inf, 20), ("b", 1.0, 0), ("b", inf, 4)], "k string, le double, n long")

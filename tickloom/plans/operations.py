@@ -134,7 +134,7 @@ def _idle(s, d) -> DataFrame:
 
 def _irate(s, d) -> DataFrame:
     e = fx.table(s, d, "events").select("event_id", "event_type", fx.ms("ts").alias("ts_ms")).withColumn("counter", F.pmod("event_id", F.lit(1000)).cast("double"))
-    return alerts.irate(e, ["event_type"], "ts_ms", "counter").select("event_id", F.round("irate", 6).alias("irate"))
+    return alerts.irate(e, ["event_type"], "ts_ms", "counter", "event_id").select("event_id", F.round("irate", 6).alias("irate"))
 
 
 def _tumbling(s, d) -> DataFrame:
