@@ -113,3 +113,18 @@ def test_a_crowd_of_distant_copies_makes_few_pairs(spark, monkeypatch):
     got = {r["doc_id"] for r in linededup.dedup_lines(df, edits=3).collect() if r["text"]}
     want = {i for i, x in enumerate(lines) if not any(distance(y, x) <= 3 for y in lines[:i])}
     assert got == want and len(want) > 50 and len(asked) == 2 and asked[1] < 60 * 59 / 2 / 4, asked
+
+
+def test_only_pairs_within_the_threshold_leave_a_crowd(spark, monkeypatch):
+    """Copies with a word of their own are four to ten edits apart, too close for slices to tell; no such pair is written or sent on."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("etaoin") for _ in range(6))
+    words = [word() for _ in range(60)]
+    lines = [" ".join([*words[: 20 + i % 12], word()[: 4 + i % 3], *words[21 + i % 12 :]]) for i in range(60)]
+    asked, verify = [], linededup._verified
+    monkeypatch.setattr(linededup, "_verified", lambda pairs, *rest: asked.append(pairs.count()) or verify(pairs, *rest))
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r["doc_id"] for r in linededup.dedup_lines(df, edits=3).collect() if r["text"]}
+    close = [[j for j in range(i) if distance(lines[j], lines[i]) <= 3] for i in range(60)]
+    assert got == {i for i in range(60) if not close[i]}
+    assert len(asked) == 2 and asked[1] <= sum(map(bool, close)), asked

@@ -16,8 +16,8 @@ moves all of them at once. Pairs whose slices already tell them apart are spared
 
 A key that more than ``CROWD`` lines hold as a segment is crowded. Its lines meet the eldest of them, which settles
 crowds of near copies. Lines that no one has removed by then, and those older than the youngest of them, are compared
-with each other where they are at most ``PRODUCT``, by two parity words and by hashes of slices, which rule out most pairs before texts are read. More go to
-another round among themselves, with more segments: any k + 1 segments of a line serve, so each indexes its k + 1 rarest,
+with each other where they are at most ``PRODUCT``, by two parity words and by hashes of slices, which rule out most pairs before texts are read; only
+pairs within the threshold leave that join. More go to another round among themselves, with more segments: any k + 1 segments of a line serve, so each indexes its k + 1 rarest,
 which lie where it differs from the crowd. After the last of ``ROUNDS`` what is still crowded (lines alike in all but a few of
 ``ROUNDS[-1]`` segments) is compared line by line. All of that is exact.
 
@@ -215,16 +215,18 @@ def _open(crowds: DataFrame, texts: DataFrame, gone: DataFrame) -> DataFrame:
 
 
 def _product(open_: DataFrame, texts: DataFrame, gone: DataFrame, edits: int) -> DataFrame:
-    """Ids of the lines left in crowded keys that an elder of the key is close to: parities and slices of all pairs first, then each that they
-    leave once. A pair of several keys is compared under the least of them."""
-    keys = open_.groupBy("id").agg(F.collect_list("key").alias("keys"))
-    marks = _sliced(_parities(texts.join(keys, "id")), edits).select("id", "keys", *MARKS, "width", "cuts", "fits")
-    told = cut(open_.join(cut(marks, "marks"), "id"), "told")
-    elder = told.select("key", F.col("at").alias("a"), F.col("id").alias("x"), F.col("one").alias("o"), F.col("two").alias("t"), F.col("width").alias("w"), F.col("cuts").alias("c"), F.col("keys").alias("k"))
-    younger = told.filter("left").select("key", "at", F.col("id").alias("y"), "keys", *MARKS, "width", "fits")
-    once = F.expr("array_min(array_intersect(keys, k)) = key")
-    pairs = elder.join(younger, "key").filter((F.col("a") < F.col("at")) & F.expr(_alike(edits)) & once & F.expr(_fitting(edits)))
-    return _verified(pairs.select("x", "y").distinct(), texts, gone, edits)
+    """Ids of the lines left in crowded keys that an elder of the key is close to: parities and slices tell most pairs apart, the automaton the others,
+    all where the key's lines meet, so that only pairs within the threshold leave the join, and one of a line goes on.
+    A pair of several keys is compared under one of them, another for each pair, which spreads a crowd over its keys."""
+    keys = open_.groupBy("id").agg(F.collect_list("key").alias("keys"), F.first("at").alias("at"), F.first("left").alias("left"))
+    marks = _sliced(_parities(texts.select("id", "line").join(keys, "id")), edits).select("id", "at", "left", "line", "keys", *MARKS, "width", "cuts", "fits")
+    told = cut(marks, "marks").withColumn("key", F.explode("keys"))
+    elder = told.select("key", F.col("at").alias("a"), F.col("id").alias("x"), F.col("line").alias("old"), F.col("one").alias("o"), F.col("two").alias("t"), F.col("width").alias("w"), F.col("cuts").alias("c"), F.col("keys").alias("k"))
+    younger = told.filter("left").select("key", "at", F.col("id").alias("y"), "line", "keys", *MARKS, "width", "fits")
+    once = "transform(array(array_intersect(keys, k)), z -> z[pmod(hash(x, y), size(z))])[0] = key"
+    tests = [_alike(edits), once, _fitting(edits), maybe_within("old", "line", edits), within("old", "line", edits)]
+    pairs = elder.hint("merge").join(younger, "key").filter(F.expr(" AND ".join(["a < at", *tests])))
+    return _verified(pairs.groupBy("y").agg(F.min("x").alias("x")).select("x", "y"), texts, gone, edits)
 
 
 def kept_lines(docs: DataFrame, min_chars: int = MIN_CHARS, edits: int = EDITS) -> DataFrame:
