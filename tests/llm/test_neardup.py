@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import random
+import re
+import sys
 
 import pytest
 
@@ -8,6 +10,8 @@ from tickloom.llm import neardup
 from tickloom.llm.components import components
 from tickloom.llm.shingles import shingle_sets
 
+components_module = sys.modules[components.__module__]
+
 
 def brute(rows):
     sets = {}
@@ -62,6 +66,23 @@ def test_against_brute_force(spark, monkeypatch, node):
     assert sorted(tuple(r) for r in neardup.near_duplicates(df).collect()) == brute(rows)
 
 
+def test_tables_that_grow_with_the_corpus_are_not_broadcast(spark, monkeypatch):
+    """Only tables with one row per large node or crowd may be built in the driver; the plans are those of small tables under Spark's own threshold."""
+    keys, write = set(), components_module.cut
+
+    def cut(df, label):
+        keys.update(re.findall(r"Broadcast(?:Hash|NestedLoop)Join \[(\w+?)#", df._jdf.queryExecution().executedPlan().toString()))
+        return write(df, label)
+
+    monkeypatch.setattr(neardup, "NODE", 4)
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    for module in (neardup, components_module):
+        monkeypatch.setattr(module, "cut", cut)
+    rows = corpus(random.Random(3), 160)
+    cut(neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")), "out")
+    assert keys <= {"node", "leader"}
+
+
 def test_rows_that_repeat_an_id_are_linked_by_their_own_texts(spark):
     text = lambda p: " ".join(f"{p}{i}" for i in range(40))
     near = lambda p: text(p) + f" {p}more"

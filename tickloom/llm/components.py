@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.scratch import cut, release
+from tickloom.llm.scratch import cut, release, shuffled
 
 MAX_ROUNDS = 40
 
@@ -17,7 +17,7 @@ def _step(edges: DataFrame, large: bool) -> DataFrame:
     else:
         near = edges
     least = near.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    met = near.join(least, "a")
+    met = near.join(shuffled(least), "a")
     if large:
         out = met.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import components
-from tickloom.llm.scratch import cut, release
+from tickloom.llm.scratch import cut, release, shuffled
 from tickloom.llm.shingles import fingerprint, minwise, shingle_sets
 
 TREES = 12
@@ -85,7 +85,7 @@ def signatures(docs: DataFrame, trees: int = TREES) -> DataFrame:
 def _sized(keys: DataFrame) -> DataFrame:
     """Members of nodes with two classes or more, with the node's size; one row per node joins."""
     sizes = keys.groupBy("node").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    return keys.join(sizes, "node")
+    return keys.join(shuffled(sizes), "node")
 
 
 def _split(big: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -111,7 +111,7 @@ def _merged(crowds: DataFrame) -> DataFrame:
     """
     for _ in range(2):
         leaders = crowds.select(F.col("leader").alias("doc")).distinct()
-        best = crowds.join(leaders, "doc", "left_semi").groupBy(F.col("doc").alias("leader")).agg(F.max(F.struct("fame", (-F.col("leader")).alias("least"))).alias("b"))
+        best = crowds.join(shuffled(leaders), "doc", "left_semi").groupBy(F.col("doc").alias("leader")).agg(F.max(F.struct("fame", (-F.col("leader")).alias("least"))).alias("b"))
         crowds = crowds.drop("fame").join(best, "leader").select((-F.col("b.least")).alias("leader"), F.col("b.fame").alias("fame"), "doc").distinct()
     return crowds.select("leader", "doc")
 
@@ -134,7 +134,7 @@ def cells_of(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
     crowds = None
     if not big.isEmpty():
         popular = one.groupBy("doc").agg(F.sum("size").alias("popular"))
-        crowds, mixed = _split(big.join(popular, "doc"))
+        crowds, mixed = _split(big.join(shuffled(popular), "doc"))
         for depth in range(1, DEPTH):
             level = cut(_sized(_branch(mixed, depth)), "nodes")
             small = small.unionByName(level.filter(F.col("size") <= NODE).select("node", "doc"))
@@ -145,7 +145,7 @@ def cells_of(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
         crowds = one.select(F.col("doc").alias("leader"), "doc").filter("false")
     mark = small.groupBy("node").agg(*[F.sum(F.pmod(F.xxhash64(F.lit(i), "doc"), F.lit(1 << 50))).alias(f"m{i}") for i in (1, 2)], F.count(F.lit(1)).alias("k"))
     once = mark.groupBy("m1", "m2", "k").agg(F.min("node").alias("node")).select("node")
-    return small.join(once, "node").select(F.col("node").alias("cell"), "doc"), crowds.distinct()
+    return small.join(shuffled(once), "node").select(F.col("node").alias("cell"), "doc"), crowds.distinct()
 
 
 def _links(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
@@ -259,8 +259,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     small, crowds = cells_of(classes.select("doc", "tokens"))
     small, crowds = cut(small, "small"), cut(crowds, "crowds")
     needed = small.select("doc").unionByName(crowds.select("doc")).distinct()
-    marks = classes.select("doc", F.col("least").alias("doc_id"), "mark", "set_a", "set_b").join(needed, "doc")
-    texts = cut(plain.join(marks, ["doc_id", "mark"]).select("doc", "text", "set_a", "set_b"), "texts")
+    marks = classes.select("doc", F.col("least").alias("doc_id"), "mark", "set_a", "set_b").join(shuffled(needed), "doc")
+    texts = cut(plain.join(shuffled(marks), ["doc_id", "mark"]).select("doc", "text", "set_a", "set_b"), "texts")
     sizes = crowds.groupBy("leader").agg(F.count(F.lit(1)).alias("n"))
     spread = crowds.filter(F.col("leader") != F.col("doc")).join(sizes, "leader").withColumn("blocks", F.ceil(F.col("n") / BLOCK))
     block = F.pmod(F.xxhash64("doc"), F.col("blocks"))
@@ -268,16 +268,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     led = sizes.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / BLOCK) - 1)))
     led = led.select(F.xxhash64(F.lit("crowd"), "leader", "block").alias("cell"), F.col("leader").alias("doc"), F.lit(0).alias("side"))
     cells = small.select("cell", "doc", F.lit(0).alias("side")).unionByName(in_block).unionByName(led)
-    edges = cut(compare(cells.join(texts, "doc").select("cell", "doc", "side", "set_a", "set_b", "text")), "links")
+    edges = cut(compare(cells.join(shuffled(texts), "doc").select("cell", "doc", "side", "set_a", "set_b", "text")), "links")
     found = cut(components(edges), "components")
     rest = _outsiders(crowds, found)
     if rest is not None:
-        more = compare(rest.join(texts, "doc").select("cell", "doc", "side", "set_a", "set_b", "text"))
+        more = compare(rest.join(shuffled(texts), "doc").select("cell", "doc", "side", "set_a", "set_b", "text"))
         found = _joined(found, cut(more.distinct(), "links"))
-    of = classes.select(*own, "least", "doc").join(found.withColumnRenamed("node", "doc"), "doc", "left").select(*own, "least", F.coalesce("component", "doc").alias("component"))
+    of = classes.select(*own, "least", "doc").join(shuffled(found.withColumnRenamed("node", "doc")), "doc", "left").select(*own, "least", F.coalesce("component", "doc").alias("component"))
     eldest = of.groupBy("component").agg(F.min("least").alias("_component"))
-    of_class = of.join(eldest, "component").select(*own, "_component")
-    out = signed.select("doc_id", "mark", *own).join(of_class, own, "left")
+    of_class = of.join(shuffled(eldest), "component").select(*own, "_component")
+    out = signed.select("doc_id", "mark", *own).join(shuffled(of_class), own, "left")
     release(texts)
     component = F.when(F.col("n_shingles") > 0, F.col("_component")).otherwise(F.col("doc_id"))
     more = [F.col("mark").alias("_mark")] if mark else []
@@ -289,18 +289,18 @@ def _joined(found: DataFrame, more: DataFrame) -> DataFrame:
     """Components after further links: only the components that those links join are settled anew."""
     if more.isEmpty():
         return found
-    end = lambda c: found.select(F.col("node").alias(c), F.col("component").alias(f"_{c}"))
+    end = lambda c: shuffled(found.select(F.col("node").alias(c), F.col("component").alias(f"_{c}")))
     ends = more.join(end("a"), "a", "left").join(end("b"), "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
     merged = cut(components(ends), "components").select(F.col("node").alias("component"), F.col("component").alias("_to"))
-    fresh = more.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(found, "node", "left_anti").withColumn("component", F.col("node"))
-    return found.unionByName(fresh).join(merged, "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
+    fresh = more.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(shuffled(found), "node", "left_anti").withColumn("component", F.col("node"))
+    return found.unionByName(fresh).join(shuffled(merged), "component", "left").select("node", F.coalesce("_to", "component").alias("component"))
 
 
 def _outsiders(crowds: DataFrame, found: DataFrame) -> DataFrame | None:
     """Rows (cell, doc, side) that pair blocks of the classes outside their leader's component with blocks of the whole crowd."""
     own = found.select(F.col("node").alias("doc"), F.col("component").alias("mine"))
-    lead = found.select(F.col("node").alias("leader"), F.col("component").alias("theirs"))
-    all_ = crowds.join(own, "doc", "left").join(lead, "leader", "left")
+    lead = found.select(F.col("node").alias("leader"), F.col("component").alias("theirs")).join(crowds.select("leader").distinct(), "leader", "left_semi")
+    all_ = crowds.join(shuffled(own), "doc", "left").join(lead, "leader", "left")
     all_ = cut(all_.select("leader", "doc", (F.coalesce("mine", "doc") != F.coalesce("theirs", "leader")).alias("outside")), "crowds")
     n = all_.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"), F.ceil(F.count_if("outside") / BLOCK).alias("outer")).filter("outer > 0")
     if n.isEmpty():

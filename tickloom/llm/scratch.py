@@ -43,6 +43,11 @@ def cut(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` for a join that shuffles both sides: a table that grows with the corpus must not be built in the driver, however small its file is."""
+    return df.hint("merge")
+
+
 def release(*tables: DataFrame) -> None:
     """Delete tables made by :func:`cut` that no later plan reads."""
     for df in tables:
