@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 import pytest
 
 from tickloom.plans.registry import ORACLES, QUERIES
@@ -18,6 +20,19 @@ def test_query(spark, duck, same, name):
     same(QUERIES[name](spark, DATA), duck.execute(ORACLES[name]).df())
 
 
+@pytest.mark.parametrize("ids", [(-2000, -1500, -7, 5, -999, 1001), (0, 41, 374, 1015, 1666, 2327)], ids=["negative keys", "halves"])
+@pytest.mark.parametrize("name", ["counter_irate"])
+def test_counters_on_odd_keys(spark, same, tmp_path, name, ids):
+    """Remainders keep the sign of a key; 41 in 640 s is 0.0640625, whose millionfold as a double is below the half."""
+    import duckdb
+
+    rows = [(k, datetime(2024, 1, 1) + timedelta(seconds=640 * i), "view") for i, k in enumerate(ids)]
+    spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    same(QUERIES[name](spark, str(tmp_path)), con.execute(ORACLES[name]).df())
+
+
 def test_entry(spark):
     import __spark_entry__ as e
 

@@ -21,6 +21,13 @@ def clamp(x: Column, lo: float = 0.0, hi: float = 1.0) -> Column:
     return F.greatest(F.lit(lo), F.least(F.lit(hi), x))
 
 
+def rounded(x: Column | str, digits: int) -> Column:
+    """Rounding of the scaled double, as SQL engines do it; ``round`` goes by its shortest decimal form, which makes other halves."""
+    c = F.col(x) if isinstance(x, str) else x
+    scale = F.lit(10.0**digits)
+    return F.round(c * scale) / scale
+
+
 def decimals(x: Column | str) -> Column:
     """Digits after the point in the shortest decimal form of a double.
 

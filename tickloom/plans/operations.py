@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.functions.columns import rounded
 from tickloom.operators import alerts, features, graph, ohlcv
 from tickloom.operators import heartbeat as hb
 from tickloom.operators import provenance as pv
@@ -133,8 +134,8 @@ def _idle(s, d) -> DataFrame:
 
 
 def _irate(s, d) -> DataFrame:
-    e = fx.table(s, d, "events").select("event_id", "event_type", fx.ms("ts").alias("ts_ms")).withColumn("counter", F.pmod("event_id", F.lit(1000)).cast("double"))
-    return alerts.irate(e, ["event_type"], "ts_ms", "counter", "event_id").select("event_id", F.round("irate", 6).alias("irate"))
+    e = fx.table(s, d, "events").select("event_id", "event_type", fx.ms("ts").alias("ts_ms")).withColumn("counter", (F.col("event_id") % 1000).cast("double"))
+    return alerts.irate(e, ["event_type"], "ts_ms", "counter", "event_id").select("event_id", rounded("irate", 6).alias("irate"))
 
 
 def _tumbling(s, d) -> DataFrame:
