@@ -21,7 +21,7 @@ def test_query(spark, duck, same, name):
 
 
 @pytest.mark.parametrize("ids", [(-2000, -1500, -7, 5, -999, 1001), (0, 41, 374, 1015, 1666, 2327)], ids=["negative keys", "halves"])
-@pytest.mark.parametrize("name", ["counter_irate"])
+@pytest.mark.parametrize("name", ["counter_irate", "counter_rate"])
 def test_counters_on_odd_keys(spark, same, tmp_path, name, ids):
     """Remainders keep the sign of a key; 41 in 640 s is 0.0640625, whose millionfold as a double is below the half."""
     import duckdb

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.functions.columns import rounded
 from tickloom.operators import alerts, features, ohlcv
 from tickloom.operators import quality as q
 from tickloom.plans.quality import WITH, scored
@@ -63,9 +64,9 @@ def _resource(s, d) -> DataFrame:
 
 def _rate(s, d) -> DataFrame:
     e = fx.table(s, d, "events").select("event_id", "event_type", fx.ms("ts").alias("ts_ms"))
-    c = e.withColumn("counter", F.pmod("event_id", F.lit(1000)).cast("double"))
+    c = e.withColumn("counter", (F.col("event_id") % 1000).cast("double"))
     r = alerts.rate(c, ["event_type"], "ts_ms", "counter", 6 * H, "event_id")
-    return r.select("event_id", F.round("increase", 4).alias("increase"), F.round("rate", 6).alias("rate"))
+    return r.select("event_id", F.round("increase", 4).alias("increase"), rounded("rate", 6).alias("rate"))
 
 
 QUERIES = {
